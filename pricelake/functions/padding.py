@@ -6,11 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every character the feeds' texts are stripped of: the Unicode spaces and the separators.
-_STRIPPED = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+STRIPPED = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0            "
+    "    　"
+)
 
 
 def strip(text: Column) -> Column:
-    return F.trim(text, F.lit(_STRIPPED))
+    """Remove outer spaces. Plain blanks go first; the longer list is searched only when the
+    text still begins or ends outside the printable ASCII characters."""
+    blank = F.trim(text)
+    inside = F.substring(blank, 1, 1).between("!", "~") & F.substring(blank, -1, 1).between("!", "~")
+    return F.when(inside | (blank == ""), blank).otherwise(F.trim(text, F.lit(STRIPPED)))
 
 
 def padded(value: Column, width: int = 2) -> Column:

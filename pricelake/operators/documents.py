@@ -7,6 +7,8 @@ gave nothing. A document is all or nothing: one bad element rejects the whole do
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,25 +54,35 @@ def _record(fields) -> str:
     return "struct<" + ",".join(f"`{f}`:string" for f in fields) + ">"
 
 
-def list_or_one(value: Column, path: list[str], record: str) -> Column:
-    """Array at ``path`` of a document, where the field holds a list of records or one record."""
+def with_records(docs: DataFrame, name: str, path: list[str], record: str, only_if: Column | None = None) -> DataFrame:
+    """Add the array at ``path`` of each document, where the field holds a list of records or one.
+
+    The parses stand in columns of their own, so each runs once per document, and the second only
+    where the first found no list. ``only_if`` limits both to some documents.
+    """
 
     def at_path(kind: str) -> Column:
         ddl = kind
         for step in reversed(path):
             ddl = f"struct<`{step}`:{ddl}>"
-        found = parsed(value, ddl)
+        found = parsed(F.col("value"), ddl)
         for step in path:
             found = found[step]
         return found
 
-    several, one = at_path(f"array<{record}>"), at_path(record)
-    return F.coalesce(several, F.when(one.isNotNull(), F.array(one)))
+    wanted = F.lit(True) if only_if is None else only_if
+    several, one = F.col(f"{name}_several"), F.col(f"{name}_one")
+    return (
+        docs.withColumn(f"{name}_several", F.when(wanted, at_path(f"array<{record}>")))
+        .withColumn(f"{name}_one", F.when(wanted & several.isNull(), at_path(record)))
+        .withColumn(name, F.coalesce(several, F.when(one.isNotNull(), F.array(one))))
+        .drop(f"{name}_several", f"{name}_one")
+    )
 
 
-def whole(records: Column) -> Column:
+def whole(records: str) -> Column:
     """The records, or NULL when one of them is no record."""
-    return F.when(~F.exists(records, lambda r: r.isNull()), records)
+    return F.when(~F.exists(records, lambda r: r.isNull()), F.col(records))
 
 
 def explode_items(docs: DataFrame) -> DataFrame:
@@ -80,17 +92,16 @@ def explode_items(docs: DataFrame) -> DataFrame:
     a JSON null stays NULL; the second look at the keys happens only where a label is NULL.
     """
     fields = [*CATEGORY_LABELS, *CATEGORY_PRICES]
-    value = F.col("value")
-    items = docs.withColumn("items", whole(list_or_one(value, ["data", "item"], _record(fields))))
-    has_gap = F.exists("items", lambda i: F.array_contains(F.array(*[i[f].isNull() for f in CATEGORY_LABELS]), True))
-    keyed = F.when(has_gap, list_or_one(value, ["data", "item"], "map<string,string>"))
-    rows = items.withColumn("keyed", keyed).select(
-        *docs.columns, F.posexplode("items").alias("pos", "item"), F.col("keyed")
-    )
+    items = with_records(docs, "items", ["data", "item"], _record(fields))
+    has_gap = F.exists("items", lambda i: reduce(Column.__or__, [i[f].isNull() for f in CATEGORY_LABELS]))
+    gaps = items.withColumn("has_gap", F.coalesce(has_gap, F.lit(False)))
+    keyed = with_records(gaps, "keyed", ["data", "item"], "map<string,string>", only_if=F.col("has_gap"))
+    rows = keyed.select(*docs.columns, "keyed", F.posexplode(whole("items")).alias("pos", "item"))
+    rows = rows.withColumn("keys", F.map_keys(F.get("keyed", F.col("pos")))).drop("keyed")
 
     def label(field: str) -> Column:
         text = F.col("item")[field]
-        is_null = F.coalesce(F.map_contains_key(F.get("keyed", F.col("pos")), F.lit(field)), F.lit(False))
+        is_null = F.coalesce(F.array_contains("keys", field), F.lit(False))
         return F.when(text.isNotNull(), strip(text)).when(~is_null, "")
 
     return rows.select(
@@ -106,51 +117,41 @@ def explode_prices(docs: DataFrame) -> DataFrame:
 
     A ``price`` that is no list gives one row holding it as text; a missing one gives none.
     """
-    head = parsed(
-        F.col("value"),
-        f"struct<error_code:string,condition:string,price:array<{_record(PRODUCT_FIELDS)}>>",
-    )
-    # Only where the typed list is absent: the bare text, and whether it was a list after all.
-    loose = parsed(F.col("value"), "struct<price:string>")["price"]
+    keep = [c for c in docs.columns if c != "value"]
+    record = _record(PRODUCT_FIELDS)
+    typed = parsed(F.col("value"), f"struct<error_code:string,condition:string,price:array<{record}>>")
+    # Only where the typed list is absent: is it a list after all, is there a key, and its text.
+    absent = F.col("records").isNull()
     is_list = parsed(F.col("value"), "struct<price:array<string>>")["price"].isNotNull()
-    has_key = F.map_contains_key(parsed(F.col("value"), "map<string,string>"), F.lit("price"))
-    records = F.coalesce(
-        whole(F.col("head.price")),
-        F.when(F.col("head.price").isNull() & has_key & ~is_list, F.array(F.lit(None).cast(_record(PRODUCT_FIELDS)))),
-    )
+    members = parsed(F.col("value"), "map<string,string>")
     rows = (
         marked(docs)
-        .withColumn("head", head)
-        .select(
-            *[c for c in docs.columns if c != "value"],
-            F.col("head.error_code").alias("error_code"),
-            F.col("head.condition").alias("condition"),
-            F.when(F.col("head.price").isNull(), loose).alias("price"),
-            F.posexplode(records).alias("pos", "record"),
-        )
+        .withColumn("head", typed)
+        .select(*keep, "value", "head.error_code", "head.condition", F.col("head.price").alias("records"))
+        .withColumn("members", F.when(absent & ~F.when(absent, is_list), members))
+        .withColumn("price", F.try_element_at("members", F.lit("price")))
+        .withColumn("no_record", F.when(F.map_contains_key("members", "price"), F.array(F.lit(None).cast(record))))
+        .withColumn("found", F.coalesce(whole("records"), "no_record"))
+        .select(*keep, "error_code", "condition", "price", F.posexplode("found").alias("pos", "record"))
     )
-    leaves = {"error_code": F.col("error_code"), "condition": F.col("condition"), "price": F.col("price")}
+    leaves = {name: F.col(name) for name in ("error_code", "condition", "price")}
     leaves |= {f: F.col("record")[f] for f in PRODUCT_FIELDS}
-    return rows.select(
-        *[c for c in docs.columns if c != "value"],
-        "pos",
-        *[first_of_list(leaf).alias(name) for name, leaf in leaves.items()],
-    )
+    return rows.select(*keep, "pos", *[first_of_list(leaf).alias(name) for name, leaf in leaves.items()])
 
 
 def explode_records(docs: DataFrame) -> DataFrame:
     """Region feed: each document is a list of flat records, or one record on its own line."""
-    records = parsed(F.col("value"), f"array<{_record(REGION_FIELDS)}>")
     keep = [c for c in docs.columns if c != "value"]
-    return docs.select(*keep, F.posexplode(whole(records)).alias("pos", "record")).select(*keep, "pos", "record.*")
+    records = docs.select(*keep, parsed(F.col("value"), f"array<{_record(REGION_FIELDS)}>").alias("records"))
+    return records.select(*keep, F.posexplode(whole("records")).alias("pos", "record")).select(*keep, "pos", "record.*")
 
 
 def explode_response_records(docs: DataFrame) -> DataFrame:
     """Region feed before landing: records of an accepted response."""
     keep = [c for c in docs.columns if c != "value"]
-    accepted = docs.where(classify(F.col("value")) == "ok")
-    records = whole(list_or_one(F.col("value"), ["data", "item"], _record(REGION_FIELDS)))
-    return accepted.select(*keep, F.posexplode(records).alias("pos", "record")).select(*keep, "pos", "record.*")
+    accepted = with_status(docs, "status").where("status = 'ok'").drop("status")
+    records = with_records(accepted, "records", ["data", "item"], _record(REGION_FIELDS))
+    return records.select(*keep, F.posexplode(whole("records")).alias("pos", "record")).select(*keep, "pos", "record.*")
 
 
 def group_by_date(records: DataFrame) -> DataFrame:
@@ -167,37 +168,43 @@ def region_date() -> Column:
     return date_from_parts(F.col("yyyy"), F.col("regday"))
 
 
-def classify(value: Column, allow_empty: bool = False) -> Column:
-    """Status of a response: ``ok``, ``empty``, ``missing``, ``broken``, ``unexpected`` or ``error:<code>``."""
-    obj = parsed(value, "struct<data:struct<error_code:string>>")["data"]
-    several = parsed(value, "struct<data:array<string>>")["data"]
-    bare = parsed(value, "struct<data:string>")["data"]
+def with_status(docs: DataFrame, name: str, allow_empty: bool = False) -> DataFrame:
+    """Add the status of each response: ``ok``, ``empty``, ``missing``, ``broken``, ``unexpected`` or
+    ``error:<code>``. Each parse runs only where the one before found another shape."""
+    value = F.col("value")
+    unseen = F.col("_object").isNull()
+    code = F.coalesce(F.col("_object.error_code"), F.lit(""))
     no_keys = F.size(F.map_keys(parsed(value, "struct<data:map<string,string>>")["data"])) == 0
-    code = F.coalesce(obj["error_code"], F.lit(""))
-    falsy = bare.isNull() | bare.isin("", "0", "0.0", "false")
-    return (
+    falsy = F.col("_bare").isNull() | F.col("_bare").isin("", "0", "0.0", "false")
+    status = (
         F.when(code == CODE_OK, "ok")
-        .when(obj.isNotNull(), F.when((code == "") & no_keys, "missing").otherwise(F.concat(F.lit("error:"), code)))
-        .when(
-            several.isNotNull(),
-            F.when(F.size(several) == 0, "missing")
-            .when(F.get(several, F.lit(0)) == CODE_NO_DATA, "ok" if allow_empty else "empty")
-            .otherwise("ok"),
-        )
+        .when(~unseen & (code == ""), F.when(no_keys, "missing").otherwise("error:"))
+        .when(~unseen, F.concat(F.lit("error:"), code))
+        .when(F.size("_list") == 0, "missing")
+        .when(F.get("_list", F.lit(0)) == CODE_NO_DATA, "ok" if allow_empty else "empty")
+        .when(F.col("_list").isNotNull(), "ok")
         .when(falsy, F.when(F.try_parse_json(value).isNull(), "broken").otherwise("missing"))
         .otherwise("unexpected")
     )
+    return (
+        docs.withColumn("_object", parsed(value, "struct<data:struct<error_code:string>>")["data"])
+        .withColumn("_list", F.when(unseen, parsed(value, "struct<data:array<string>>")["data"]))
+        .withColumn("_bare", F.when(unseen & F.col("_list").isNull(), parsed(value, "struct<data:string>")["data"]))
+        .withColumn(name, status)
+        .drop("_object", "_list", "_bare")
+    )
 
 
-def classify_price_list(value: Column) -> Column:
-    """Status of a product-feed response: ``price`` must be a list with something in it."""
-    prices = parsed(value, "struct<price:array<string>>")["price"]
-    return (
-        F.when(F.size(prices) > 0, "ok")
-        .when(prices.isNotNull(), "empty")
-        .when(F.try_parse_json(value).isNull(), "broken")
+def with_price_list_status(docs: DataFrame, name: str) -> DataFrame:
+    """Add the status of each product-feed response: ``price`` must be a list with something in it."""
+    status = (
+        F.when(F.size("_prices") > 0, "ok")
+        .when(F.col("_prices").isNotNull(), "empty")
+        .when(F.try_parse_json("value").isNull(), "broken")
         .otherwise("not_a_list")
     )
+    prices = parsed(F.col("value"), "struct<price:array<string>>")["price"]
+    return docs.withColumn("_prices", prices).withColumn(name, status).drop("_prices")
 
 
 def condition_field(value: Column, key: str) -> Column:

@@ -35,16 +35,13 @@ def explode_records(spark, sf_dir):
 
 def classify_responses(spark, sf_dir):
     """Statuses of the category feed, with no-data responses refused and allowed."""
-    value = F.col("value")
-    docs = feeds.category_docs(spark, sf_dir)
-    statuses = docs.select(
-        "category", ops.classify(value).alias("status"), ops.classify(value, allow_empty=True).alias("status_allowed")
-    )
+    refused = ops.with_status(feeds.category_docs(spark, sf_dir), "status")
+    statuses = ops.with_status(refused, "status_allowed", allow_empty=True)
     return statuses.groupBy("category", "status", "status_allowed").agg(F.count("*").alias("documents"))
 
 
 def classify_price_lists(spark, sf_dir):
-    docs = feeds.product_docs(spark, sf_dir).select("dt", ops.classify_price_list(F.col("value")).alias("status"))
+    docs = ops.with_price_list_status(feeds.product_docs(spark, sf_dir), "status")
     return docs.groupBy("dt", "status").agg(F.count("*").alias("documents"))
 
 
