@@ -261,6 +261,14 @@ products AS (
 # --- landed documents ---------------------------------------------------------------------------
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines to build documents from. Building is heavy on the CPU, so a scan with fewer
+    splits than cores (one small file) is spread first; a large table has more splits than that."""
+    lines = table(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+
+
 def _pick(values: tuple[str, ...], index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
@@ -332,7 +340,7 @@ def category_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "country": _place(),
         "category": _pick(PATH_CATEGORIES, F.col("l_linenumber") - 1),
     }
-    docs = table(spark, sf_dir, "lineitem").select(value.alias("value"), *[c.alias(k) for k, c in keys.items()])
+    docs = _lines(spark, sf_dir).select(value.alias("value"), *[c.alias(k) for k, c in keys.items()])
     return docs.withColumn("file_path", _path("api-1", list(keys)))
 
 
@@ -419,7 +427,7 @@ def product_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "product_cls": F.lit("01"),
         "country": _place(),
     }
-    docs = table(spark, sf_dir, "lineitem").select(
+    docs = _lines(spark, sf_dir).select(
         value.alias("value"), *[c.alias(k) for k, c in keys.items()], "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"
     )
     line = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -495,7 +503,7 @@ def region_docs(spark: SparkSession, sf_dir: str, backfill: bool = False) -> Dat
         "kind": F.format_string("%02d", part_no % 120),
         "product_rank": F.lit("04"),
     }
-    docs = table(spark, sf_dir, "lineitem").select(value.alias("value"), *[c.alias(k) for k, c in keys.items()])
+    docs = _lines(spark, sf_dir).select(value.alias("value"), *[c.alias(k) for k, c in keys.items()])
     return docs.withColumn("file_path", _path("api-17", list(keys)))
 
 
@@ -537,4 +545,4 @@ def region_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(flag == "N", response(_region_record(1)))
         .otherwise(response(F.array(_region_record(1))))
     )
-    return table(spark, sf_dir, "lineitem").select(value.alias("value"))
+    return _lines(spark, sf_dir).select(value.alias("value"))

@@ -1,2 +1,277 @@
-QUERIES = {}
-ORACLES = {}
+"""Writers and scans of landed and stored data, each written to the shared folder and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pricelake.functions import path_attribute
+from pricelake.operators import registry, sinks
+from pricelake.operators.snapshot import month_partitions, stamp_snapshot
+from pricelake.plans import gold
+from pricelake.schemas import LANDING_KEYS, PRODUCTS, SEASONS
+from pricelake.session import work_path
+from pricelake.sources import landing, tables
+from pricelake.workload import feeds
+from pricelake.workload.shape import plain
+from pricelake.workload.silver import PRODUCT_ROWS_SQL, product_history
+
+LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def _land_products(spark, sf_dir):
+    """Product documents landed below dt, class and region; the path keeps the shipping year."""
+    root = work_path(spark, "landing")
+    docs = feeds.product_docs(spark, sf_dir)
+    return root, sinks.land_documents(docs.drop("file_path"), root)
+
+
+def json_landing_scan(spark, sf_dir):
+    """Landed documents with broken and empty ones kept apart."""
+    root, keys = _land_products(spark, sf_dir)
+    docs = landing.scan_status(landing.read_documents(spark, root, keys))
+    return docs.groupBy("dt", "rejected").agg(F.count("*").alias("documents"))
+
+
+def dated_scan(spark, sf_dir):
+    """Two landing dates, one landed and one not; only the named folder is listed."""
+    root, keys = _land_products(spark, sf_dir)
+    docs = landing.read_documents(spark, root, keys)
+    found = landing.of_date(docs, "19981101").unionAll(landing.of_date(docs, "18000101"))
+    return found.groupBy("dt", "product_cls", "country").agg(F.count("*").alias("documents"))
+
+
+def latest_date_scan(spark, sf_dir):
+    root, keys = _land_products(spark, sf_dir)
+    docs = landing.latest_date(landing.read_documents(spark, root, keys), "01")
+    return docs.groupBy("dt", "product_cls", "country").agg(F.count("*").alias("documents"))
+
+
+def landing_write(spark, sf_dir):
+    """Region records grouped by day are landed with all path keys a month folder needs; the
+    dashes of the date are dropped and the region level is absent."""
+    lines = feeds.table(spark, sf_dir, "lineitem").select(
+        F.to_json(F.struct(*LINE)).alias("value"),
+        F.date_format("l_shipdate", "yyyy-MM").alias("dt"),
+        F.lit("01").alias("product_cls"),
+        F.col("l_linenumber").cast("string").alias("category"),
+    )
+    root = work_path(spark, "landing")
+    keys = sinks.land_documents(lines, root, normalize_dt=True)
+    docs = landing.read_documents(spark, root, keys)
+    attributes = {f"path_{k}": path_attribute(F.col("file_path"), k) for k in LANDING_KEYS}
+    fields = F.from_json("value", "l_orderkey bigint, l_linenumber bigint, l_partkey bigint, l_suppkey bigint")
+    return docs.select(fields.alias("f"), *keys, *[c.alias(k) for k, c in attributes.items()]).select("f.*", "*").drop("f")
+
+
+def landing_status_counts(spark, sf_dir):
+    """Keys of shipped lines against keys of ordered lines: day and discount rate."""
+    incoming = feeds.table(spark, sf_dir, "lineitem").select(
+        F.date_format("l_shipdate", "yyyyMMdd").alias("dt"), F.col("l_linenumber").alias("category")
+    )
+    landed = feeds.table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyyMMdd").alias("dt"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("category"),
+    )
+    return sinks.landing_status(incoming, landed, ["dt", "category"])
+
+
+def parquet_scan(spark, sf_dir):
+    """Declared-schema scan, joined by name with a history that does not exist yet."""
+    path = work_path(spark, "nothing")
+    schema = feeds.table(spark, sf_dir, "events").schema
+    known = tables.read_parquet(spark, f"{sf_dir}/events.parquet", schema)
+    both = known.unionByName(tables.read_parquet(spark, path, schema))
+    return both.groupBy("event_type").agg(F.count("*").alias("events"), F.max("event_id").alias("last_id"))
+
+
+def csv_write(spark, sf_dir):
+    """Product metadata through a header CSV; codes keep their leading zeros."""
+    path = work_path(spark, "csv")
+    sinks.write_csv(feeds.products(spark, sf_dir, unpadded=True), path)
+    return tables.products(spark, path)
+
+
+def csv_scan(spark, sf_dir):
+    path = work_path(spark, "csv")
+    sinks.write_csv(feeds.products(spark, sf_dir), path)
+    rows = tables.read_csv(spark, path, PRODUCTS)
+    return rows.groupBy("category_cd", "kind_cd").agg(F.count("*").alias("products"), F.max("product_no").alias("last_no"))
+
+
+def seed_scan(spark, sf_dir):
+    path = work_path(spark, "seed")
+    sinks.write_csv(feeds.seasons(spark, sf_dir), path)
+    return plain(tables.read_csv(spark, path, SEASONS))
+
+
+def _stored_products(spark, sf_dir):
+    """Product history stamped per batch and written to all segments."""
+    root = work_path(spark, "api10")
+    sinks.write_segments(stamp_snapshot(product_history(spark, sf_dir)).drop("file_path", "pos", "batch"), root)
+    return root
+
+
+def snapshot_write(spark, sf_dir):
+    """Snapshot folders: one date per batch, that of the batch's first row."""
+    path = work_path(spark, "snapshots")
+    stamped = stamp_snapshot(product_history(spark, sf_dir)).drop("file_path", "pos", "batch", "segment")
+    sinks.write_snapshot(stamped, path)
+    stored = tables.read_silver(spark, path, "api10")
+    return stored.groupBy("year", "month", "dt").agg(
+        F.count("*").alias("stored_rows"), F.countDistinct("product_no").alias("products"), F.sum(F.col("prev_1d_pr").cast("decimal(20,2)")).cast("decimal(20,2)").cast("string").alias("price_sum")
+    )
+
+
+def segment_split(spark, sf_dir):
+    """The three segments, each read from its own folder."""
+    root = _stored_products(spark, sf_dir)
+    rows = None
+    for segment in sinks.SEGMENTS:
+        part = tables.read_silver(spark, f"{root}/segment={segment}", "api10")
+        count = part.groupBy("category_cd", "dt").agg(F.count("*").alias("stored_rows"), F.count("item_cd").alias("coded"))
+        count = count.withColumn("segment", F.lit(segment))
+        rows = count if rows is None else rows.unionAll(count)
+    return rows
+
+
+def registered_scan(spark, sf_dir):
+    """The main segment registered by location and read by name through the latest snapshot."""
+    root = _stored_products(spark, sf_dir)
+    database = "pricelake_registered"
+    registry.create_databases(spark, work_path(spark, "databases"), (database,))
+    name = registry.register_silver(spark, "api10", f"{root}/segment=main", f"{database}.api10")
+    newest = gold.latest_snapshot(spark.table(name))
+    return newest.groupBy("dt", "country_cd").agg(F.count("*").alias("n"), F.count("prev_1d_dir_pct").alias("numeric_pct"))
+
+
+def _prices(spark, sf_dir):
+    """Order lines as a stored price table, with month partitions and the day as third level name."""
+    lines = feeds.table(spark, sf_dir, "lineitem").select(
+        *LINE, F.col("l_extendedprice").alias("price"), F.col("l_shipdate").cast("date").alias("res_dt"), "l_returnflag"
+    )
+    return month_partitions(lines)
+
+
+def replace_day(spark, sf_dir):
+    """A rerun of the newest snapshot with other prices; all other snapshots stay as they were."""
+    path = work_path(spark, "days")
+    base = _prices(spark, sf_dir).withColumns({"month": F.lit("11"), "dt": F.concat("year", F.lit("1101"))})
+    sinks.write_snapshot(base, path)
+    rerun = base.where(base.dt == base.agg(F.max("dt")).scalar()).withColumn("price", F.col("price") + 1)
+    sinks.write_snapshot(rerun, path)
+    return plain(spark.read.schema(base.schema).parquet(path).drop("res_dt"))
+
+
+def merge_by_date(spark, sf_dir):
+    """Months rewritten where days come again: returned lines of the first of a month replace
+    everything of that day and bring a new column."""
+    path = work_path(spark, "months")
+    base = _prices(spark, sf_dir)
+    sinks.write_parquet(base, path, ("year", "month"))
+    again = base.where("day(res_dt) = 1 AND l_returnflag = 'R'").withColumn("revised", F.lit(True))
+    existing = spark.read.schema(base.schema).parquet(path)
+    sinks.merge_by_date(existing, again, path)
+    merged = spark.read.schema(base.withColumn("revised", F.lit(None).cast("boolean")).schema).parquet(path)
+    return plain(merged)
+
+
+def materialize_mart(spark, sf_dir):
+    """A mart rebuilt over an earlier one holds only the new rows."""
+    path = work_path(spark, "mart")
+    snapshot = gold.latest_snapshot(feeds.api10(spark, sf_dir))
+    sinks.write_parquet(gold.price_region_count(snapshot.where("prev_1d_dir_tp = '1'")), path)
+    sinks.write_parquet(gold.price_region_count(snapshot), path)
+    return spark.read.schema("country_nm string, rise_count bigint, drop_count bigint, keep_count bigint").parquet(path)
+
+
+GIVEN = "region nation customer supplier part orders lineitem events".split()
+
+
+def table_inventory(spark, sf_dir):
+    database = "pricelake_inventory"
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    registry.create_databases(spark, work_path(spark, "databases"), (database,))
+    for name in GIVEN:
+        registry.register_files(spark, f"{database}.{name}", f"{sf_dir}/{name}.parquet")
+    return registry.inventory(spark, [database])
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        json_landing_scan,
+        dated_scan,
+        latest_date_scan,
+        landing_write,
+        landing_status_counts,
+        parquet_scan,
+        csv_write,
+        csv_scan,
+        seed_scan,
+        snapshot_write,
+        segment_split,
+        registered_scan,
+        replace_day,
+        merge_by_date,
+        materialize_mart,
+        table_inventory,
+    )
+}
+
+_STAMPED = f"""{PRODUCT_ROWS_SQL},
+batches AS (
+  SELECT batch AS stamp_batch, arg_min(res_dt, file_path || '#' || pos) AS day FROM product_rows GROUP BY batch),
+stored AS (
+  SELECT product_rows.*, substr(day, 1, 4) AS year, substr(day, 6, 2) AS month, replace(day, '-', '') AS dt
+  FROM product_rows JOIN batches ON batch = stamp_batch)"""
+_LINE = "l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey"
+_COUNTS = "WITH {docs} SELECT dt, '01' AS product_cls, country, count(*) AS documents FROM docs WHERE dt = {dt} GROUP BY 1, 2, 3"
+
+ORACLES = {
+    "json_landing_scan": f"""WITH {feeds.PRODUCT_DOCS_SQL}
+SELECT dt, l_tax = 0.01 AS rejected, count(*) AS documents FROM docs GROUP BY 1, 2""",
+    "dated_scan": _COUNTS.format(docs=feeds.PRODUCT_DOCS_SQL, dt="'19981101'"),
+    "latest_date_scan": _COUNTS.format(docs=feeds.PRODUCT_DOCS_SQL, dt="(SELECT max(dt) FROM docs)"),
+    "landing_write": f"""SELECT {_LINE}, strftime(l_shipdate, '%Y%m') AS dt, '01' AS product_cls,
+  CAST(l_linenumber AS VARCHAR) AS category, strftime(l_shipdate, '%Y%m') AS path_dt, '01' AS path_product_cls,
+  CAST(NULL AS VARCHAR) AS path_country, CAST(l_linenumber AS VARCHAR) AS path_category,
+  CAST(NULL AS VARCHAR) AS path_item, CAST(NULL AS VARCHAR) AS path_kind, CAST(NULL AS VARCHAR) AS path_product_rank
+FROM lineitem""",
+    "landing_status_counts": """WITH incoming AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d, l_linenumber AS c FROM lineitem),
+landed AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS c FROM orders)
+SELECT CASE WHEN (d, c) IN (SELECT (d, c) FROM landed) THEN 'overwrite' ELSE 'new' END AS status,
+  count(*) AS objects FROM incoming GROUP BY 1""",
+    "parquet_scan": """SELECT event_type, count(*) AS events, max(event_id) AS last_id FROM events GROUP BY 1""",
+    "csv_write": f"WITH {feeds.PRODUCTS_SQL} SELECT * FROM products",
+    "csv_scan": f"""WITH {feeds.PRODUCTS_SQL}
+SELECT category_cd, kind_cd, count(*) AS products, max(product_no) AS last_no FROM products GROUP BY 1, 2""",
+    "seed_scan": f"WITH {feeds.SEASONS_SQL} SELECT * REPLACE (CAST(month AS BIGINT) AS month) FROM seasons",
+    "snapshot_write": f"""WITH {_STAMPED}
+SELECT year, month, dt, count(*) AS stored_rows, count(DISTINCT product_no) AS products,
+  CAST(CAST(sum(CAST(prev_1d_pr AS DECIMAL(20, 2))) AS DECIMAL(20, 2)) AS VARCHAR) AS price_sum
+FROM stored GROUP BY 1, 2, 3""",
+    "segment_split": f"""WITH {_STAMPED}
+SELECT segment, category_cd, dt, count(*) AS stored_rows, count(item_cd) AS coded FROM stored GROUP BY 1, 2, 3""",
+    "registered_scan": f"""WITH {_STAMPED}
+SELECT dt, country_cd, count(*) AS n, count(*) FILTER (direction_pct <> '[n/a]') AS numeric_pct FROM stored
+WHERE segment = 'main' AND dt = (SELECT max(dt) FROM stored WHERE segment = 'main') GROUP BY 1, 2""",
+    "replace_day": f"""WITH base AS (SELECT *, strftime(l_shipdate, '%Y') AS year FROM lineitem)
+SELECT {_LINE}, l_extendedprice + CASE WHEN year = (SELECT max(year) FROM base) THEN 1 ELSE 0 END AS price,
+  l_returnflag, year, '11' AS month, year || '1101' AS dt FROM base""",
+    "merge_by_date": f"""WITH base AS (SELECT *, CAST(l_shipdate AS DATE) AS d FROM lineitem),
+again AS (SELECT * FROM base WHERE day(d) = 1 AND l_returnflag = 'R')
+SELECT {_LINE}, l_extendedprice AS price, CAST(d AS VARCHAR) AS res_dt, l_returnflag, strftime(d, '%Y') AS year,
+  strftime(d, '%m') AS month, CAST(NULL AS BOOLEAN) AS revised FROM base WHERE d NOT IN (SELECT d FROM again)
+UNION ALL SELECT {_LINE}, l_extendedprice, CAST(d AS VARCHAR), l_returnflag, strftime(d, '%Y'), strftime(d, '%m'), true
+FROM again""",
+    "materialize_mart": f"""WITH {feeds.API10_SQL}
+SELECT country_nm, CAST(count(*) FILTER (prev_1d_dir_tp = '1') AS BIGINT) AS rise_count,
+  CAST(count(*) FILTER (prev_1d_dir_tp = '0') AS BIGINT) AS drop_count,
+  CAST(count(*) FILTER (prev_1d_dir_tp = '2') AS BIGINT) AS keep_count
+FROM snapshot GROUP BY country_nm""",
+    "table_inventory": " UNION ALL ".join(
+        f"""SELECT 'pricelake_inventory' AS database_name, '{name}' AS table_name,
+  (SELECT count(*) FROM (DESCRIBE {name})) AS column_count, count(*) AS row_count FROM {name}"""
+        for name in GIVEN
+    ),
+}
