@@ -85,6 +85,14 @@ def whole(records: str) -> Column:
     return F.when(~F.exists(records, lambda r: r.isNull()), F.col(records))
 
 
+def exploded(docs: DataFrame, keep: list[str], records: str | Column, name: str) -> DataFrame:
+    """One row per record with its position. An inner explode would make the optimizer infer a size
+    filter and push it below the parse, which then runs twice; the outer one with a filter on the
+    position does not."""
+    rows = docs.select(*keep, F.posexplode_outer(records).alias("pos", name))
+    return rows.where("pos IS NOT NULL")
+
+
 def explode_items(docs: DataFrame) -> DataFrame:
     """Category feed: one row per item with stripped labels and cleaned prices.
 
@@ -96,7 +104,7 @@ def explode_items(docs: DataFrame) -> DataFrame:
     has_gap = F.exists("items", lambda i: reduce(Column.__or__, [i[f].isNull() for f in CATEGORY_LABELS]))
     gaps = items.withColumn("has_gap", F.coalesce(has_gap, F.lit(False)))
     keyed = with_records(gaps, "keyed", ["data", "item"], "map<string,string>", only_if=F.col("has_gap"))
-    rows = keyed.select(*docs.columns, "keyed", F.posexplode(whole("items")).alias("pos", "item"))
+    rows = exploded(keyed, [*docs.columns, "keyed"], whole("items"), "item")
     rows = rows.withColumn("keys", F.map_keys(F.get("keyed", F.col("pos")))).drop("keyed")
 
     def label(field: str) -> Column:
@@ -132,8 +140,8 @@ def explode_prices(docs: DataFrame) -> DataFrame:
         .withColumn("price", F.try_element_at("members", F.lit("price")))
         .withColumn("no_record", F.when(F.map_contains_key("members", "price"), F.array(F.lit(None).cast(record))))
         .withColumn("found", F.coalesce(whole("records"), "no_record"))
-        .select(*keep, "error_code", "condition", "price", F.posexplode("found").alias("pos", "record"))
     )
+    rows = exploded(rows, [*keep, "error_code", "condition", "price"], "found", "record")
     leaves = {name: F.col(name) for name in ("error_code", "condition", "price")}
     leaves |= {f: F.col("record")[f] for f in PRODUCT_FIELDS}
     return rows.select(*keep, "pos", *[first_of_list(leaf).alias(name) for name, leaf in leaves.items()])
@@ -143,7 +151,7 @@ def explode_records(docs: DataFrame) -> DataFrame:
     """Region feed: each document is a list of flat records, or one record on its own line."""
     keep = [c for c in docs.columns if c != "value"]
     records = docs.select(*keep, parsed(F.col("value"), f"array<{_record(REGION_FIELDS)}>").alias("records"))
-    return records.select(*keep, F.posexplode(whole("records")).alias("pos", "record")).select(*keep, "pos", "record.*")
+    return exploded(records, keep, whole("records"), "record").select(*keep, "pos", "record.*")
 
 
 def explode_response_records(docs: DataFrame) -> DataFrame:
@@ -151,7 +159,7 @@ def explode_response_records(docs: DataFrame) -> DataFrame:
     keep = [c for c in docs.columns if c != "value"]
     accepted = with_status(docs, "status").where("status = 'ok'").drop("status")
     records = with_records(accepted, "records", ["data", "item"], _record(REGION_FIELDS))
-    return records.select(*keep, F.posexplode(whole("records")).alias("pos", "record")).select(*keep, "pos", "record.*")
+    return exploded(records, keep, whole("records"), "record").select(*keep, "pos", "record.*")
 
 
 def group_by_date(records: DataFrame) -> DataFrame:

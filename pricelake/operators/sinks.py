@@ -11,6 +11,7 @@ from pricelake.fixed import SEGMENTS
 from pricelake.functions import compact_date
 from pricelake.operators.lookup import fits_broadcast
 from pricelake.schemas import LANDING_KEYS, MONTH_PARTITIONS, SNAPSHOT_PARTITIONS
+from pricelake.session import work_path
 
 
 def balanced(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -26,6 +27,15 @@ def write_parquet(df: DataFrame, path: str, partitions: Sequence[str] = (), comp
     writer.parquet(path)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write rows once to the shared folder and go on from there, where a plan needs them more than
+    once and their making (parsing JSON) costs more than reading Parquet. A lost executor re-reads
+    files instead of parsing again."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

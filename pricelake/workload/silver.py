@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pricelake.operators.snapshot import stamp_snapshot
 from pricelake.plans import silver as plans
+from pricelake.plans.loads import stamped_products
 from pricelake.sources.landing import latest_date
 from pricelake.workload import feeds
 from pricelake.workload.shape import plain
@@ -13,24 +13,20 @@ def api1_silver(spark, sf_dir):
     return plain(plans.category_silver(feeds.category_docs(spark, sf_dir)))
 
 
-def product_history(spark, sf_dir):
-    """Product feed of every landed date, with the landing date as batch."""
-    docs = feeds.product_docs(spark, sf_dir)
-    batch = docs.withColumn("batch", docs.dt)
-    codes = plans.product_codes(feeds.products(spark, sf_dir), [(0, "616", "01", "21", "中")])
-    return plans.product_silver(batch, codes, extra=["batch"])
+def product_codes(spark, sf_dir):
+    return plans.product_codes(feeds.products(spark, sf_dir), [(0, "616", "01", "21", "中")])
 
 
 def api10_silver(spark, sf_dir):
     """The daily job: newest landing date of the retail class, stamped with its snapshot date."""
     docs = latest_date(feeds.product_docs(spark, sf_dir), "01")
-    codes = plans.product_codes(feeds.products(spark, sf_dir), [(0, "616", "01", "21", "中")])
-    rows = plans.product_silver(docs.withColumn("batch", docs.dt), codes, extra=["batch"])
-    return plain(stamp_snapshot(rows).drop("file_path", "pos", "batch"))
+    return plain(stamped_products(docs, product_codes(spark, sf_dir)))
 
 
 def api10_silver_history(spark, sf_dir):
-    return plain(product_history(spark, sf_dir).drop("file_path", "pos"))
+    docs = feeds.product_docs(spark, sf_dir)
+    rows = plans.product_silver(docs.withColumn("batch", docs.dt), product_codes(spark, sf_dir), extra=["batch"])
+    return plain(rows.drop("file_path", "pos"))
 
 
 def api17_silver(spark, sf_dir):

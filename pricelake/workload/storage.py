@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from pricelake.functions import path_attribute
 from pricelake.operators import registry, sinks
-from pricelake.operators.snapshot import month_partitions, stamp_snapshot
+from pricelake.operators.snapshot import month_partitions
 from pricelake.plans import gold
+from pricelake.plans.loads import load_products, stamped_products
 from pricelake.schemas import LANDING_KEYS, PRODUCTS, SEASONS
 from pricelake.session import work_path
 from pricelake.sources import landing, tables
 from pricelake.workload import feeds
 from pricelake.workload.shape import plain
-from pricelake.workload.silver import PRODUCT_ROWS_SQL, product_history
+from pricelake.workload.silver import PRODUCT_ROWS_SQL, product_codes
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -107,15 +108,15 @@ def seed_scan(spark, sf_dir):
 def _stored_products(spark, sf_dir):
     """Product history stamped per batch and written to all segments."""
     root = work_path(spark, "api10")
-    sinks.write_segments(stamp_snapshot(product_history(spark, sf_dir)).drop("file_path", "pos", "batch"), root)
+    load_products(feeds.product_docs(spark, sf_dir), product_codes(spark, sf_dir), root)
     return root
 
 
 def snapshot_write(spark, sf_dir):
     """Snapshot folders: one date per batch, that of the batch's first row."""
     path = work_path(spark, "snapshots")
-    stamped = stamp_snapshot(product_history(spark, sf_dir)).drop("file_path", "pos", "batch", "segment")
-    sinks.write_snapshot(stamped, path)
+    docs = feeds.product_docs(spark, sf_dir)
+    sinks.write_snapshot(stamped_products(docs, product_codes(spark, sf_dir)).drop("segment"), path)
     stored = tables.read_silver(spark, path, "api10")
     return stored.groupBy("year", "month", "dt").agg(
         F.count("*").alias("stored_rows"), F.countDistinct("product_no").alias("products"), F.sum(F.col("prev_1d_pr").cast("decimal(20,2)")).cast("decimal(20,2)").cast("string").alias("price_sum")
