@@ -34,7 +34,7 @@ def accepted_values(df: DataFrame, table: str, column: str, values: Sequence[str
 
 def unique_key(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Key combinations held by more than one row."""
-    repeated = df.groupBy(*columns).agg(F.count("*").alias("n")).where("n > 1")
+    repeated = df.groupBy(*columns).agg(F.count("*").alias("_copies")).where("_copies > 1")
     return _report(repeated.agg(F.count("*").alias("failing_rows")), table, "unique", ",".join(columns))
 
 

@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """``name type`` pairs to a schema; needs no running session, unlike Spark's own reader."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 DATE_BLOCK = "res_dt date, week_of_year int, weekday_num int, weekday_nm string, weekend_yn boolean"

@@ -31,7 +31,7 @@ def read_documents(
     """Scan a landing zone. ``keys`` are the folder levels below ``root``, outermost first,
     and become partition columns, so a filter on ``dt`` prunes folders."""
     schema = ", ".join(f"{name} string" for name in ("value", *keys))
-    docs = spark.read.schema(schema).option("wholetext", one_per_file).text(root)
+    docs = spark.read.schema(schema).text(root, wholetext=one_per_file)
     docs = docs.select(path_text(F.col("_metadata.file_path")).alias("file_path"), "*")
     return docs.where(F.col("file_path").endswith(suffix)) if suffix else docs
 

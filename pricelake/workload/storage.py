@@ -54,7 +54,7 @@ def landing_write(spark, sf_dir):
         F.to_json(F.struct(*LINE)).alias("value"),
         F.date_format("l_shipdate", "yyyy-MM").alias("dt"),
         F.lit("01").alias("product_cls"),
-        F.col("l_linenumber").cast("string").alias("category"),
+        F.col("l_returnflag").alias("category"),
     )
     root = work_path(spark, "landing")
     keys = sinks.land_documents(lines, root, normalize_dt=True)
@@ -234,8 +234,8 @@ SELECT dt, l_tax = 0.01 AS rejected, count(*) AS documents FROM docs GROUP BY 1,
     "dated_scan": _COUNTS.format(docs=feeds.PRODUCT_DOCS_SQL, dt="'19981101'"),
     "latest_date_scan": _COUNTS.format(docs=feeds.PRODUCT_DOCS_SQL, dt="(SELECT max(dt) FROM docs)"),
     "landing_write": f"""SELECT {_LINE}, strftime(l_shipdate, '%Y%m') AS dt, '01' AS product_cls,
-  CAST(l_linenumber AS VARCHAR) AS category, strftime(l_shipdate, '%Y%m') AS path_dt, '01' AS path_product_cls,
-  CAST(NULL AS VARCHAR) AS path_country, CAST(l_linenumber AS VARCHAR) AS path_category,
+  l_returnflag AS category, strftime(l_shipdate, '%Y%m') AS path_dt, '01' AS path_product_cls,
+  CAST(NULL AS VARCHAR) AS path_country, l_returnflag AS path_category,
   CAST(NULL AS VARCHAR) AS path_item, CAST(NULL AS VARCHAR) AS path_kind, CAST(NULL AS VARCHAR) AS path_product_rank
 FROM lineitem""",
     "landing_status_counts": """WITH incoming AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d, l_linenumber AS c FROM lineitem),
