@@ -13,11 +13,7 @@ STRIPPED = (
 
 
 def strip(text: Column) -> Column:
-    """Remove outer spaces. Plain blanks go first; the longer list is searched only when the
-    text still begins or ends outside the printable ASCII characters."""
-    blank = F.trim(text)
-    inside = F.substring(blank, 1, 1).between("!", "~") & F.substring(blank, -1, 1).between("!", "~")
-    return F.when(inside | (blank == ""), blank).otherwise(F.trim(text, F.lit(STRIPPED)))
+    return F.trim(text, F.lit(STRIPPED))
 
 
 def padded(value: Column, width: int = 2) -> Column:

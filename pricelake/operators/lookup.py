@@ -6,15 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 BROADCAST_LIMIT_ROWS = 500_000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_LIMIT_ROWS, max_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
-    """Measure a dimension; the scan stops at ``max_rows`` + 1 rows."""
-    size = F.sum(F.length(F.to_json(F.struct(*dim.columns)))).alias("bytes")
-    measured = dim.limit(max_rows + 1).agg(F.count("*").alias("rows"), size).first()
+    """Measure a dimension by one distributed aggregate: its rows, its texts and 8 bytes per other column."""
+    texts = [f.name for f in dim.schema.fields if isinstance(f.dataType, T.StringType)]
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(8 * (len(dim.columns) - len(texts))))
+    measured = dim.agg(F.count("*").alias("rows"), F.sum(width.cast("bigint")).alias("bytes")).first()
     return measured.rows <= max_rows and (measured.bytes or 0) <= max_bytes
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,9 @@ DEFAULT_CONF = {
     # year=/month=/dt= are strings with leading zeros; inference would turn them into ints.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Wide projections (dozens of parsed columns) make methods the JVM never compiles; beyond this
+    # size Spark splits them into small ones instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -27,6 +31,11 @@ def build_session(app_name: str = "pricelake", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="pricelake-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the checkpoint folder the cluster names.
 
@@ -37,9 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="pricelake-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_dir()
 
 
 def work_path(spark: SparkSession, name: str) -> str:

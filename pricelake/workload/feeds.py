@@ -294,6 +294,10 @@ def _price(step: int) -> Column:
     return F.format_number(F.col("l_extendedprice") + step, 2)
 
 
+def _plain_price(step: int) -> Column:
+    return (F.col("l_extendedprice") + step).cast("decimal(14,2)").cast("string")
+
+
 def category_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One response of the category feed per order line: an item list, one item, no data, an error,
     broken text or a list with a hole."""
@@ -312,7 +316,7 @@ def category_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("당일 ("), F.date_format("l_shipdate", "MM/dd"), F.lit(")")).alias("day1"),
             *[F.lit(f"D{j}").alias(f"day{j}") for j in range(2, 8)],
             base.alias("dpr1"),
-            *[_price(10 * k + j).alias(f"dpr{j}") for j in range(2, 8)],
+            *[_plain_price(10 * k + j).alias(f"dpr{j}") for j in range(2, 8)],
         )
 
     def response(items: Column) -> Column:
@@ -401,8 +405,8 @@ def product_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             *[F.date_format("l_shipdate", "MM/dd").alias(f"day{j}") for j in range(1, 5)],
             F.when(rate == 0.03, "@none@").otherwise(_price(10 * k + 1)).alias("dpr1"),
             F.concat(F.lit(" "), _price(10 * k + 2), F.lit(" ")).alias("dpr2"),
-            F.when(rate == 0.04, "-").otherwise(_price(10 * k + 3)).alias("dpr3"),
-            _price(10 * k + 4).alias("dpr4"),
+            F.when(rate == 0.04, "-").otherwise(_plain_price(10 * k + 3)).alias("dpr3"),
+            _plain_price(10 * k + 4).alias("dpr4"),
             direction.alias("direction"),
             change.alias("value"),
             _place().alias("county_code"),

@@ -11,6 +11,7 @@ from pricelake.operators.snapshot import month_partitions, stamp_snapshot
 from pricelake.plans import build, gold, loads
 from pricelake.plans.silver import product_codes
 from pricelake.schemas import API10, PRODUCTS, SEASONS, SILVER
+from pricelake.session import shared_dir
 from pricelake.sources import tables
 
 
@@ -80,6 +81,24 @@ def test_broadcast_is_measured(spark):
     assert lookup.fits_broadcast(dim, max_rows=100)
     assert not lookup.fits_broadcast(dim, max_rows=99)
     assert not lookup.fits_broadcast(dim, max_bytes=500)
+    texts = dim.select(F.repeat(F.lit("x"), 10).alias("t"))
+    assert lookup.fits_broadcast(texts, max_bytes=1000)
+    assert not lookup.fits_broadcast(texts, max_bytes=999)
+
+
+def test_no_temporary_folder_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
+    Session.sparkContext.master = "local[2]"
+    assert shared_dir(Session) == shared_dir(Session)
 
 
 def test_stamp_uses_first_row(spark):
