@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from pricelake.operators import documents as ops
 from pricelake.operators import quality
+from pricelake.operators.landing_keys import category_keys, product_keys
 from pricelake.plans.silver import category_rows
+from pricelake.sources.landing import parsed
 from pricelake.workload import feeds
 from pricelake.workload.shape import plain
 
@@ -57,6 +59,23 @@ def condition_dates(spark, sf_dir):
     return docs.select("file_path", ops.condition_date(F.col("value")).alias("dt"))
 
 
+def category_landing_keys(spark, sf_dir):
+    """Keys of category responses from what they echo: here only the day, so class and region take
+    their defaults."""
+    responses = feeds.category_docs(spark, sf_dir).select("value")
+    return category_keys(responses).groupBy("dt", "product_cls", "country", "category").agg(F.count("*").alias("documents"))
+
+
+def product_landing_keys(spark, sf_dir):
+    """Keys of product responses, with the requested region stamped into each document."""
+    responses = feeds.product_docs(spark, sf_dir).select("value", F.col("country").alias("region"))
+    keyed = product_keys(responses, "region")
+    stamped = parsed(F.col("value"), "struct<_country_code:string,error_code:string>")
+    return keyed.select(
+        "dt", "product_cls", "country", stamped["_country_code"].alias("stamped"), stamped["error_code"].alias("error_code")
+    )
+
+
 def group_by_date(spark, sf_dir):
     """Records of region responses with the date they land under."""
     records = ops.group_by_date(ops.explode_response_records(feeds.region_responses(spark, sf_dir)))
@@ -82,6 +101,8 @@ QUERIES = {
         classify_price_lists,
         condition_fields,
         condition_dates,
+        category_landing_keys,
+        product_landing_keys,
         group_by_date,
         drop_missing_price,
         drop_accounting,
@@ -141,6 +162,12 @@ SELECT 'raw/api-1/dt=' || dt || '/product_cls=' || product_cls || '/country=' ||
 SELECT 'raw/api-10/dt=' || dt || '/product_cls=01/country=' || country || '/' || l_orderkey || '-'
     || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '/data.json' AS file_path,
   CASE WHEN l_tax <> 0.01 THEN strftime(l_shipdate, '%Y-%m-%d') END AS dt FROM docs""",
+    "category_landing_keys": f"""WITH {feeds.CATEGORY_DOCS_SQL}
+SELECT strftime(l_shipdate, '%Y-%m-%d') AS dt, '01' AS product_cls, 'all' AS country, '' AS category,
+  count(*) AS documents FROM docs WHERE l_tax > 0.025 GROUP BY 1""",
+    "product_landing_keys": f"""WITH {feeds.PRODUCT_DOCS_SQL}
+SELECT strftime(l_shipdate, '%Y%m%d') AS dt, '01' AS product_cls, country, country AS stamped, '000' AS error_code
+FROM docs WHERE l_tax <> 0.01""",
     "group_by_date": f"""WITH {feeds.REGION_ROWS_SQL}
 SELECT CAST(k - 1 AS BIGINT) AS pos, 'M' || l_suppkey AS marketname,
   CASE WHEN l_discount = 0.06 THEN '-' ELSE format('{{:,.2f}}', l_extendedprice + k) END AS price,

@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from pricelake.operators import documents as ops
+from pricelake.operators.landing_keys import category_keys, organic_keys, product_keys
 from pricelake.operators.requests import category_requests, product_requests, tree_requests
 from pricelake.plans import silver
 from pricelake.schemas import PRODUCTS
@@ -112,6 +113,24 @@ def test_condition(spark):
     assert [r.v for r in dates] == [None, "2025-12-11", None]
 
 
+def test_landing_keys(spark):
+    category = '{"condition":[{"p_regday":"2025-12-11","p_product_cls_code":"02","p_country_code":"","p_category_code":"100"}]}'
+    keyed = category_keys(frame(spark, [category, "{}"])).drop("file_path", "value").collect()
+    assert [tuple(r) for r in keyed] == [("2025-12-11", "02", "all", "100")]
+
+    product = frame(spark, [' {"condition":[["2025-12-11"]],"price":[]}', '{"condition":[]}'], region="1101")
+    row = product_keys(product, "region").collect()
+    assert [(r.dt, r.product_cls, r.country) for r in row] == [("20251211", "01", "1101")]
+    assert json.loads(row[0].value) == {"_country_code": "1101", "condition": [["2025-12-11"]], "price": []}
+
+    organic = (
+        '{"condition":[{"p_regday":"2025-12-11","p_itemcategorycode":"100","p_itemcode":"111","p_kindcode":"01",'
+        '"p_productrankcode":"04"}]}'
+    )
+    keyed = organic_keys(frame(spark, [organic])).drop("file_path", "value").first()
+    assert tuple(keyed) == ("2025-12-11", "01", "all", "100", "111", "01", "04")
+
+
 def test_response_records_by_date(spark):
     docs = frame(
         spark,
