@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricelake.fixed import UNKNOWN_WEEKDAY, WEEKDAY_NAMES
 from pricelake.functions.padding import padded, strip
 
 
 def try_iso_date(value: Column) -> Column:
-    """``yyyy-MM-dd`` text (or a date) to DATE, NULL when it does not parse."""
-    return F.try_to_date(value.cast("string"), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` text to DATE, NULL when it does not parse."""
+    return F.try_to_date(value, "yyyy-MM-dd")
 
 
 def compact_date(value: Column) -> Column:
@@ -27,7 +28,7 @@ def date_from_parts(year: Column, month_day: Column) -> Column:
 
 
 def add_date_features(df: DataFrame, column: str) -> DataFrame:
-    """Parse ``column`` to DATE and add year, month, ISO week and weekday columns.
+    """Parse ``column`` to DATE, unless it is one, and add year, month, ISO week and weekday columns.
 
     A frame without the column is returned as it is. The ISO week stands beside the
     calendar year: 2025-12-29 is week 1 with year 2025.
@@ -37,7 +38,9 @@ def add_date_features(df: DataFrame, column: str) -> DataFrame:
     day = F.col(column)
     number = F.weekday(day)
     names = F.array(*[F.lit(name) for name in WEEKDAY_NAMES])
-    return df.withColumn(column, try_iso_date(day)).withColumns(
+    is_date = isinstance(df.schema[column].dataType, T.DateType)
+    dated = df if is_date else df.withColumn(column, try_iso_date(day))
+    return dated.withColumns(
         {
             "year": F.year(day),
             "month": F.month(day),
