@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
 
 from pyspark.sql import SparkSession
 
+# Folders handed out by this process and not yet removed.
+_handed_out: list[str] = []
+
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -32,23 +37,43 @@ def build_session(app_name: str = "pricelake", master: str | None = None, **conf
 
 
 @cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="pricelake-")
+def _own_dir() -> str:
+    """Folder of a session that names none; it goes when the process ends."""
+    path = tempfile.mkdtemp(prefix="pricelake-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the checkpoint folder the cluster names.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    A local master without the setting gets a folder of its own, named in the session from then on.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_dir()
+    spark.conf.set("spark.checkpoint.dir", _own_dir())
+    return _own_dir()
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder; two runs never meet in one."""
-    return f"{shared_dir(spark)}/pricelake/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared folder; two runs never meet in one. ``discard`` or ``release`` removes it."""
+    path = f"{shared_dir(spark)}/pricelake/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove work folders that nothing reads any more, in whatever store holds them."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in _handed_out:
+            _handed_out.remove(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every work folder handed out so far, once the frames that read them are done with."""
+    discard(spark, *list(_handed_out))
