@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import exact_dedup, line_dedup, near_dedup
+from pricelake.llm import decontamination, exact_dedup, language_id, line_dedup, near_dedup
+from pricelake.llm.common import id_remainder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,15 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("clean_text").cast("binary"), 256).alias("clean_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.learn(docs.where(language_id.training_rows("doc_id")))
+    held_out = id_remainder("doc_id", language_id.FOLDS) == language_id.HELD_OUT
+    found = language_id.predict_languages(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -28,10 +38,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, one row for each document and item."""
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLES = {
@@ -54,4 +71,43 @@ ORACLES = {
             doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op9_decontamination": """
+        WITH item_lines AS (
+            SELECT item_id, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS l
+            FROM benchmark WHERE text IS NOT NULL
+        ), parts AS (
+            SELECT item_id, 'q' AS part, array_to_string(CASE WHEN len(l) > 1 THEN l[:-2] ELSE l END, chr(10)) AS t FROM item_lines
+            UNION ALL
+            SELECT item_id, 'a', l[-1] FROM item_lines WHERE len(l) > 1
+        ), texts AS (
+            SELECT item_id AS id, part, t FROM parts UNION ALL SELECT doc_id, 'd', text FROM documents
+        ), word_lists AS (
+            SELECT id, part, regexp_extract_all(
+                translate(coalesce(t, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x20\\x09-\\x0D]+') AS w
+            FROM texts
+        ), shingle_lists AS (
+            SELECT id, part, len(w) AS n, list_distinct(
+                list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s,
+                ' ' || array_to_string(w, ' ') || ' ' AS joined
+            FROM word_lists WHERE len(w) > 0
+        ), item_shingles AS (
+            SELECT id, part, n, unnest(s) AS s FROM shingle_lists WHERE part <> 'd'
+        ), totals AS (
+            SELECT id, part, len(s) AS total FROM shingle_lists WHERE part <> 'd'
+        ), shared AS (
+            SELECT d.id AS doc_id, i.id AS item_id, i.part, count(*) AS shared
+            FROM (SELECT id, unnest(s) AS s FROM shingle_lists WHERE part = 'd') d JOIN item_shingles i ON d.s = i.s AND i.n >= 5
+            GROUP BY ALL
+            UNION ALL
+            SELECT d.id, i.id, i.part, 1
+            FROM shingle_lists d JOIN item_shingles i ON d.part = 'd' AND i.n < 5 AND contains(d.joined, ' ' || i.s || ' ')
+        )
+        SELECT q.doc_id, q.item_id, CAST(q.shared AS INTEGER) AS question_shared, CAST(qt.total AS INTEGER) AS question_total,
+            CAST(coalesce(a.shared, 0) AS INTEGER) AS answer_shared, CAST(coalesce(ta.total, 0) AS INTEGER) AS answer_total
+        FROM shared q JOIN totals qt ON qt.id = q.item_id AND qt.part = 'q'
+        LEFT JOIN totals ta ON ta.id = q.item_id AND ta.part = 'a'
+        LEFT JOIN shared a ON a.doc_id = q.doc_id AND a.item_id = q.item_id AND a.part = 'a'
+        WHERE q.part = 'q' AND q.shared >= 0.8 * qt.total AND coalesce(a.shared, 0) >= 0.8 * coalesce(ta.total, 0)
+    """,
 }
