@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import decontamination, exact_dedup, language_id, line_dedup, near_dedup
+from pricelake.llm import decontamination, exact_dedup, language_id, line_dedup, near_dedup, piece_sampling, token_files
 from pricelake.llm.common import id_remainder
 
 
@@ -33,11 +34,31 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's token ids, from the files they were written to."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.checksums(token_files.token_files_round_trip(_table(spark, sf_dir, "documents"), tokenizer))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts of every document and which row stays."""
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every document, counted and checked, and whether the decoded text is the text itself."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = piece_sampling.decode(piece_sampling.encode(docs, model), model)
+    return found.select(
+        "doc_id",
+        F.size("pieces").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_xxh64"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items, one row for each document and item."""
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -47,7 +68,9 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
+    "op5_token_files": op5_token_files,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_piece_sampling": op8_piece_sampling,
     "op9_decontamination": op9_decontamination,
 }
 
