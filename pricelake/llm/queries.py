@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import decontamination, exact_dedup, language_id, line_dedup, near_dedup, piece_sampling, token_files
+from pricelake.llm import (
+    decontamination,
+    exact_dedup,
+    language_id,
+    licenses,
+    line_dedup,
+    near_dedup,
+    piece_sampling,
+    token_files,
+    toxicity,
+)
 from pricelake.llm.common import id_remainder
 
 
@@ -40,6 +50,14 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.token_files_round_trip(_table(spark, sf_dir, "documents"), tokenizer))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from toxic examples and unlabelled text of four fifths of them."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs.where(toxicity.training_rows("doc_id")), labels.where(toxicity.training_rows("doc_id")))
+    held_out = id_remainder("doc_id", toxicity.FOLDS) == toxicity.HELD_OUT
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts of every document and which row stays."""
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
@@ -64,14 +82,25 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every page: its address is the path, its visible text the file."""
+    pages = _table(spark, sf_dir, "pages")
+    path = F.regexp_replace(F.regexp_replace("url", "[?#].*$", ""), "^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    hidden = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "\n")
+    visible = F.regexp_replace(hidden, "<[^>]*>", "\n")
+    return licenses.scan_licences(pages.select("page_id", path.alias("path"), visible.alias("text")), "page_id")
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
     "op5_token_files": op5_token_files,
+    "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_piece_sampling": op8_piece_sampling,
     "op9_decontamination": op9_decontamination,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLES = {
