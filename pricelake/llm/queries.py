@@ -10,6 +10,7 @@ from pricelake.llm import (
     decontamination,
     exact_dedup,
     language_id,
+    language_model,
     licenses,
     line_dedup,
     near_dedup,
@@ -24,6 +25,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document, learned from four fifths of them."""
+    scored = language_model.train_and_score(_table(spark, sf_dir, "documents"), language_model.training_rows("doc_id"))
+    held_out = id_remainder("doc_id", language_model.FOLDS) == language_model.HELD_OUT
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten sources or more share, as counts and a digest of the remaining text."""
     cleaned = line_dedup.remove_shared_lines(_table(spark, sf_dir, "documents"))
@@ -92,6 +100,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_model": op1_language_model,
     "op2_line_dedup": op2_line_dedup,
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
