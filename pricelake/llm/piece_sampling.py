@@ -274,8 +274,12 @@ def decode(rows: DataFrame, model: str, pieces: str = "pieces", output: str = "d
     return map_batches(rows, of_batches, T.StructType([*rows.schema.fields, T.StructField(output, T.StringType())]))
 
 
-def keep_lossless(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents with ``pieces``, ``n_pieces`` and the text decoded from the pieces in place of their text."""
+def encode_and_decode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """All documents with their text decoded from their pieces, then ``pieces`` and ``n_pieces``. NULL texts come back empty.
+
+    Columns of the documents called like one of the two, or ``decoded``, are replaced or left out.
+    """
     encoded = decode(encode(docs, model, key, text), model)
-    columns = [F.col("decoded").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    added = ("pieces", "n_pieces", "decoded")
+    columns = [F.col("decoded").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c not in added]
     return encoded.select(*columns, "pieces", F.size("pieces").alias("n_pieces"))
