@@ -192,7 +192,7 @@ def contexts(units: np.ndarray, first: np.ndarray) -> np.ndarray:
     out = np.empty((CONTEXT, len(units)), np.int64)
     for n in range(CONTEXT):
         at = places - n - 1
-        out[n] = np.where(at >= first, units[at], UNITS)
+        out[n] = np.where(at >= first, units[np.maximum(at, 0)], UNITS)
     return out
 
 
