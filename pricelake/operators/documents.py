@@ -7,6 +7,7 @@ gave nothing. A document is all or nothing: one bad element rejects the whole do
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -93,6 +94,45 @@ def exploded(docs: DataFrame, keep: list[str], records: str | Column, name: str)
     return rows.where("pos IS NOT NULL")
 
 
+REASONS = ("unreadable", "bad_record")
+
+
+def with_outcome(docs: DataFrame, feed: str) -> DataFrame:
+    """Add ``outcome`` to every document of a feed: ``rows`` it gives, ``empty``, or why it is rejected.
+
+    ``unreadable`` is no JSON; ``bad_record`` holds a record that is none, which rejects the whole document. The rule is the one the
+    explodes follow, so documents with rows, empty and rejected ones add up to all.
+    """
+    fields = {"category": [*CATEGORY_LABELS, *CATEGORY_PRICES], "product": PRODUCT_FIELDS, "region": REGION_FIELDS}[feed]
+    record = _record(fields[:1])
+    if feed == "category":
+        found = with_records(docs, "_records", ["data", "item"], record)
+        no_list = F.lit("empty")
+    elif feed == "product":
+        price = parsed(F.col("value"), f"struct<price:array<{record}>>")["price"]
+        found = docs.withColumn("_records", price)
+        is_list = parsed(F.col("value"), "struct<price:array<string>>")["price"].isNotNull()
+        key = F.map_contains_key(parsed(F.col("value"), "map<string,string>"), "price")
+        no_list = F.when(is_list, "bad_record").when(key, "rows").otherwise("empty")
+    else:
+        found = docs.withColumn("_records", parsed(F.col("value"), f"array<{record}>"))
+        no_list = F.lit("empty")
+    hole = F.exists("_records", lambda r: r.isNull())
+    outcome = (
+        F.when(F.try_parse_json("value").isNull(), "unreadable")
+        .when(F.col("_records").isNull(), no_list)
+        .when(hole, "bad_record")
+        .when(F.size("_records") == 0, "empty")
+        .otherwise("rows")
+    )
+    return found.withColumn("outcome", outcome).drop("_records")
+
+
+def rejected(docs: DataFrame, feed: str) -> DataFrame:
+    """Documents of a feed that give no rows though they are not empty: all their columns and the ``reason``."""
+    return with_outcome(docs, feed).where(F.col("outcome").isin(*REASONS)).withColumnRenamed("outcome", "reason")
+
+
 def explode_items(docs: DataFrame) -> DataFrame:
     """Category feed: one row per item with stripped labels and cleaned prices.
 
@@ -120,13 +160,14 @@ def explode_items(docs: DataFrame) -> DataFrame:
     )
 
 
-def explode_prices(docs: DataFrame) -> DataFrame:
+def explode_prices(docs: DataFrame, fields: Sequence[str] = PRODUCT_FIELDS) -> DataFrame:
     """Product feed: one row per ``price`` element with list leaves collapsed.
 
-    A ``price`` that is no list gives one row holding it as text; a missing one gives none.
+    A ``price`` that is no list gives one row holding it as text; a missing one gives none. ``fields`` limits the
+    parse to some fields of a record; the rows are the same ones.
     """
     keep = [c for c in docs.columns if c != "value"]
-    record = _record(PRODUCT_FIELDS)
+    record = _record(fields)
     typed = parsed(F.col("value"), f"struct<error_code:string,condition:string,price:array<{record}>>")
     # Only where the typed list is absent: is it a list after all, is there a key, and its text.
     absent = F.col("records").isNull()
@@ -143,7 +184,7 @@ def explode_prices(docs: DataFrame) -> DataFrame:
     )
     rows = exploded(rows, [*keep, "error_code", "condition", "price"], "found", "record")
     leaves = {name: F.col(name) for name in ("error_code", "condition", "price")}
-    leaves |= {f: F.col("record")[f] for f in PRODUCT_FIELDS}
+    leaves |= {f: F.col("record")[f] for f in fields}
     return rows.select(*keep, "pos", *[first_of_list(leaf).alias(name) for name, leaf in leaves.items()])
 
 
@@ -215,9 +256,13 @@ def with_price_list_status(docs: DataFrame, name: str) -> DataFrame:
     return docs.withColumn("_prices", prices).withColumn(name, status).drop("_prices")
 
 
-def condition_field(value: Column, key: str) -> Column:
-    """A text field of the first request condition, stripped; absent, blank or no text gives ``""``."""
-    first = F.get(parsed(value, "struct<condition:array<variant>>")["condition"], F.lit(0))
+def first_condition(value: Column) -> Column:
+    """The first request condition of a response, parsed once for all its fields."""
+    return F.get(parsed(value, "struct<condition:array<variant>>")["condition"], F.lit(0))
+
+
+def condition_field(first: Column, key: str) -> Column:
+    """A text field of a request condition, stripped; absent, blank or no text gives ``""``."""
     leaf = F.try_variant_get(first, f"$.{key}", "variant")
     text = F.when(F.schema_of_variant(leaf) == "STRING", F.try_variant_get(leaf, "$", "string"))
     return F.coalesce(strip(text), F.lit(""))

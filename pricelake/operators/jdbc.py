@@ -27,24 +27,23 @@ def column_type(kind: T.DataType) -> str:
     return COLUMN_TYPES.get(type(kind), "TEXT")
 
 
-def create_table_sql(table: str, schema: T.StructType) -> str:
-    columns = ", ".join(f'"{f.name}" {column_type(f.dataType)}' for f in schema.fields)
-    return f"CREATE TABLE IF NOT EXISTS {table} ({columns})"
+def column_types(schema: T.StructType) -> str:
+    """Column list for the writer, which creates a missing table with these types."""
+    return ", ".join(f"`{f.name}` {column_type(f.dataType)}" for f in schema.fields)
 
 
 def publish(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None, writers: int = 8) -> None:
     """Full load: create the table if it is missing, else empty it, then insert in parallel batches.
 
     Each task commits its own rows, so a failed load leaves the table part-filled and must be
-    run again; an empty mart empties its table. Empty texts stay empty texts.
+    run again; an empty mart empties its table. Empty texts stay empty texts. Where readers must never see a part-filled
+    table, publish to a staging table and swap the names in one transaction of the database.
     """
-    for field in df.schema.fields:
-        column_type(field.dataType)
     options = {"batchsize": "10000", "isolationLevel": "READ_COMMITTED", **(properties or {})}
     (
         df.write.format("jdbc")
         .mode("overwrite")
-        .options(url=url, dbtable=table, truncate="true", numPartitions=str(writers), **options)
+        .options(url=url, dbtable=table, truncate="true", createTableColumnTypes=column_types(df.schema), numPartitions=str(writers), **options)
         .save()
     )
 

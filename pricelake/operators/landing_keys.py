@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pricelake.fixed import NATIONWIDE_CODE
 from pricelake.functions import compact_date
-from pricelake.operators.documents import condition_date, condition_field
+from pricelake.operators.documents import condition_date, condition_field, first_condition
 
 
 def _or(text: Column, default: str) -> Column:
@@ -19,8 +19,8 @@ def _or(text: Column, default: str) -> Column:
 
 def category_keys(responses: DataFrame) -> DataFrame:
     """Category feed: a request without a region covers the whole country."""
-    value = F.col("value")
-    keyed = responses.withColumns(
+    value = F.col("_condition")
+    keyed = responses.withColumn("_condition", first_condition(F.col("value"))).withColumns(
         {
             "dt": condition_field(value, "p_regday"),
             "product_cls": _or(condition_field(value, "p_product_cls_code"), "01"),
@@ -28,7 +28,7 @@ def category_keys(responses: DataFrame) -> DataFrame:
             "category": condition_field(value, "p_category_code"),
         }
     )
-    return keyed.where("dt <> ''")
+    return keyed.drop("_condition").where("dt <> ''")
 
 
 def product_keys(responses: DataFrame, region: str) -> DataFrame:
@@ -51,9 +51,9 @@ def product_keys(responses: DataFrame, region: str) -> DataFrame:
 
 def organic_keys(responses: DataFrame) -> DataFrame:
     """Organic feed: always the retail class and the whole country."""
-    value = F.col("value")
+    value = F.col("_condition")
     names = {"category": "p_itemcategorycode", "item": "p_itemcode", "kind": "p_kindcode", "product_rank": "p_productrankcode"}
-    keyed = responses.withColumns(
+    keyed = responses.withColumn("_condition", first_condition(F.col("value"))).withColumns(
         {
             "dt": condition_field(value, "p_regday"),
             "product_cls": F.lit("01"),
@@ -61,4 +61,4 @@ def organic_keys(responses: DataFrame) -> DataFrame:
             **{key: condition_field(value, field) for key, field in names.items()},
         }
     )
-    return keyed.where("dt <> ''")
+    return keyed.drop("_condition").where("dt <> ''")

@@ -25,17 +25,18 @@ def lookup_join(
     dim: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    broadcast: bool | None = None,
+    stored: bool = True,
 ) -> DataFrame:
     """Join a fact table to a dimension on equal keys, keeping every fact row (``left``) or the
     matching ones (``inner``, ``left_semi``, ``left_anti``).
 
-    A dimension measured small is broadcast. A larger one is shuffled on the keys, where adaptive
+    A stored dimension that measures small is broadcast. A larger one is shuffled on the keys, where adaptive
     execution splits a fact partition that one key made too large (all these join types allow
-    splitting the fact side). NULL keys match nothing.
+    splitting the fact side). One that is an aggregate (``stored=False``) is never run just to be measured: adaptive
+    execution knows its size when it has run. NULL keys match nothing.
     """
     dim = dim.where(" AND ".join(f"`{k}` IS NOT NULL" for k in on))
-    small = fits_broadcast(dim) if broadcast is None else broadcast
+    small = stored and fits_broadcast(dim)
     return fact.join(F.broadcast(dim) if small else dim, list(on), how)
 
 

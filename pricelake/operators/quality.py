@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelake.operators.ranking import newest
+
 
 def _report(failing: DataFrame, table: str, check: str, column: str | Column) -> DataFrame:
     return failing.select(
@@ -56,13 +58,13 @@ def numeric_text(df: DataFrame, table: str, column: str) -> DataFrame:
     return _report(df.agg(F.count_if(lost).alias("failing_rows")), table, "numeric", column)
 
 
-def reconcile_newest(source: DataFrame, model: DataFrame, table: str, date: str = "dt") -> DataFrame:
-    """The newest date of the source and the model built on it must have equally many rows.
+def reconcile_newest(source: DataFrame, model: DataFrame, table: str, date: str = "dt", known: str | None = None) -> DataFrame:
+    """The newest date of the source and the model built on it must have equally many rows. ``known`` is that date where the
+    caller has it from partition names.
 
     The two one-row counts are put together by a union and a sum, without a join.
     """
-    newest = source.where(source[date] == source.agg(F.max(date)).scalar())
-    signed = newest.agg(F.count("*").alias("n")).unionAll(model.agg((-F.count("*")).alias("n")))
+    signed = newest(source, date, known).agg(F.count("*").alias("n")).unionAll(model.agg((-F.count("*")).alias("n")))
     return _report(signed.agg(F.abs(F.sum("n")).alias("failing_rows")), table, "reconcile", date)
 
 

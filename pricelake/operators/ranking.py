@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricelake.operators.lookup import lookup_join
 from pricelake.session import work_path
+from pricelake.sources.tables import staged
 
 # Copies of one row are expanded in runs of this many.
 RUN = 100_000
@@ -44,8 +45,10 @@ def number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     ranges = ranges.withColumn("_group", F.to_json(F.struct(*group), {"ignoreNullFields": "false"}))
     per_range = ranges.groupBy("_group", "_range").agg(F.sum("_copies").alias("_in_range"))
     earlier = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select(
-        "_group", "_range", F.coalesce(F.sum("_in_range").over(earlier), F.lit(0)).alias("_before")
+    # A row for each group and range, written once, so that it is measured and joined without being made again.
+    offsets = staged(
+        per_range.select("_group", "_range", F.coalesce(F.sum("_in_range").over(earlier), F.lit(0)).alias("_before")),
+        "offsets",
     )
     inside = Window.partitionBy("_group", "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     numbered = lookup_join(
@@ -74,13 +77,16 @@ def rank_by(df: DataFrame, column: str, name: str) -> DataFrame:
     counts = df.groupBy(column).agg(F.count("*").alias("_n"))
     above = Window.orderBy(F.col(column).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     ranks = counts.select(key.alias("_key"), (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias(name))
-    return lookup_join(df.withColumn("_key", key), ranks, ["_key"]).drop("_key")
+    return lookup_join(df.withColumn("_key", key), ranks, ["_key"], stored=False).drop("_key")
 
 
-def newest(df: DataFrame, column: str) -> DataFrame:
+def newest(df: DataFrame, column: str, known: str | None = None) -> DataFrame:
     """Rows holding the maximum of ``column``, i.e. those of rank 1 by it.
 
-    A scalar maximum prunes partitions and needs no sort. The null-safe comparison keeps a table
+    ``known`` is the maximum where the caller has it, from partition names: then one partition is read and nothing else.
+    Otherwise a scalar maximum prunes partitions and needs no sort. The null-safe comparison keeps a table
     whose every value is NULL, where all rows tie.
     """
+    if known is not None:
+        return df.where(F.col(column) == known)
     return df.where(df[column].eqNullSafe(df.agg(F.max(column)).scalar()))

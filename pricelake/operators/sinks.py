@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.fixed import SEGMENTS
 from pricelake.functions import compact_date
-from pricelake.operators.lookup import fits_broadcast
 from pricelake.schemas import LANDING_KEYS, MONTH_PARTITIONS, SNAPSHOT_PARTITIONS
-from pricelake.session import work_path
+from pricelake.sources.tables import CSV_DIALECT, staged
 
 
 def balanced(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -27,26 +27,34 @@ def write_parquet(df: DataFrame, path: str, partitions: Sequence[str] = (), comp
     writer.parquet(path)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write rows once to the shared folder and go on from there, where a plan needs them more than
-    once and their making (parsing JSON) costs more than reading Parquet. A lost executor re-reads
-    files instead of parsing again."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """Header CSV in the dialect of ``tables.read_csv``: quotes inside a text are doubled, line breaks stay."""
+    df.write.mode("overwrite").options(header=True, **CSV_DIALECT).csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def one_line(document: Column) -> Column:
+    """A JSON document without raw line breaks, which can only stand between its parts: a space takes their place."""
+    return F.regexp_replace(document, "[\\r\\n]+", " ")
+
+
+def without_place(docs: DataFrame) -> DataFrame:
+    """Documents that cannot be landed: one of the landing keys the frame has is NULL, so there is no folder for them."""
+    keys = [k for k in LANDING_KEYS if k in docs.columns]
+    return docs.where(" OR ".join(f"`{k}` IS NULL" for k in keys) if keys else "false")
 
 
 def land_documents(docs: DataFrame, root: str, value: str = "value", normalize_dt: bool = False) -> list[str]:
     """Write documents below ``key=value`` folders in the fixed key order; keys the frame lacks
-    are left out. ``normalize_dt`` drops the dashes of the date. Returns the keys used."""
+    are left out. ``normalize_dt`` drops the dashes of the date. Returns the keys used.
+
+    Each document takes one line. Those with a NULL key have no place and are not landed (``without_place`` has them): in a
+    folder for NULL every run would overwrite those of the last.
+    """
     keys = [k for k in LANDING_KEYS if k in docs.columns]
-    out = docs.withColumn("dt", compact_date(F.col("dt"))) if normalize_dt else docs
+    placed = docs.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)) if keys else docs
+    out = placed.withColumn("dt", compact_date(F.col("dt"))) if normalize_dt else placed
     (
-        balanced(out.select(F.col(value).alias("value"), *keys), keys)
+        balanced(out.select(one_line(F.col(value)).alias("value"), *keys), keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
@@ -87,20 +95,29 @@ def write_segments(df: DataFrame, root: str) -> None:
 def merged_by_date(existing: DataFrame, incoming: DataFrame, day: str = "res_dt") -> DataFrame:
     """Month partitions touched by ``incoming`` with its dates replaced.
 
-    Only those months are read. Rows of other dates are kept; columns one side lacks are NULL.
-    Dates and months are reduced to distinct values before they meet the stored rows.
+    Only those months are read: they are few, so they are named in the filter. Rows of other dates are kept; columns one
+    side lacks are NULL. Undated rows have no date to be replaced by: stored ones are kept, but for those that come again just as
+    they are, so a rerun changes nothing.
     """
-
-    def reduced(keys: list[str]) -> DataFrame:
-        found = incoming.select(*keys).distinct()
-        return F.broadcast(found) if fits_broadcast(found) else found
-
     months = list(MONTH_PARTITIONS)
-    touched = existing.join(reduced(months), months, "left_semi")
-    kept = touched.join(reduced([day]), [day], "left_anti")
-    return kept.unionByName(incoming, allowMissingColumns=True)
+    found = incoming.select(*months).distinct().collect()
+    touched = existing.where(
+        reduce(Column.__or__, [reduce(Column.__and__, [F.col(m).eqNullSafe(r[m]) for m in months]) for r in found], F.lit(False))
+    )
+    dated = touched.where(F.col(day).isNotNull()).join(incoming.select(day).distinct(), [day], "left_anti")
+    common = sorted(c for c in existing.columns if c in incoming.columns)
+    row = F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in common]), {"ignoreNullFields": "false"})
+    undated = touched.where(F.col(day).isNull()).withColumn("_row", row)
+    again = incoming.where(F.col(day).isNull()).select(row.alias("_row")).distinct()
+    undated = undated.join(again, ["_row"], "left_anti").drop("_row")
+    return dated.select(*existing.columns).unionByName(undated).unionByName(incoming, allowMissingColumns=True)
 
 
 def merge_by_date(existing: DataFrame, incoming: DataFrame, path: str, day: str = "res_dt") -> None:
-    """Rewrite the months ``merged_by_date`` covers. Empty input touches nothing."""
-    write_parquet(merged_by_date(existing, incoming, day), path, MONTH_PARTITIONS)
+    """Rewrite the months ``merged_by_date`` covers. Empty input touches nothing.
+
+    The merged months are written to the work folder first and read from there, so no task reads a folder that the same job
+    replaces. Replacing folders is a rename; on a store without renames use a committer or table format that swaps them in one step.
+    """
+    merged = staged(merged_by_date(existing, incoming, day), "merged-months")
+    write_parquet(merged, path, MONTH_PARTITIONS)

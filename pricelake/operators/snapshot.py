@@ -10,14 +10,26 @@ from pricelake.operators.lookup import lookup_join
 
 
 def stamp_snapshot(df: DataFrame, batch: str = "batch", position: tuple[str, ...] = ("file_path", "pos")) -> DataFrame:
-    """Replace year and month and add dt from the response date of each batch's first row.
+    """Replace year and month and add dt from the response date of each batch's first dated row."""
+    return with_snapshot(df, batch_dates(df, batch, position), batch)
+
+
+def batch_dates(df: DataFrame, batch: str = "batch", position: tuple[str, ...] = ("file_path", "pos")) -> DataFrame:
+    """Snapshot date of each batch: the response date of its first row that has one, by path and position.
+
+    The minimum is combined on the map side. A batch without a dated row has no date.
+    """
+    first = F.min_by("res_dt", F.struct(*position))
+    return df.where("res_dt IS NOT NULL").groupBy(batch).agg(first.alias("_snapshot"))
+
+
+def with_snapshot(df: DataFrame, dates: DataFrame, batch: str = "batch", stored: bool = False) -> DataFrame:
+    """Year, month and dt from the date of each row's batch, in place of its own.
 
     The whole batch gets one date on purpose: a product last surveyed earlier stays part of
-    the newest snapshot. Rows are ordered by path and position; the minimum is combined on
-    the map side and joined back per batch.
+    the newest snapshot.
     """
-    first = df.groupBy(batch).agg(F.min_by("res_dt", F.struct(*position)).alias("_snapshot"))
-    stamped = lookup_join(df.drop("year", "month", "dt"), first, [batch])
+    stamped = lookup_join(df.drop("year", "month", "dt"), dates, [batch], stored=stored)
     day = F.col("_snapshot")
     return stamped.withColumns(
         {

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelake.fixed import DROP, MARKET_CATEGORIES, RISE
@@ -10,7 +9,7 @@ from pricelake.operators import quality
 from pricelake.operators.registry import sync_partitions
 from pricelake.operators.sinks import write_parquet
 from pricelake.plans import gold
-from pricelake.sources.tables import silver
+from pricelake.sources.tables import newest_partition, silver, staged
 
 NOT_NULL = {
     "mart_price_rise_top3": ["country_cd", "ranking"],
@@ -39,7 +38,7 @@ def mart_frames(
     }
 
 
-def checks(marts: dict[str, DataFrame], api10: DataFrame, snapshot: DataFrame) -> DataFrame:
+def checks(marts: dict[str, DataFrame], api10: DataFrame, snapshot: DataFrame, known: str | None = None) -> DataFrame:
     """Every data check of the gold layer as one report."""
     report = [quality.not_null(marts[name], name, columns) for name, columns in NOT_NULL.items()]
     for name in ("mart_price_rise_top3", "mart_price_drop_top3"):
@@ -49,7 +48,7 @@ def checks(marts: dict[str, DataFrame], api10: DataFrame, snapshot: DataFrame) -
     report.append(quality.accepted_values(marts[eco], eco, "market_category", MARKET_CATEGORIES))
     for name in ("mart_price_rise_top3", "mart_price_drop_top3", season):
         report.append(quality.not_empty(marts[name], name))
-    report.append(quality.reconcile_newest(api10, snapshot, "api10"))
+    report.append(quality.reconcile_newest(api10, snapshot, "api10", known=known))
     return quality.all_checks(report)
 
 
@@ -58,19 +57,20 @@ def build_gold(
 ) -> DataFrame:
     """Write every mart from the registered silver tables and return the check report.
 
-    The newest snapshot feeds six marts, so it is kept for the run; a lost executor only means its
-    share is read again. Checks read the written marts, not their plans.
+    The newest snapshot, whose date is in the partition names, feeds six marts, so it is written out once; a lost executor only
+    means that files are read again. Checks read the written marts, not their plans.
     """
     sync_partitions(spark, [f"{database}.{table}" for table in ("api1", "api10", "api13", "api17")])
     api10 = silver(spark, "api10", database)
-    snapshot = gold.latest_snapshot(api10).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        frames = mart_frames(
-            snapshot, silver(spark, "api13", database), silver(spark, "api17", database), coordinates, seasons
-        )
-        for name, frame in frames.items():
-            write_parquet(frame, f"{gold_root}/{name}")
-    finally:
-        snapshot.unpersist()
-    written = {name: spark.read.parquet(f"{gold_root}/{name}") for name in frames}
-    return checks(written, api10, gold.latest_snapshot(api10))
+    known = newest_partition(spark, f"{database}.api10")
+    snapshot = staged(gold.latest_snapshot(api10, known), "snapshot")
+    frames = mart_frames(snapshot, silver(spark, "api13", database), silver(spark, "api17", database), coordinates, seasons)
+    written = write_marts(frames, gold_root)
+    return checks(written, api10, snapshot, known)
+
+
+def write_marts(frames: dict[str, DataFrame], gold_root: str) -> dict[str, DataFrame]:
+    """Every mart written below the root, and read from there."""
+    for name, frame in frames.items():
+        write_parquet(frame, f"{gold_root}/{name}")
+    return {name: frame.sparkSession.read.schema(frame.schema).parquet(f"{gold_root}/{name}") for name, frame in frames.items()}

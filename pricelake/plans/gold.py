@@ -32,9 +32,10 @@ def load_stamp() -> Column:
     return F.current_timestamp().cast("string")
 
 
-def latest_snapshot(api10: DataFrame) -> DataFrame:
-    """Product prices of the newest snapshot. A percentage that is no number becomes NULL."""
-    return newest(api10, "dt").withColumns(
+def latest_snapshot(api10: DataFrame, known: str | None = None) -> DataFrame:
+    """Product prices of the newest snapshot, whose date is ``known`` for a registered table. A percentage that is no
+    number becomes NULL."""
+    return newest(api10, "dt", known).withColumns(
         {"prev_1d_dir_tp": F.col("direction_tp"), "prev_1d_dir_pct": F.col("direction_pct").try_cast("double")}
     ).select(*SNAPSHOT_COLUMNS)
 

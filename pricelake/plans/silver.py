@@ -108,6 +108,15 @@ def product_rows(docs: DataFrame) -> DataFrame:
     return named.where("product_cls_cd = '01'").withColumn("segment", segment_of(F.col("category_cd")))
 
 
+def product_days(docs: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Path, position and response date of the rows ``product_silver`` gives, by a parse of three fields."""
+    fields = ("product_cls_code", "category_code", "lastest_day")
+    raw = explode_prices(docs, fields).drop("dt", "product_cls", "country", "condition", "error_code", "price")
+    named = code_columns(add_date_features(raw, "lastest_day").withColumnsRenamed(PRODUCT_NAMES))
+    kept = named.where((F.col("product_cls_cd") == "01") & segment_of(F.col("category_cd")).isNotNull())
+    return kept.select("file_path", "pos", "res_dt", *extra)
+
+
 def product_codes(products: DataFrame, extra_rows: Sequence[tuple] = ()) -> DataFrame:
     """Metadata columns the product feed takes, with literal rows added by the caller."""
     codes = products.select("product_no", "item_cd", "kind_cd", "rank_cd", "rank_nm")
@@ -123,7 +132,9 @@ def product_silver(docs: DataFrame, codes: DataFrame, extra: Sequence[str] = ())
         "_main_no", F.when(F.col("segment") == "main", F.col("product_no").cast("bigint"))
     )
     meta = codes.withColumnRenamed("product_no", "_main_no")
-    joined = lookup_join(rows, meta, ["_main_no"])
+    # Rows without a product to look up stay out of the join, where their NULL keys would all meet in one partition.
+    looked_up = lookup_join(rows.where("_main_no IS NOT NULL"), meta, ["_main_no"])
+    joined = looked_up.unionByName(rows.where("_main_no IS NULL"), allowMissingColumns=True)
     return ordered(joined, [*API10.fieldNames(), "segment", "file_path", "pos", *extra])
 
 

@@ -53,7 +53,7 @@ SNAPSHOT_PARTITIONS = ("year", "month", "dt")
 
 # Silver table -> (data columns, partition columns).
 SILVER = {
-    "api1": (API1, MONTH_PARTITIONS),
+    "api1": (API1, SNAPSHOT_PARTITIONS),
     "api10": (API10, SNAPSHOT_PARTITIONS),
     "api13": (API13, MONTH_PARTITIONS),
     "api17": (API17, MONTH_PARTITIONS),

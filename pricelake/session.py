@@ -47,14 +47,13 @@ def _own_dir() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the checkpoint folder the cluster names.
 
-    A local master without the setting gets a folder of its own, named in the session from then on.
+    A local master without the setting gets a folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.conf.set("spark.checkpoint.dir", _own_dir())
     return _own_dir()
 
 

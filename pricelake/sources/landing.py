@@ -9,6 +9,7 @@ cannot be one object per request.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,12 +42,29 @@ def of_date(docs: DataFrame, day: str | Column) -> DataFrame:
     return docs.where(F.col("dt") == day)
 
 
-def latest_date(docs: DataFrame, product_cls: str | None = None) -> DataFrame:
+def folder_values(spark: SparkSession, root: str, key: str) -> list[str]:
+    """Values of the folders ``key=value`` right below ``root``, in order: one listing, no file is opened."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{key}=*")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    values = (unquote(status.getPath().getName().partition("=")[2]) for status in found)
+    return sorted(v for v in values if v != "__HIVE_DEFAULT_PARTITION__")
+
+
+def read_latest(spark: SparkSession, root: str, keys: Sequence[str], product_cls: str | None = None) -> DataFrame:
     """Documents of the newest landing date over all classes, optionally of one class.
 
-    On partition columns both conditions prune folders; the maximum is found from folder
-    names and never opens a file's content.
+    The date is taken from the names of the ``dt`` folders, which must be the outermost; then only its folder is read. An
+    empty zone gives an empty frame.
     """
+    dates = folder_values(spark, root, "dt")
+    docs = read_documents(spark, root, keys).where(F.col("dt") == dates[-1]) if dates else None
+    if docs is None:
+        return spark.createDataFrame([], ", ".join(f"{name} string" for name in ("file_path", "value", *keys)))
+    return docs.where(F.col("product_cls") == product_cls) if product_cls else docs
+
+
+def latest_date(docs: DataFrame, product_cls: str | None = None) -> DataFrame:
+    """The same for documents that do not lie below dated folders: the maximum is found by a scan of ``dt``."""
     newest = docs.where(docs.dt == docs.agg(F.max("dt")).scalar())
     return newest.where(F.col("product_cls") == product_cls) if product_cls else newest
 

@@ -18,7 +18,7 @@ from pricelake.sources.landing import read_documents
 
 def touched(docs: DataFrame, batch: DataFrame) -> DataFrame:
     """All documents of the dates in ``batch``; the dates prune the folders that are read."""
-    return lookup_join(docs, batch.select("dt").distinct(), ["dt"], "left_semi")
+    return lookup_join(docs, batch.select("dt").distinct(), ["dt"], "left_semi", stored=False)
 
 
 def load_new(

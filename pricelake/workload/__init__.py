@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pricelake.workload import documents, gold, scalar, silver, storage
+from pricelake.workload import documents, gold, loads, scalar, silver, storage
 
-MODULES = (gold, scalar, documents, silver, storage)
+MODULES = (gold, scalar, documents, silver, storage, loads)
 
 
 def queries() -> dict:

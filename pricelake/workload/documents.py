@@ -21,24 +21,18 @@ def explode_items(spark, sf_dir):
 
 
 def explode_prices(spark, sf_dir):
-    rows = ops.explode_prices(feeds.product_docs(spark, sf_dir))
-    return plain(
-        rows.select(
-            "file_path", "pos", "error_code", "condition", "price", "product_cls_code", "category_code", "productno",
-            "lastest_day", "productName", "dpr1", "dpr2", "direction", "value", "county_code",
-        )
-    )
+    return plain(ops.explode_prices(feeds.product_docs(spark, sf_dir)))
 
 
 def explode_records(spark, sf_dir):
-    rows = ops.explode_records(feeds.region_docs(spark, sf_dir))
-    return plain(rows.drop("dt", "itemname", "kindname", "price"))
+    return plain(ops.explode_records(feeds.region_docs(spark, sf_dir)))
 
 
 def classify_responses(spark, sf_dir):
     """Statuses of the category feed, with no-data responses refused and allowed."""
     refused = ops.with_status(feeds.category_docs(spark, sf_dir), "status")
-    statuses = ops.with_status(refused, "status_allowed", allow_empty=True)
+    # Allowing no data changes one status only, so one parse serves for both.
+    statuses = refused.withColumn("status_allowed", F.when(F.col("status") == "empty", "ok").otherwise(F.col("status")))
     return statuses.groupBy("category", "status", "status_allowed").agg(F.count("*").alias("documents"))
 
 
@@ -49,8 +43,8 @@ def classify_price_lists(spark, sf_dir):
 
 def condition_fields(spark, sf_dir):
     """Request fields of each category response: a padded text, a number (no text) and an absent one."""
-    docs = feeds.category_docs(spark, sf_dir)
-    fields = {k: ops.condition_field(F.col("value"), k) for k in ("p_regday", "p_number", "p_country_code")}
+    docs = feeds.category_docs(spark, sf_dir).withColumn("first", ops.first_condition(F.col("value")))
+    fields = {k: ops.condition_field(F.col("first"), k) for k in ("p_regday", "p_number", "p_country_code")}
     return docs.select("file_path", *[c.alias(k) for k, c in fields.items()])
 
 
@@ -118,25 +112,32 @@ ORACLES = {
 SELECT file_path, dt, product_cls, country, category, CAST(pos AS BIGINT) AS pos, {", ".join(LABELS + PRICES)}
 FROM labelled""",
     "explode_prices": f"""WITH {feeds.PRODUCT_DOCS_SQL}
-SELECT file_path, CAST(pos AS BIGINT) AS pos, '000' AS error_code,
+SELECT dt, '01' AS product_cls, country, file_path, CAST(pos AS BIGINT) AS pos, '000' AS error_code,
   '["' || strftime(l_shipdate, '%Y-%m-%d') || '","x"]' AS condition, CAST(NULL AS VARCHAR) AS price,
-  product_cls_code, category_code, CAST(l_partkey AS VARCHAR) AS productno,
-  strftime(l_shipdate, '%Y-%m-%d') AS lastest_day, product_name AS productName, 
+  product_cls_code, '소매' AS product_cls_name, category_code, '부류' AS category_name,
+  CAST(l_partkey AS VARCHAR) AS productno, strftime(l_shipdate, '%Y-%m-%d') AS lastest_day, product_name AS productName,
+  '1kg' AS unit, strftime(l_shipdate, '%m/%d') AS day1, strftime(l_shipdate, '%m/%d') AS day2,
+  strftime(l_shipdate, '%m/%d') AS day3, strftime(l_shipdate, '%m/%d') AS day4,
   CASE WHEN l_discount <> 0.03 THEN format('{{:,.2f}}', price1) END AS dpr1,
-  ' ' || format('{{:,.2f}}', price2) || ' ' AS dpr2, direction,
-  CASE WHEN l_discount = 0.02 THEN '[n/a]' ELSE CAST(l_discount AS VARCHAR) END AS value, country AS county_code
+  ' ' || format('{{:,.2f}}', price2) || ' ' AS dpr2,
+  CASE WHEN l_discount = 0.04 THEN '-' ELSE CAST(CAST(price3 AS DECIMAL(14, 2)) AS VARCHAR) END AS dpr3,
+  CAST(CAST(price4 AS DECIMAL(14, 2)) AS VARCHAR) AS dpr4, direction,
+  CASE WHEN l_discount = 0.02 THEN '[n/a]' ELSE CAST(l_discount AS VARCHAR) END AS value, country AS county_code,
+  '지역' AS county_name
 FROM raw_rows
 UNION ALL
-SELECT 'raw/api-10/dt=' || dt || '/product_cls=01/country=' || country || '/' || l_orderkey || '-'
+SELECT dt, '01', country, 'raw/api-10/dt=' || dt || '/product_cls=01/country=' || country || '/' || l_orderkey || '-'
     || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '/data.json', 0, '000',
-  '["' || strftime(l_shipdate, '%Y-%m-%d') || '","x"]', 'none', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-  NULL, NULL
+  '["' || strftime(l_shipdate, '%Y-%m-%d') || '","x"]', 'none', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
 FROM docs WHERE l_tax = 0.0""",
     "explode_records": f"""WITH {feeds.REGION_ROWS_SQL}
 SELECT 'raw/api-17/dt=' || strftime(l_shipdate, '%Y-%m-%d') || '/product_cls=' || product_cls || '/country=' || place
     || '/category=' || (['100', '200', '300', '400', '500', '600'])[l_partkey % 6 + 1] || '/item=' || l_partkey
     || '/kind=' || CASE WHEN l_partkey % 120 < 10 THEN '0' ELSE '' END || l_partkey % 120
     || '/product_rank=04/data.json' AS file_path,
+  strftime(l_shipdate, '%Y-%m-%d') AS dt, '품목' AS itemname, '품종' AS kindname,
+  CASE WHEN l_discount = 0.06 THEN '-' ELSE format('{{:,.2f}}', l_extendedprice + k) END AS price,
   product_cls, place AS country, (['100', '200', '300', '400', '500', '600'])[l_partkey % 6 + 1] AS category,
   CAST(l_partkey AS VARCHAR) AS item, CASE WHEN l_partkey % 120 < 10 THEN '0' ELSE '' END || l_partkey % 120 AS kind,
   '04' AS product_rank, CAST(k - 1 AS BIGINT) AS pos,

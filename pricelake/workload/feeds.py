@@ -262,11 +262,8 @@ products AS (
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines to build documents from. Building is heavy on the CPU, so a scan with fewer
-    splits than cores (one small file) is spread first; a large table has more splits than that."""
-    lines = table(spark, sf_dir, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+    """Order lines to build documents from, spread by order: building is heavy on the CPU."""
+    return table(spark, sf_dir, "lineitem").repartition("l_orderkey")
 
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:
@@ -362,7 +359,7 @@ docs AS (
       WHEN l_returnflag = 'A' THEN 2 ELSE 1 END AS n_items
   FROM lineitem),
 items AS (
-  SELECT docs.*, k FROM docs, (VALUES (1), (2)) AS ks(k) WHERE k <= n_items),
+  SELECT docs.*, unnest(range(1, n_items + 1)) AS k FROM docs),
 labelled AS (
   SELECT *, 'raw/api-1/dt=' || dt || '/product_cls=' || product_cls || '/country=' || country || '/category='
       || category || '/data.json' AS file_path, k - 1 AS pos,
@@ -379,14 +376,15 @@ labelled AS (
 """
 
 
-def product_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One response of the product feed per order line, landed under its shipping year.
+def product_docs(spark: SparkSession, sf_dir: str, response_day: Column | None = None) -> DataFrame:
+    """One response of the product feed per order line, landed under its shipping year. ``response_day`` is the date its
+    records carry, the shipping date unless given.
 
     Leaves are texts, empty lists, one-element lists and texts that begin with a bracket; the price field is a
     list of one or two records, an empty list, a text, missing, or the document is broken.
     """
     rate, flag = F.col("l_discount"), F.col("l_returnflag")
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    day = F.date_format("l_shipdate" if response_day is None else response_day, "yyyy-MM-dd")
 
     def record(k: int) -> Column:
         direction = F.when(rate == 0.0, "@none@").when(rate == 0.01, "@one@").otherwise(F.lit("0"))
@@ -446,7 +444,7 @@ docs AS (
     CASE WHEN l_tax < 0.035 THEN 0 WHEN l_returnflag = 'A' THEN 2 ELSE 1 END AS n_items
   FROM lineitem),
 items AS (
-  SELECT docs.*, k FROM docs, (VALUES (1), (2)) AS ks(k) WHERE k <= n_items),
+  SELECT docs.*, unnest(range(1, n_items + 1)) AS k FROM docs),
 raw_rows AS (
   SELECT *, 'raw/api-10/dt=' || dt || '/product_cls=01/country=' || country || '/' || l_orderkey || '-'
       || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '/data.json' AS file_path, k - 1 AS pos,
@@ -519,7 +517,7 @@ lines AS (
     ({_values([*REGION_NAMES.values(), '기타', '기타'])})[CAST(l_quantity AS INTEGER) % {len(PLACES)} + 1] AS place_nm
   FROM lineitem),
 records AS (
-  SELECT lines.*, k, CAST(l_shipdate AS DATE) AS ship FROM lines, (VALUES (1), (2)) AS ks(k) WHERE k <= n_items),
+  SELECT lines.*, unnest(range(1, n_items + 1)) AS k, CAST(l_shipdate AS DATE) AS ship FROM lines),
 dated AS (
   SELECT *, CASE WHEN l_discount IN (0.04, 0.05) THEN NULL ELSE ship END AS res_dt,
     CASE WHEN l_discount <> 0.06 THEN round(l_extendedprice + k, 2) END AS price

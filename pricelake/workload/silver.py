@@ -51,7 +51,15 @@ def _names(code: str, names: dict[str, str], default: str) -> str:
     return f"CASE {code} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items()) + f" ELSE '{default}' END"
 
 
-PRODUCT_ROWS_SQL = f"""{feeds.PRODUCT_DOCS_SQL}, {feeds.PRODUCTS_SQL},
+_ROW_DAY = """CAST(extract(week FROM {day}) AS BIGINT) AS week_of_year,
+  CAST(extract(isodow FROM {day}) - 1 AS BIGINT) AS weekday_num,
+  coalesce((['월요일', '화요일', '수요일', '목요일', '금요일', '토요일', '일요일'])[extract(isodow FROM {day})], '알수없음') AS weekday_nm,
+  coalesce(extract(isodow FROM {day}) >= 6, false) AS weekend_yn"""
+
+
+def product_rows_sql(day: str = "l_shipdate") -> str:
+    """Product rows whose records carry the given date."""
+    return f"""{feeds.PRODUCT_DOCS_SQL}, {feeds.PRODUCTS_SQL},
 codes AS (SELECT product_no, item_cd, kind_cd, rank_cd FROM products UNION ALL SELECT 0, '616', '01', '21'),
 kept AS (SELECT *, CASE WHEN category_code IN ('100', '200', '300', '600') THEN 'main' WHEN category_code = '500'
     THEN 'livestock' ELSE 'grocery' END AS segment FROM raw_rows
@@ -65,10 +73,13 @@ product_rows AS (
     CASE WHEN l_discount = 0.02 THEN '[n/a]' ELSE CAST(l_discount AS VARCHAR) END AS direction_pct,
     strftime(l_shipdate, '%m/%d') AS prev_1m_dt, price3 AS prev_1m_pr, strftime(l_shipdate, '%m/%d') AS prev_1y_dt,
     price4 AS prev_1y_pr, country AS country_cd, '지역' AS country_nm,
-    strftime(l_shipdate, '%Y-%m-%d') AS res_dt, {_DAY}, segment, dt AS batch, file_path, pos
+    strftime({day}, '%Y-%m-%d') AS res_dt, {_ROW_DAY.format(day=f"({day})")}, segment, dt AS batch, file_path, pos
   FROM kept LEFT JOIN codes ON segment = 'main' AND l_partkey = product_no)"""
 
-_REGION_SQL = f"""WITH {feeds.REGION_ROWS_SQL}, {feeds.PRODUCTS_SQL}
+
+PRODUCT_ROWS_SQL = product_rows_sql()
+
+REGION_SQL = f"""WITH {feeds.REGION_ROWS_SQL}, {feeds.PRODUCTS_SQL}
 SELECT CAST(res_dt AS VARCHAR) AS res_dt, week_of_year, weekday_num, weekday_nm, weekend_yn,
   CAST(p.product_no AS DOUBLE) AS product_no, product_cls AS product_cls_cd, p.product_cls_nm, p.product_cls_unit,
   place AS country_cd, place_nm AS country_nm,
@@ -90,10 +101,10 @@ SELECT dt AS res_dt, {_DAY}, product_cls AS product_cls_cd,
 FROM labelled WHERE base_pr IS NOT NULL""",
     "api10_silver": f"""WITH {PRODUCT_ROWS_SQL},
 newest AS (SELECT * FROM product_rows WHERE batch = (SELECT max(dt) FROM docs)),
-first_row AS (SELECT res_dt AS day FROM newest ORDER BY file_path, pos LIMIT 1)
-SELECT newest.* EXCLUDE (batch, file_path, pos), substr(day, 1, 4) AS year, substr(day, 6, 2) AS month,
-  replace(day, '-', '') AS dt FROM newest, first_row""",
+stamped AS (SELECT *, first_value(res_dt) OVER (ORDER BY file_path, pos) AS day FROM newest)
+SELECT * EXCLUDE (batch, file_path, pos, day), substr(day, 1, 4) AS year, substr(day, 6, 2) AS month,
+  replace(day, '-', '') AS dt FROM stamped""",
     "api10_silver_history": f"WITH {PRODUCT_ROWS_SQL} SELECT * EXCLUDE (file_path, pos) FROM product_rows",
-    "api17_silver": _REGION_SQL,
-    "api17_backfill": _REGION_SQL,
+    "api17_silver": REGION_SQL,
+    "api17_backfill": REGION_SQL,
 }

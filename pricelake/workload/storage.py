@@ -14,7 +14,7 @@ from pricelake.session import work_path
 from pricelake.sources import landing, tables
 from pricelake.workload import feeds
 from pricelake.workload.shape import plain
-from pricelake.workload.silver import PRODUCT_ROWS_SQL, product_codes
+from pricelake.workload.silver import product_codes, product_rows_sql
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -43,15 +43,15 @@ def dated_scan(spark, sf_dir):
 
 def latest_date_scan(spark, sf_dir):
     root, keys = _land_products(spark, sf_dir)
-    docs = landing.latest_date(landing.read_documents(spark, root, keys), "01")
+    docs = landing.read_latest(spark, root, keys, "01")
     return docs.groupBy("dt", "product_cls", "country").agg(F.count("*").alias("documents"))
 
 
 def landing_write(spark, sf_dir):
     """Region records grouped by day are landed with all path keys a month folder needs; the
-    dashes of the date are dropped and the region level is absent."""
+    dashes of the date are dropped and the region level is absent. Each document comes on several lines."""
     lines = feeds.table(spark, sf_dir, "lineitem").select(
-        F.to_json(F.struct(*LINE)).alias("value"),
+        F.replace(F.to_json(F.struct(*LINE)), F.lit(","), F.lit(",\r\n ")).alias("value"),
         F.date_format("l_shipdate", "yyyy-MM").alias("dt"),
         F.lit("01").alias("product_cls"),
         F.col("l_returnflag").alias("category"),
@@ -86,12 +86,18 @@ def parquet_scan(spark, sf_dir):
 
 
 def csv_write(spark, sf_dir):
-    """Product metadata through a header CSV; codes keep their leading zeros."""
+    """Product metadata through a header CSV; codes keep their leading zeros, and names their quotes, commas, line breaks
+    and last backslash."""
     path = work_path(spark, "csv")
-    sinks.write_csv(feeds.products(spark, sf_dir, unpadded=True), path)
+    named = feeds.products(spark, sf_dir, unpadded=True).withColumn("item_nm", F.concat("item_nm", F.lit(ODD_TEXT)))
+    sinks.write_csv(named, path)
     return tables.products(spark, path)
 
 
+#: Everything a CSV dialect can get wrong.
+ODD_TEXT = ' "a ""b""", c\n\'d\\'
+
+
 def csv_scan(spark, sf_dir):
     path = work_path(spark, "csv")
     sinks.write_csv(feeds.products(spark, sf_dir), path)
@@ -101,7 +107,8 @@ def csv_scan(spark, sf_dir):
 
 def seed_scan(spark, sf_dir):
     path = work_path(spark, "seed")
-    sinks.write_csv(feeds.seasons(spark, sf_dir), path)
+    named = feeds.seasons(spark, sf_dir).withColumn("kind_nm", F.concat("kind_nm", F.lit(ODD_TEXT)))
+    sinks.write_csv(named, path)
     return plain(tables.read_csv(spark, path, SEASONS))
 
 
@@ -113,14 +120,12 @@ def _stored_products(spark, sf_dir):
 
 
 def snapshot_write(spark, sf_dir):
-    """Snapshot folders: one date per batch, that of the batch's first row."""
+    """Snapshot folders: one date per batch, that of the batch's first dated row. Many rows, the first of some batches
+    among them, have no date."""
     path = work_path(spark, "snapshots")
-    docs = feeds.product_docs(spark, sf_dir)
+    docs = feeds.product_docs(spark, sf_dir, F.when(F.col("l_linenumber") > 1, F.col("l_shipdate")))
     sinks.write_snapshot(stamped_products(docs, product_codes(spark, sf_dir)).drop("segment"), path)
-    stored = tables.read_silver(spark, path, "api10")
-    return stored.groupBy("year", "month", "dt").agg(
-        F.count("*").alias("stored_rows"), F.countDistinct("product_no").alias("products"), F.sum(F.col("prev_1d_pr").cast("decimal(20,2)")).cast("decimal(20,2)").cast("string").alias("price_sum")
-    )
+    return plain(tables.read_silver(spark, path, "api10"))
 
 
 def segment_split(spark, sf_dir):
@@ -128,11 +133,9 @@ def segment_split(spark, sf_dir):
     root = _stored_products(spark, sf_dir)
     rows = None
     for segment in sinks.SEGMENTS:
-        part = tables.read_silver(spark, f"{root}/segment={segment}", "api10")
-        count = part.groupBy("category_cd", "dt").agg(F.count("*").alias("stored_rows"), F.count("item_cd").alias("coded"))
-        count = count.withColumn("segment", F.lit(segment))
-        rows = count if rows is None else rows.unionAll(count)
-    return rows
+        part = tables.read_silver(spark, f"{root}/segment={segment}", "api10").withColumn("segment", F.lit(segment))
+        rows = part if rows is None else rows.unionAll(part)
+    return plain(rows)
 
 
 def registered_scan(spark, sf_dir):
@@ -141,8 +144,7 @@ def registered_scan(spark, sf_dir):
     database = "pricelake_registered"
     registry.create_databases(spark, work_path(spark, "databases"), (database,))
     name = registry.register_silver(spark, "api10", f"{root}/segment=main", f"{database}.api10")
-    newest = gold.latest_snapshot(spark.table(name))
-    return newest.groupBy("dt", "country_cd").agg(F.count("*").alias("n"), F.count("prev_1d_dir_pct").alias("numeric_pct"))
+    return plain(gold.latest_snapshot(spark.table(name), tables.newest_partition(spark, name)))
 
 
 def _prices(spark, sf_dir):
@@ -164,16 +166,20 @@ def replace_day(spark, sf_dir):
 
 
 def merge_by_date(spark, sf_dir):
-    """Months rewritten where days come again: returned lines of the first of a month replace
-    everything of that day and bring a new column."""
+    """Months rewritten where days come again: returned lines of the first of a month replace everything of that day.
+
+    They bring a new column and lack one that is stored. Stored and new rows without a date stay beside each other, and a
+    second run of the same load changes nothing.
+    """
     path = work_path(spark, "months")
-    base = _prices(spark, sf_dir)
+    base = _prices(spark, sf_dir).withColumn("res_dt", F.when(F.col("l_linenumber") < 7, F.col("res_dt")))
+    base = month_partitions(base)
     sinks.write_parquet(base, path, ("year", "month"))
-    again = base.where("day(res_dt) = 1 AND l_returnflag = 'R'").withColumn("revised", F.lit(True))
-    existing = spark.read.schema(base.schema).parquet(path)
-    sinks.merge_by_date(existing, again, path)
-    merged = spark.read.schema(base.withColumn("revised", F.lit(None).cast("boolean")).schema).parquet(path)
-    return plain(merged)
+    returned = base.where("l_returnflag = 'R' AND (day(res_dt) = 1 OR res_dt IS NULL)").drop("l_returnflag")
+    again = returned.withColumns({"revised": F.lit(True), "price": F.col("price") + 1})
+    for _ in range(2):
+        sinks.merge_by_date(tables.read_stored(spark, path, base.schema, ("year", "month")), again, path)
+    return plain(tables.read_stored(spark, path, base.schema, ("year", "month")))
 
 
 def materialize_mart(spark, sf_dir):
@@ -185,7 +191,10 @@ def materialize_mart(spark, sf_dir):
     return spark.read.schema("country_nm string, rise_count bigint, drop_count bigint, keep_count bigint").parquet(path)
 
 
-GIVEN = "region nation customer supplier part orders lineitem events".split()
+GIVEN = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
 
 
 def table_inventory(spark, sf_dir):
@@ -219,15 +228,23 @@ QUERIES = {
     )
 }
 
-_STAMPED = f"""{PRODUCT_ROWS_SQL},
+def stamped_sql(day: str = "l_shipdate") -> str:
+    """Product rows with the date of the first dated row of their batch."""
+    return f"""{product_rows_sql(day)},
 batches AS (
-  SELECT batch AS stamp_batch, arg_min(res_dt, file_path || '#' || pos) AS day FROM product_rows GROUP BY batch),
+  SELECT batch AS stamp_batch, arg_min(res_dt, file_path || '#' || pos) AS day FROM product_rows WHERE res_dt IS NOT NULL GROUP BY batch),
 stored AS (
-  SELECT product_rows.*, substr(day, 1, 4) AS year, substr(day, 6, 2) AS month, replace(day, '-', '') AS dt
+  SELECT product_rows.* EXCLUDE (batch, file_path, pos), substr(day, 1, 4) AS year, substr(day, 6, 2) AS month,
+    replace(day, '-', '') AS dt
   FROM product_rows JOIN batches ON batch = stamp_batch)"""
+
+
+_STAMPED = stamped_sql()
 _LINE = "l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey"
 _COUNTS = "WITH {docs} SELECT dt, '01' AS product_cls, country, count(*) AS documents FROM docs WHERE dt = {dt} GROUP BY 1, 2, 3"
 
+_ODD_SQL = "'" + ODD_TEXT.replace("'", "''") + "'"
+
 ORACLES = {
     "json_landing_scan": f"""WITH {feeds.PRODUCT_DOCS_SQL}
 SELECT dt, l_tax = 0.01 AS rejected, count(*) AS documents FROM docs GROUP BY 1, 2""",
@@ -243,27 +260,27 @@ landed AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d, CAST(substr(o_orderpr
 SELECT CASE WHEN (d, c) IN (SELECT (d, c) FROM landed) THEN 'overwrite' ELSE 'new' END AS status,
   count(*) AS objects FROM incoming GROUP BY 1""",
     "parquet_scan": """SELECT event_type, count(*) AS events, max(event_id) AS last_id FROM events GROUP BY 1""",
-    "csv_write": f"WITH {feeds.PRODUCTS_SQL} SELECT * FROM products",
+    "csv_write": f"WITH {feeds.PRODUCTS_SQL} SELECT * REPLACE (item_nm || {_ODD_SQL} AS item_nm) FROM products",
     "csv_scan": f"""WITH {feeds.PRODUCTS_SQL}
 SELECT category_cd, kind_cd, count(*) AS products, max(product_no) AS last_no FROM products GROUP BY 1, 2""",
-    "seed_scan": f"WITH {feeds.SEASONS_SQL} SELECT * REPLACE (CAST(month AS BIGINT) AS month) FROM seasons",
-    "snapshot_write": f"""WITH {_STAMPED}
-SELECT year, month, dt, count(*) AS stored_rows, count(DISTINCT product_no) AS products,
-  CAST(CAST(sum(CAST(prev_1d_pr AS DECIMAL(20, 2))) AS DECIMAL(20, 2)) AS VARCHAR) AS price_sum
-FROM stored GROUP BY 1, 2, 3""",
-    "segment_split": f"""WITH {_STAMPED}
-SELECT segment, category_cd, dt, count(*) AS stored_rows, count(item_cd) AS coded FROM stored GROUP BY 1, 2, 3""",
+    "seed_scan": f"WITH {feeds.SEASONS_SQL} SELECT * REPLACE (CAST(month AS BIGINT) AS month, kind_nm || {_ODD_SQL} AS kind_nm) FROM seasons",
+    "snapshot_write": f"""WITH {stamped_sql("CASE WHEN l_linenumber > 1 THEN l_shipdate END")}
+SELECT * EXCLUDE (segment) FROM stored""",
+    "segment_split": f"WITH {_STAMPED} SELECT * FROM stored",
     "registered_scan": f"""WITH {_STAMPED}
-SELECT dt, country_cd, count(*) AS n, count(*) FILTER (direction_pct <> '[n/a]') AS numeric_pct FROM stored
-WHERE segment = 'main' AND dt = (SELECT max(dt) FROM stored WHERE segment = 'main') GROUP BY 1, 2""",
+SELECT product_no, category_nm, item_nm, kind_nm, product_cls_unit, country_cd, country_nm, res_dt, base_dt, base_pr, prev_1d_dt,
+  prev_1d_pr, direction_tp AS prev_1d_dir_tp, TRY_CAST(direction_pct AS DOUBLE) AS prev_1d_dir_pct, prev_1m_dt, prev_1m_pr,
+  prev_1y_dt, prev_1y_pr, dt
+FROM stored WHERE segment = 'main' AND dt = (SELECT max(dt) FROM stored WHERE segment = 'main')""",
     "replace_day": f"""WITH base AS (SELECT *, strftime(l_shipdate, '%Y') AS year FROM lineitem)
 SELECT {_LINE}, l_extendedprice + CASE WHEN year = (SELECT max(year) FROM base) THEN 1 ELSE 0 END AS price,
   l_returnflag, year, '11' AS month, year || '1101' AS dt FROM base""",
-    "merge_by_date": f"""WITH base AS (SELECT *, CAST(l_shipdate AS DATE) AS d FROM lineitem),
-again AS (SELECT * FROM base WHERE day(d) = 1 AND l_returnflag = 'R')
+    "merge_by_date": f"""WITH base AS (SELECT *, CASE WHEN l_linenumber < 7 THEN CAST(l_shipdate AS DATE) END AS d FROM lineitem),
+again AS (SELECT * FROM base WHERE l_returnflag = 'R' AND (day(d) = 1 OR d IS NULL))
 SELECT {_LINE}, l_extendedprice AS price, CAST(d AS VARCHAR) AS res_dt, l_returnflag, strftime(d, '%Y') AS year,
-  strftime(d, '%m') AS month, CAST(NULL AS BOOLEAN) AS revised FROM base WHERE d NOT IN (SELECT d FROM again)
-UNION ALL SELECT {_LINE}, l_extendedprice, CAST(d AS VARCHAR), l_returnflag, strftime(d, '%Y'), strftime(d, '%m'), true
+  strftime(d, '%m') AS month, CAST(NULL AS BOOLEAN) AS revised
+FROM base WHERE d IS NULL OR d NOT IN (SELECT d FROM again WHERE d IS NOT NULL)
+UNION ALL SELECT {_LINE}, l_extendedprice + 1, CAST(d AS VARCHAR), NULL, strftime(d, '%Y'), strftime(d, '%m'), true
 FROM again""",
     "materialize_mart": f"""WITH {feeds.API10_SQL}
 SELECT country_nm, CAST(count(*) FILTER (prev_1d_dir_tp = '1') AS BIGINT) AS rise_count,

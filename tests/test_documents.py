@@ -107,7 +107,7 @@ def test_price_list_status(spark):
 def test_condition(spark):
     docs = frame(spark, ['{"condition":[{"a":" x ","b":5,"c":null}]}', '{"condition":[["2025-12-11","y"]]}', "{}"])
     for key, want in {"a": ["x", "", ""], "b": ["", "", ""], "c": ["", "", ""], "d": ["", "", ""]}.items():
-        got = docs.select("file_path", ops.condition_field(F.col("value"), key).alias("v")).orderBy("file_path").collect()
+        got = docs.select("file_path", ops.condition_field(ops.first_condition(F.col("value")), key).alias("v")).orderBy("file_path").collect()
         assert [r.v for r in got] == want
     dates = docs.select("file_path", ops.condition_date(F.col("value")).alias("v")).orderBy("file_path").collect()
     assert [r.v for r in dates] == [None, "2025-12-11", None]

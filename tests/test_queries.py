@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from pricelake import workload
+from pricelake.session import release
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -22,7 +24,8 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert workload.queries().keys() == workload.oracle_sql().keys()
+    assert workload.queries().keys() <= entry.queries().keys()
 
 
 def test_entry(spark):
@@ -31,12 +34,13 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(workload.queries()))
 def test_query(spark, duck, sf_dir, name):
-    df = entry.queries()[name](spark, sf_dir)
-    want = duck.execute(entry.oracle_sql()[name])
+    df = workload.queries()[name](spark, sf_dir)
+    want = duck.execute(workload.oracle_sql()[name])
     columns = sorted(c[0] for c in want.description)
     assert sorted(df.columns) == columns
     order = [[c[0] for c in want.description].index(c) for c in columns]
     expected = sorted((tuple(row[i] for i in order) for row in want.fetchall()), key=repr)
     assert sorted((tuple(r) for r in df.select(*columns).collect()), key=repr) == expected
+    release(spark)
