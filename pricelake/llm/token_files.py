@@ -35,7 +35,7 @@ MAGIC = b"PLVB"
 HEADER = struct.Struct("<4sIQQQ")
 BLOCK_IDS = 1 << 20
 #: Words a worker keeps the ids of, twice over.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 700_000
 
 
 # Encoding and decoding of ranks.
