@@ -34,6 +34,7 @@ MAGIC = b"PLVB"
 #: magic, documents, ids, control bytes, data bytes.
 HEADER = struct.Struct("<4sIQQQ")
 BLOCK_IDS = 1 << 20
+BLOCKS_PER_TASK = 8
 #: Words a worker keeps the ids of, twice over.
 KEPT_WORDS = 700_000
 
@@ -239,7 +240,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, key: str = "
     width = id_kind(Tokenizer.from_file(tokenizer))
     id_of = frequency_ranks(tokens, width)
     kind = tokens.schema["id"].dataType.simpleString()
-    ordered = tokens.repartitionByRange(F.col("id").asc_nulls_first(), F.col("ids")).sortWithinPartitions(F.col("id").asc_nulls_first(), "ids")
+    # By the key alone: Spark samples what it ranges by, and the ids of texts are long. Rows with equal keys share a range.
+    ordered = tokens.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "ids")
     schema = f"part int, block int, file string, offset bigint, n_ids bigint, keys array<{kind}>"
     blocks = map_batches(ordered, _written(folder, spark.sparkContext.broadcast(id_of), width), schema)
     blocks.write.parquet(f"{folder}/manifest")
@@ -261,8 +263,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     earlier = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("in_earlier", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0))).join(files, "part")
     placed = placed.select("file", "offset", (F.col("before_file") + F.col("in_earlier")).alias("start"), "keys")
-    # Blocks are read on many cores whatever the size of the manifest.
-    placed = placed.repartition("file", "offset")
+    # The manifest is small and would be read in one task; a task for every few blocks reads them on many cores.
+    placed = placed.repartition(manifest.count() // BLOCKS_PER_TASK + 1, "file", "offset")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _open(folder)
