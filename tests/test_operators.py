@@ -5,14 +5,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricelake import session
 from pricelake.fixed import RISE
-from pricelake.operators import jdbc, lookup, quality, ranking, registry, sinks
+from pricelake.operators import documents, jdbc, lookup, quality, ranking, registry, sinks
 from pricelake.operators.snapshot import month_partitions, stamp_snapshot
 from pricelake.plans import build, gold, loads
 from pricelake.plans.silver import product_codes
 from pricelake.schemas import API10, PRODUCTS, SEASONS, SILVER
 from pricelake.session import shared_dir
-from pricelake.sources import tables
+from pricelake.sources import landing, tables
 
 
 def rows(df, *columns):
@@ -243,3 +244,77 @@ def test_top3_breaks_ties_the_same_way(spark, sf_dir):
 
     shuffled = snapshot(spark, sf_dir).repartition(5, F.rand(1))
     assert rows(gold.price_change_top3(shuffled, RISE), "*") == rows(gold.price_change_top3(snapshot(spark, sf_dir), RISE), "*")
+
+
+# Loads that must not lose rows.
+
+
+def test_merge_keeps_undated_rows_and_stored_columns(spark, tmp_path):
+    path = str(tmp_path / "months")
+    first = spark.sql("SELECT * FROM VALUES (1, DATE'2025-01-05', '2025', '01', 'x'), (2, NULL, NULL, NULL, 'y') t(k, res_dt, year, month, extra)")
+    sinks.write_parquet(first, path, ("year", "month"))
+    second = spark.sql("SELECT * FROM VALUES (3, DATE'2025-01-06', '2025', '01'), (4, CAST(NULL AS DATE), NULL, NULL) t(k, res_dt, year, month)")
+    for _ in range(2):
+        sinks.merge_by_date(tables.read_stored(spark, path, second.schema, ("year", "month")), second, path)
+        stored = tables.read_stored(spark, path, second.schema, ("year", "month"))
+        assert rows(stored, "k", "extra", "month") == sorted([(1, "x", "01"), (2, "y", None), (3, None, "01"), (4, None, None)], key=repr)
+    assert tables.read_stored(spark, str(tmp_path / "none"), second.schema).schema == second.schema
+
+
+def test_batch_date_is_that_of_the_first_dated_row(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES ('a', 'f1', 0, NULL), ('a', 'f1', 1, DATE'2025-03-02'), ('a', 'f2', 0, DATE'2025-03-01'), ('b', 'f1', 0, NULL) "
+        "t(batch, file_path, pos, res_dt)"
+    )
+    assert rows(stamp_snapshot(df), "batch", "pos", "dt") == sorted([("a", 0, "20250302"), ("a", 1, "20250302"), ("a", 0, "20250302"), ("b", 0, None)], key=repr)
+
+
+def test_documents_take_one_line(spark, tmp_path):
+    root = str(tmp_path / "zone")
+    docs = spark.createDataFrame([('{"a":\n1,\r\n"b":2}', "2025"), ('{"a":3}', None)], "value string, dt string")
+    keys = sinks.land_documents(docs, root)
+    read = landing.read_documents(spark, root, keys)
+    assert [tuple(r) for r in read.selectExpr("from_json(value, 'a int, b int') f", "dt").select("f.*", "dt").collect()] == [(1, 2, "2025")]
+    assert sinks.without_place(docs).count() == 1
+
+
+def test_newest_date_opens_no_old_file(spark, tmp_path):
+    root = str(tmp_path / "zone")
+    docs = spark.createDataFrame([("{}", "2024", "01"), ("{}", "2025", "01"), ("{}", "2025", "02")], "value string, dt string, product_cls string")
+    keys = sinks.land_documents(docs, root)
+    for old in (tmp_path / "zone" / "dt=2024").rglob("part-*"):
+        old.write_bytes(b"no longer readable")
+        old.chmod(0)
+    assert landing.folder_values(spark, root, "dt") == ["2024", "2025"]
+    latest = landing.read_latest(spark, root, keys, "01")
+    assert [(r.dt, r.product_cls) for r in latest.collect()] == [("2025", "01")]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "isnotnull(dt" in plan
+    assert landing.read_latest(spark, str(tmp_path / "nothing"), keys).count() == 0
+
+
+def test_newest_partition_comes_from_names(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS names_only")
+    spark.sql(f"CREATE TABLE names_only.t (a INT, dt STRING) USING parquet PARTITIONED BY (dt) LOCATION '{tmp_path / 't'}'")
+    assert tables.newest_partition(spark, "names_only.t") is None
+    spark.sql("INSERT INTO names_only.t VALUES (1, '20240101'), (2, '20250101'), (3, NULL)")
+    assert tables.newest_partition(spark, "names_only.t") == "20250101"
+    spark.sql("DROP DATABASE names_only CASCADE")
+
+
+def test_work_folders_are_removed(spark):
+    ranked = ranking.number_within(spark.range(10).selectExpr("id % 2 AS g", "id AS v"), ["g"], [F.col("v")], "n")
+    assert ranked.count() == 10
+    assert session._handed_out
+    session.release(spark)
+    assert not session._handed_out
+
+
+def test_outcomes_follow_the_explodes(spark):
+    values = ['{"data":{"item":[{"item_name":"a"}, null]}}', '{"data":{"item":[{"item_name":"a"}]}}', '{"data":{"item":{"item_name":"a"}}}', '{"data":["001"]}', "{bad", "", '{"data":{"item":[]}}']
+    docs = spark.createDataFrame([(str(n), v) for n, v in enumerate(values)], "file_path string, value string")
+    outcome = {r.file_path: r.outcome for r in documents.with_outcome(docs, "category").collect()}
+    assert list(outcome.values()) == ["bad_record", "rows", "rows", "empty", "unreadable", "unreadable", "empty"]
+    given = {r.file_path for r in documents.explode_items(docs).collect()}
+    assert given == {k for k, v in outcome.items() if v == "rows"}
+    assert rows(documents.rejected(docs, "category"), "file_path", "reason") == [("0", "bad_record"), ("4", "unreadable"), ("5", "unreadable")]
