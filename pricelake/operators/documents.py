@@ -13,44 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.fixed import CODE_NO_DATA, CODE_OK
+from pricelake.fixed import CATEGORY_LABELS, CATEGORY_PRICES, CODE_NO_DATA, CODE_OK, PRODUCT_FIELDS, REGION_FIELDS
 from pricelake.functions import clean_price, date_from_parts, first_of_list, strip
 from pricelake.sources.landing import marked, parsed
 
-# Category feed: JSON label field -> silver column, and price field -> silver column.
-CATEGORY_LABELS = {
-    "item_name": "item_nm",
-    "item_code": "item_cd",
-    "kind_name": "kind_nm",
-    "kind_code": "kind_cd",
-    "rank": "rank_nm",
-    "rank_code": "rank_cd",
-    "unit": "unit",
-    "day1": "base_dt",
-    "day2": "prev_1d_dt",
-    "day3": "prev_1w_dt",
-    "day4": "prev_2w_dt",
-    "day5": "prev_1m_dt",
-    "day6": "prev_1y_dt",
-    "day7": "avg_tp",
-}
-CATEGORY_PRICES = {
-    "dpr1": "base_pr",
-    "dpr2": "prev_1d_pr",
-    "dpr3": "prev_1w_pr",
-    "dpr4": "prev_2w_pr",
-    "dpr5": "prev_1m_pr",
-    "dpr6": "prev_1y_pr",
-    "dpr7": "avg_pr",
-}
-# Product feed and region feed: fields of one record.
-PRODUCT_FIELDS = (
-    "product_cls_code product_cls_name category_code category_name productno lastest_day productName unit "
-    "day1 dpr1 day2 dpr2 day3 dpr3 day4 dpr4 direction value county_code county_name"
-).split()
-REGION_FIELDS = "itemname kindname countyname marketname yyyy regday price".split()
-
-
 def _record(fields) -> str:
     return "struct<" + ",".join(f"`{f}`:string" for f in fields) + ">"
 

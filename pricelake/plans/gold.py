@@ -10,22 +10,75 @@ from pricelake.functions import market_category
 from pricelake.operators.lookup import lookup_join
 from pricelake.operators.ranking import newest, number_within, top_per_group
 
+# Columns of the models, in order.
 SNAPSHOT_COLUMNS = (
-    "product_no category_nm item_nm kind_nm product_cls_unit country_cd country_nm res_dt base_dt base_pr "
-    "prev_1d_dt prev_1d_pr prev_1d_dir_tp prev_1d_dir_pct prev_1m_dt prev_1m_pr prev_1y_dt prev_1y_pr dt"
-).split()
+    "product_no",
+    "category_nm",
+    "item_nm",
+    "kind_nm",
+    "product_cls_unit",
+    "country_cd",
+    "country_nm",
+    "res_dt",
+    "base_dt",
+    "base_pr",
+    "prev_1d_dt",
+    "prev_1d_pr",
+    "prev_1d_dir_tp",
+    "prev_1d_dir_pct",
+    "prev_1m_dt",
+    "prev_1m_pr",
+    "prev_1y_dt",
+    "prev_1y_pr",
+    "dt",
+)
 CHANGE_COLUMNS = (
-    "product_no category_nm item_nm kind_nm product_cls_unit country_cd country_nm res_dt base_dt base_pr "
-    "prev_1d_dt prev_1d_pr prev_1d_dir_pct"
-).split()
+    "product_no",
+    "category_nm",
+    "item_nm",
+    "kind_nm",
+    "product_cls_unit",
+    "country_cd",
+    "country_nm",
+    "res_dt",
+    "base_dt",
+    "base_pr",
+    "prev_1d_dt",
+    "prev_1d_pr",
+    "prev_1d_dir_pct",
+)
 TOP3_COLUMNS = (
-    "item_nm kind_nm product_cls_unit country_cd country_nm res_dt base_dt base_pr prev_1d_dt prev_1d_pr "
-    "prev_1d_dir_pct ranking"
-).split()
+    "item_nm",
+    "kind_nm",
+    "product_cls_unit",
+    "country_cd",
+    "country_nm",
+    "res_dt",
+    "base_dt",
+    "base_pr",
+    "prev_1d_dt",
+    "prev_1d_pr",
+    "prev_1d_dir_pct",
+    "ranking",
+)
 SEASON_COLUMNS = (
-    "product_no category_nm item_nm kind_nm product_cls_unit country_nm latitude longitude dt base_dt base_pr "
-    "prev_1y_dt prev_1y_pr present_month season season_month"
-).split()
+    "product_no",
+    "category_nm",
+    "item_nm",
+    "kind_nm",
+    "product_cls_unit",
+    "country_nm",
+    "latitude",
+    "longitude",
+    "dt",
+    "base_dt",
+    "base_pr",
+    "prev_1y_dt",
+    "prev_1y_pr",
+    "present_month",
+    "season",
+    "season_month",
+)
 
 
 def load_stamp() -> Column:

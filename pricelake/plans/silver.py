@@ -11,7 +11,9 @@ from pricelake.fixed import (
     CATEGORIES,
     NATIONWIDE_CODE,
     NATIONWIDE_NAME,
+    PATH_NAMES,
     PRODUCT_CLASSES,
+    PRODUCT_NAMES,
     PSEUDO_REGIONS,
     REGION_NAMES,
     UNKNOWN_CATEGORY,
@@ -25,37 +27,6 @@ from pricelake.operators.sinks import segment_of
 from pricelake.operators.snapshot import month_partitions
 from pricelake.schemas import API1, API10, API17
 
-PATH_NAMES = {
-    "product_cls": "product_cls_cd",
-    "country": "country_cd",
-    "category": "category_cd",
-    "item": "item_cd",
-    "kind": "kind_cd",
-    "product_rank": "rank_cd",
-}
-PRODUCT_NAMES = {
-    "product_cls_code": "product_cls_cd",
-    "product_cls_name": "product_cls_nm",
-    "county_code": "country_cd",
-    "county_name": "country_nm",
-    "category_code": "category_cd",
-    "category_name": "category_nm",
-    "productno": "product_no",
-    "lastest_day": "res_dt",
-    "unit": "product_cls_unit",
-    "day1": "base_dt",
-    "dpr1": "base_pr",
-    "day2": "prev_1d_dt",
-    "dpr2": "prev_1d_pr",
-    "day3": "prev_1m_dt",
-    "dpr3": "prev_1m_pr",
-    "day4": "prev_1y_dt",
-    "dpr4": "prev_1y_pr",
-    "direction": "direction_tp",
-    "value": "direction_pct",
-}
-
-
 def ordered(df: DataFrame, first: Sequence[str], keep_rest: bool = False) -> DataFrame:
     """Columns in a fixed order as far as present, optionally followed by the others."""
     columns = [c for c in first if c in df.columns]
