@@ -75,7 +75,7 @@ def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled pieces of every document, counted and checked, and whether the decoded text is the text itself."""
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = piece_sampling.decode(piece_sampling.encode(docs, model), model)
+    found = piece_sampling.encode(docs, model, decoded="decoded")
     return found.select(
         "doc_id",
         F.size("pieces").alias("n_pieces"),
