@@ -222,6 +222,12 @@ def _eco_nulls(column: str) -> str:
     return _check("mart_eco_price_statistics_by_category", "not_null", column, failing)
 
 
+#: Counts over the rises of the newest snapshot and over the snapshot itself.
+_REPEATED_RANKS = f"""SELECT count(*) AS n FROM (
+  SELECT 1 FROM (SELECT country_cd, {_RANK} AS ranking FROM snapshot WHERE prev_1d_dir_tp = '1')
+  WHERE ranking <= 3 GROUP BY country_cd, ranking HAVING count(*) > 1)"""
+_MISSING_ROWS = "SELECT abs((SELECT count(*) FROM api10 WHERE dt = (SELECT max(dt) FROM api10)) - count(*)) AS n FROM snapshot"
+
 ORACLES = {
     "latest_snapshot": f"""WITH {feeds.API10_SQL}
 SELECT CAST(product_no AS BIGINT) AS product_no, category_nm, item_nm, kind_nm, product_cls_unit, country_cd,
@@ -280,7 +286,7 @@ FROM (SELECT DISTINCT res_dt, country_cd, country_nm, category_nm, item_nm, kind
         + ")",
     ),
     "dq_unique_rank": f"WITH {feeds.API10_SQL} "
-    + _check("mart_price_rise_top3", "unique", "country_cd,ranking", "SELECT 0 AS n")
+    + _check("mart_price_rise_top3", "unique", "country_cd,ranking", _REPEATED_RANKS)
     + " UNION ALL "
     + _check(
         "api10",
@@ -314,7 +320,7 @@ FROM (SELECT DISTINCT res_dt, country_cd, country_nm, category_nm, item_nm, kind
     "dq_numeric": "WITH t AS (SELECT count(*) AS n FROM lineitem WHERE l_discount = 0.1) "
     + _check("api10", "numeric", "direction_pct", "SELECT n FROM t"),
     "count_reconcile": f"WITH {feeds.API10_SQL} "
-    + _check("api10", "reconcile", "dt", "SELECT 0 AS n")
+    + _check("api10", "reconcile", "dt", _MISSING_ROWS)
     + " UNION ALL "
     + _check(
         "planted",
