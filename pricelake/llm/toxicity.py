@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import id_remainder, map_batches
+from pricelake.llm.common import id_remainder, map_batches, stage
+from pricelake.session import discard
 
 #: Words are hashed to this many features, and runs of letters to as many more.
 FEATURE_BITS = 18
@@ -93,15 +94,26 @@ class Classifier:
         return sigmoid(Sparse([features(t) for t in texts]).sums(self.weights) + self.bias)
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Classifier:
-    """Adam on the non-negative risk with logistic loss; without an example of either kind every score is 0."""
+def chosen_features(seen: np.ndarray, with_p: np.ndarray, with_u: np.ndarray, p: int, u: int) -> np.ndarray:
+    """Those of the features ``seen`` that tell toxic examples from unlabelled ones, in order."""
+    if not p or not u:
+        return seen[:0]
+    return np.sort(seen[statistic(with_p, p, with_u, u) >= LEAST_STATISTIC])
+
+
+def places(row: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Places of a row's features among the chosen ones."""
+    return np.flatnonzero(np.isin(chosen, row, assume_unique=True))
+
+
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, chosen: np.ndarray) -> Classifier:
+    """Adam on the non-negative risk with logistic loss, from the places of each example's features among the chosen ones.
+
+    Without an example of either kind every score is 0.
+    """
     if not positive or not unlabelled:
         return Classifier(np.zeros(2 * FEATURES), -60.0)
-    with_p, with_u = (np.bincount(np.concatenate(rows), minlength=2 * FEATURES) for rows in (positive, unlabelled))
-    common = statistic(with_p, len(positive), with_u, len(unlabelled)) >= LEAST_STATISTIC
-    place = np.cumsum(common) - 1
-    p, u = (Sparse([place[r[common[r]]] for r in rows]) for rows in (positive, unlabelled))
-    size = int(common.sum())
+    p, u, size = Sparse(positive), Sparse(unlabelled), len(chosen)
     theta, mean, square = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
     theta[-1] = np.log(prior / (1 - prior)) if 0 < prior < 1 else 0.0
     for step in range(1, STEPS + 1):
@@ -122,7 +134,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
         square = 0.999 * square + 0.001 * slope**2
         theta = theta - RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(2 * FEATURES)
-    weights[common] = theta[:-1]
+    weights[chosen] = theta[:-1]
     return Classifier(weights, float(theta[-1]))
 
 
@@ -162,11 +174,36 @@ def learn(
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["id", "positive", "features"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = map_batches(texts, of_batches, f"id {kind}, positive boolean, features binary")
+    found, found_path = stage(map_batches(texts, of_batches, f"id {kind}, positive boolean, features binary"), "examples")
+    sizes = {r.positive: r["count"] for r in found.groupBy("positive").count().collect()}
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with_p, with_u = np.zeros(2 * FEATURES, np.int64), np.zeros(2 * FEATURES, np.int64)
+        for batch in batches:
+            for positive, row in zip(batch.column(0), batch.column(1), strict=True):
+                (with_p if positive.as_py() else with_u)[np.frombuffer(row.as_buffer(), np.int32)] += 1
+        seen = np.flatnonzero(with_p + with_u)
+        yield pa.record_batch([pa.array(seen), pa.array(with_p[seen]), pa.array(with_u[seen])], ["feature", "with_p", "with_u"])
+
+    counts = map_batches(found.select("positive", "features"), counted, "feature bigint, with_p bigint, with_u bigint")
+    counts = counts.groupBy("feature").agg(F.sum("with_p").alias("with_p"), F.sum("with_u").alias("with_u"))
+    # Features that no toxic example has are never chosen. There are no more rows than features.
+    counts = counts.where("with_p > 0").toPandas()
+    counts = [counts[c].to_numpy(np.int64) for c in ("feature", "with_p", "with_u")]
+    chosen = chosen_features(*counts, sizes.get(True, 0), sizes.get(False, 0))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [places(np.frombuffer(r.as_buffer(), np.int32), chosen).astype(np.int32).tobytes() for r in batch.column(2)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], ["id", "positive", "places"])
+
+    # The driver gets a few bytes of each of a bounded number of examples.
+    examples = map_batches(found, placed, f"id {kind}, positive boolean, places binary")
     sides: dict[bool, list[np.ndarray]] = {True: [], False: []}
-    for row in found.orderBy("id", "positive", "features").toLocalIterator():
-        sides[row.positive].append(np.frombuffer(row.features, np.int32))
-    return fit(sides[True], sides[False], share or 0.0)
+    for row in sorted(examples.collect(), key=lambda r: (r.id, r.positive, bytes(r.places))):
+        sides[row.positive].append(np.frombuffer(row.places, np.int32))
+    discard(docs.sparkSession, found_path)
+    return fit(sides[True], sides[False], share or 0.0, chosen)
 
 
 def score(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "text") -> DataFrame:
