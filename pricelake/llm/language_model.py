@@ -17,11 +17,12 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.llm.common import id_remainder, map_batches, stage, words
@@ -81,8 +82,9 @@ class Vocabulary:
 
     tokens: int
     distinct: int
-    #: Times of the commonest words.
+    #: Times of the commonest words, and of the end, which stands as the empty word.
     common: dict[bytes, int]
+    #: Words with a unit of their own.
     words: list[bytes]
     classes: dict[bytes, int]
     #: Tokens and distinct words of each class.
@@ -91,37 +93,43 @@ class Vocabulary:
     unit_counts: np.ndarray
 
     def __post_init__(self):
-        self.unit_of = {word: n for n, word in enumerate(self.words)}
-        self.other = UNITS - 1
+        own = {word: n for n, word in enumerate(self.words)} | {b"": END}
+        self.place = {word: n for n, word in enumerate(self.common)}
+        self.times = np.fromiter(self.common.values(), np.float64, len(self.common))
+        self.unit = np.fromiter((own[w] if w in own else self.class_of(w) for w in self.common), np.int16, len(self.common))
+        self.base = self.base_of(self.times)
+        self.share = np.where(self.unit > END, self.share_of(np.maximum(self.unit, END + 1), self.times), 0.0)
 
     def class_of(self, word: bytes) -> int:
-        return self.classes.get(ending(word), self.other)
+        return self.classes.get(ending(word), UNITS - 1)
 
-    def base(self, times: int) -> float:
-        """log10 of the smoothed share of a token among all tokens."""
-        return math.log10((times + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
+    def base_of(self, times: np.ndarray) -> np.ndarray:
+        """log10 of the smoothed share of tokens among all tokens."""
+        return np.log10((times + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
 
-    def share(self, unit: int, times: int) -> float:
-        """log10 of the smoothed share of a word in its class."""
+    def share_of(self, unit: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """log10 of the smoothed share of words in their classes."""
         n = unit - END - 1
-        return math.log10((times + 0.5) / (self.class_tokens[n] + 0.5 * (self.class_distinct[n] + 1)))
+        return np.log10((times + 0.5) / (self.class_tokens[n] + 0.5 * (self.class_distinct[n] + 1)))
 
-    def entry(self, word: bytes) -> tuple[int, float, float, int]:
-        """(unit, log10 share in the unit, base, times) of a common word."""
-        times = self.common[word]
-        unit = self.unit_of.get(word)
-        if unit is not None:
-            return unit, 0.0, self.base(times), times
-        unit = self.class_of(word)
-        return unit, self.share(unit, times), self.base(times), times
+
+def common_words(counts: DataFrame, most: int) -> DataFrame:
+    """The commonest words, at most so many: those met more often than the words that would go beyond the bound.
+
+    The least number of times is found from how many words there are of each; a limit would have every task send that many rows.
+    """
+    words_of = counts.groupBy("times").agg(F.count("*").alias("n"))
+    above = words_of.select("times", F.sum("n").over(Window.orderBy(F.desc("times"))).alias("so_far"))
+    least = above.where(F.col("so_far") <= most).agg(F.min("times")).first()[0]
+    return counts.where(F.col("times") >= least) if least is not None else counts.limit(0)
 
 
 def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
     """``counts`` without the ends, of which each of the training texts has one."""
     total = counts.agg(F.sum("times"), F.count("*")).first()
-    top = counts.orderBy(F.desc("times"), "word").limit(COMMON_WORDS)
-    common = {bytes(r.word): r.times for r in top.collect()}
+    common = {bytes(r.word): r.times for r in common_words(counts, COMMON_WORDS).orderBy(F.desc("times"), "word").collect()}
     own = list(common)[:WORD_UNITS]
+    common[b""] = texts
     rest = counts.where(~F.col("word").isin([bytearray(w) for w in own])) if own else counts
     by_ending = rest.groupBy(F.expr("substring(word, -2, 2)").alias("ending")).agg(
         F.sum("times").alias("tokens"), F.count("*").alias("distinct")
@@ -189,31 +197,32 @@ class Model:
 def contexts(units: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Units before each place, nearest first; the extra unit where the text has none."""
     places = np.arange(len(units))
-    out = np.empty((CONTEXT, len(units)), np.int64)
+    out = np.empty((CONTEXT, len(units)), np.int16)
     for n in range(CONTEXT):
         at = places - n - 1
         out[n] = np.where(at >= first, units[np.maximum(at, 0)], UNITS)
     return out
 
 
-def predicted(model: Model, before: np.ndarray) -> np.ndarray:
-    """Predicted vectors. One table for each distance, so that a context vector is a lookup and a sum."""
-    total = (model.context * model.distance[0])[before[0]]
-    for n in range(1, CONTEXT):
-        total += (model.context * model.distance[n])[before[n]]
-    return total
-
-
-def row_sums(units: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sum of the rows of ``values`` by unit."""
-    order = np.argsort(units, kind="stable")
-    sorted_ = units[order]
-    first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+def row_sums(groups: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sum of ``values[n % len(values)]`` over the places n of each group. Two-byte groups are sorted by radix."""
+    order = np.argsort(groups, kind="stable")
+    sorted_ = groups[order]
+    first = np.flatnonzero(sorted_[1:] != sorted_[:-1]) + 1
+    first = np.append(0, first)
     out = np.zeros((size, values.shape[1]), np.float32)
-    out[sorted_[first]] = np.add.reduceat(values[order], first, axis=0)
+    out[sorted_[first]] = np.add.reduceat(values.take(order % len(values), axis=0), first, axis=0)
     return out
 
 
+def predicted(tables: list[np.ndarray], before: np.ndarray) -> np.ndarray:
+    """Predicted vectors: with one table of context vectors for each distance, a lookup and a sum."""
+    total = tables[0].take(before[0], axis=0)
+    for table, units in zip(tables[1:], before[1:], strict=True):
+        total += table.take(units, axis=0)
+    return total
+
+
 class Trainer:
     """AdaGrad on the noise-contrastive loss of batches of places."""
 
@@ -228,23 +237,27 @@ class Trainer:
         """One step. The noise units are shared by the places of the batch."""
         m, n = self.model, len(units)
         noise = self.draw.choice(UNITS, NOISE, p=self.noise)
-        guess = predicted(m, before)
-        own = np.einsum("nd,nd->n", guess, m.target[units]) + m.bias[units] - self.log_noise[units]
+        guess = predicted([m.context * d for d in m.distance], before)
+        mine = m.target.take(units, axis=0)
+        own = (guess * mine).sum(axis=1) + (m.bias - self.log_noise)[units]
         others = guess @ m.target[noise].T
         others += m.bias[noise] - self.log_noise[noise]
         # Slopes of the loss by the scores: of the unit that came, and of the noise.
         slope_own = -1 / (1 + np.exp(np.clip(own, -30, 30)))
-        slope_others = 1 / (1 + np.exp(np.clip(-others, -30, 30)))
-        slope_guess = slope_own[:, None] * m.target[units] + slope_others @ m.target[noise]
+        np.clip(others, -30, 30, out=others)
+        np.negative(others, out=others)
+        np.exp(others, out=others)
+        others += 1
+        slope_others = np.reciprocal(others, out=others)
+        slope_guess = slope_others @ m.target[noise]
+        slope_guess += slope_own[:, None] * mine
         target = row_sums(units, slope_own[:, None] * guess, UNITS)
         np.add.at(target, noise, slope_others.T @ guess)
         bias = np.bincount(units, slope_own, UNITS).astype(np.float32)
         np.add.at(bias, noise, slope_others.sum(axis=0))
-        context, distance = np.zeros_like(m.context), np.zeros_like(m.distance)
-        for k in range(CONTEXT):
-            sums = row_sums(before[k], slope_guess, UNITS + 1)
-            context += sums * m.distance[k]
-            distance[k] = (sums * m.context).sum(axis=0)
+        by_distance = before + (np.arange(CONTEXT, dtype=np.int16) * (UNITS + 1))[:, None]
+        sums = row_sums(by_distance.ravel(), slope_guess, CONTEXT * (UNITS + 1)).reshape(CONTEXT, UNITS + 1, DIMENSIONS)
+        context, distance = (sums * m.distance[:, None]).sum(axis=0), (sums * m.context).sum(axis=1)
         for part, seen, slope in zip(m.parts(), self.seen, (context, target, distance, bias), strict=True):
             slope = slope / n
             seen += slope**2
@@ -260,9 +273,7 @@ def log_probabilities(model: Model, units: np.ndarray, before: np.ndarray) -> np
     tables = [model.context * d for d in model.distance]
     for start in range(0, len(units), BATCH):
         chosen = units[start : start + BATCH]
-        guess = tables[0][before[0, start : start + BATCH]]
-        for n in range(1, CONTEXT):
-            guess += tables[n][before[n, start : start + BATCH]]
+        guess = predicted(tables, before[:, start : start + BATCH])
         block = scores[: len(chosen)]
         np.matmul(guess, target, out=block)
         block += model.bias
@@ -277,73 +288,86 @@ def log_probabilities(model: Model, units: np.ndarray, before: np.ndarray) -> np
 # Texts as units.
 
 
-class Reader:
-    """Units of texts. Entries of common words are made when first met."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-        self.entries: dict[bytes, tuple[int, float, float, int]] = {}
-
-    def entry(self, word: bytes) -> tuple[int, float, float, int] | None:
-        """None for a word that is not common."""
-        found = self.entries.get(word)
-        if found is None and word in self.vocabulary.common:
-            found = self.entries[word] = self.vocabulary.entry(word)
-        return found
+def blocks(texts: list[str | None]) -> Iterator[tuple[int, list[int], list[bytes]]]:
+    """Words and ends of texts in blocks of about 100,000, with the index of the first text and the length of each."""
+    block, lengths, start = [], [], 0
+    for n, text in enumerate(texts):
+        parts = words(text or "")
+        block += parts
+        block.append(b"")
+        lengths.append(len(parts) + 1)
+        if len(block) > 100_000:
+            yield start, lengths, block
+            block, lengths, start = [], [], n + 1
+    if block:
+        yield start, lengths, block
 
-    def units(self, parts: list[bytes]) -> list[int]:
-        unit, class_of = self.vocabulary.unit_of.get, self.vocabulary.class_of
-        return [n if (n := unit(w)) is not None else class_of(w) for w in parts] + [END]
 
+def places(vocabulary_: Vocabulary, block: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Place of each word among the common ones (-1: not there), its unit, and the words that are not there with their positions."""
+    found = np.fromiter(map(vocabulary_.place.get, block, repeat(-1)), np.int32, len(block))
+    missing = np.flatnonzero(found < 0)
+    rare = list(map(block.__getitem__, missing.tolist()))
+    units = vocabulary_.unit[found]
+    units[missing] = list(map(vocabulary_.class_of, rare))
+    return found, units, rare, missing
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """Words of texts in blocks of about 100,000 words, with the index of the first text."""
-    block, start, size = [], 0, 0
-    for n, text in enumerate(texts):
-        block.append(words(text or ""))
-        size += len(block[-1]) + 1
-        if size > 100_000:
-            yield start, block
-            block, start, size = [], n + 1, 0
-    if block:
-        yield start, block
 
+def firsts(lengths: list[int]) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
 
-def _places(units: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """All units one after the other and the units before each of them."""
-    lengths = np.array([len(u) for u in units])
-    flat = np.fromiter((n for u in units for n in u), np.int64, int(lengths.sum()))
-    first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return flat, contexts(flat, first)
 
+def units_of(texts: DataFrame, found: Vocabulary) -> DataFrame:
+    """``units`` (two-byte numbers, the end included) of every row of one text column."""
+    shared = texts.sparkSession.sparkContext.broadcast(found)
 
-def train(texts: DataFrame, found: Vocabulary, rounds: int = ROUNDS) -> Model:
-    """A model from all rows of one text column."""
-    context = texts.sparkSession.sparkContext
-    shared = context.broadcast(found)
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, lengths, block in blocks(batch.column(0).to_pylist()):
+                content = places(shared.value, block)[1].tobytes()
+                ends = np.cumsum(lengths).tolist()
+                parts = [content[2 * (end - n) : 2 * end] for end, n in zip(ends, lengths, strict=True)]
+                yield pa.record_batch([pa.array(parts, pa.binary())], ["units"])
+
+    return map_batches(texts, of_batches, "units binary")
+
+
+def unit_blocks(rows: pa.Array) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """Units of rows one after the other, in blocks of about 100,000, with the length of each row."""
+    block, size = [], 0
+    for n, row in enumerate(rows):
+        block.append(row.as_py())
+        size += len(block[-1]) // 2
+        if size > 100_000 or n + 1 == len(rows):
+            yield np.frombuffer(b"".join(block), np.int16), [len(r) // 2 for r in block]
+            block, size = [], 0
+
+
+def train(units: DataFrame, found: Vocabulary, rounds: int = ROUNDS) -> Model:
+    """A model from all rows of ``units``, which are read once a round."""
+    context = units.sparkSession.sparkContext
+    counts = found.unit_counts
     model = Model.start(found.unit_counts)
     for turn in range(rounds):
         start = context.broadcast(model)
 
         def of_batches(batches: Iterator[pa.RecordBatch], start=start, turn=turn) -> Iterator[pa.RecordBatch]:
-            vocabulary_ = shared.value
-            reader = Reader(vocabulary_)
-            trainer = Trainer(start.value, vocabulary_.unit_counts, SEED + turn * 1_000_003 + TaskContext.get().partitionId())
+            trainer = Trainer(start.value, counts, SEED + turn * 1_000_003 + TaskContext.get().partitionId())
             tokens = 0
             for batch in batches:
-                for _, block in _blocks(batch.column(0).to_pylist()):
-                    units, before = _places([reader.units(parts) for parts in block])
-                    tokens += len(units)
+                for found_units, lengths in unit_blocks(batch.column(0)):
+                    before = contexts(found_units, np.repeat(firsts(lengths), lengths))
+                    tokens += len(found_units)
                     # Places of many texts share a step: every batch is spread over the block.
-                    steps = max(1, round(len(units) / BATCH))
+                    steps = max(1, round(len(found_units) / BATCH))
                     for k in range(steps):
-                        trainer.learn(units[k::steps], before[:, k::steps])
+                        trainer.learn(found_units[k::steps], before[:, k::steps])
             if tokens:
                 values = np.round(trainer.model.flat().astype(np.float64) * SCALE).astype(np.int64)
                 place = pa.array(np.arange(len(values), dtype=np.int32))
                 yield pa.record_batch([place, pa.array(values), pa.array(np.full(len(values), tokens))], ["place", "value", "tokens"])
 
-        reached = map_batches(texts, of_batches, "place int, value bigint, tokens bigint")
+        reached = map_batches(units, of_batches, "place int, value bigint, tokens bigint")
         weighted = F.sum(F.col("value").cast("decimal(20,0)") * F.col("tokens").cast("decimal(18,0)"))
         mean = reached.groupBy("place").agg((weighted / F.sum("tokens")).cast("double").alias("value"))
         values = mean.toPandas().sort_values("place")["value"].to_numpy()
@@ -359,52 +383,45 @@ def score(docs: DataFrame, model: Model, found: Vocabulary, counts: DataFrame, k
     shared, trained = spark.sparkContext.broadcast(found), spark.sparkContext.broadcast(model)
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("body"))
     names = ["row", "id", "n_tokens", "n_known", "base", "score", "rare"]
-    rare_kind = pa.list_(pa.struct([("word", pa.binary()), ("unit", pa.int32()), ("times", pa.int32())]))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary_, model_ = shared.value, trained.value
-        reader = Reader(vocabulary_)
-        entry = reader.entry
         row = TaskContext.get().partitionId() << 33
-        end_times = int(vocabulary_.unit_counts[END])
-        end_base = vocabulary_.base(end_times)
         for batch in batches:
-            for start, block in _blocks(batch.column(1).to_pylist()):
-                units, n_known, base, share, rare = [], [], [], [], []
-                for parts in block:
-                    own, base_sum, share_sum, missing = [], 0.0, 0.0, []
-                    for word in parts:
-                        e = entry(word)
-                        if e is None:
-                            own.append(vocabulary_.class_of(word))
-                            missing.append(word)
-                        else:
-                            own.append(e[0])
-                            share_sum += e[1]
-                            base_sum += e[2]
-                    own.append(END)
-                    units.append(own)
-                    n_known.append(len(parts) - len(missing) + (end_times > 0))
-                    base.append(base_sum + end_base)
-                    share.append(share_sum)
-                    rare.append([{"word": w, "unit": vocabulary_.class_of(w), "times": n} for w, n in Counter(missing).items()])
-                flat, before = _places(units)
-                logs = log_probabilities(model_, flat, before)
-                lengths = np.array([len(u) for u in units])
-                sums = np.add.reduceat(logs, np.cumsum(lengths) - lengths) + np.array(share)
-                yield pa.record_batch(
+            for start, lengths, block in blocks(batch.column(1).to_pylist()):
+                found, units, rare, missing = places(vocabulary_, block)
+                first = firsts(lengths)
+                logs = log_probabilities(model_, units, contexts(units, np.repeat(first, lengths)))
+                known = found >= 0
+                parts = (
+                    known & (vocabulary_.times[found] > 0),
+                    np.where(known, vocabulary_.base[found], 0.0),
+                    logs + np.where(known, vocabulary_.share[found], 0.0),
+                )
+                n_known, base, total = (np.add.reduceat(p, first, dtype=np.float64) for p in parts)
+                # Rare words of each text, each once with its times.
+                owners = np.searchsorted(first, missing, side="right") - 1
+                times = Counter(zip(owners.tolist(), rare, strict=True))
+                keys = list(times)
+                rare_units = [vocabulary_.class_of(w) for _, w in keys]
+                offsets = np.searchsorted([n for n, _ in keys], np.arange(len(lengths) + 1)).astype(np.int32)
+                rares = pa.StructArray.from_arrays(
+                    [pa.array([w for _, w in keys], pa.binary()), pa.array(rare_units, pa.int32()), pa.array(times.values(), pa.int32())],
+                    ["word", "unit", "times"],
+                )
+                yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(row + np.arange(len(block)), pa.int64()),
-                        batch.column(0).slice(start, len(block)),
+                        pa.array(row + np.arange(len(lengths)), pa.int64()),
+                        batch.column(0).slice(start, len(lengths)),
                         pa.array(lengths, pa.int64()),
-                        pa.array(n_known, pa.int64()),
-                        pa.array(base, pa.float64()),
-                        pa.array(sums, pa.float64()),
-                        pa.array(rare, rare_kind),
+                        pa.array(n_known.astype(np.int64)),
+                        pa.array(base),
+                        pa.array(total),
+                        pa.ListArray.from_arrays(pa.array(offsets), rares),
                     ],
                     names,
                 )
-                row += len(block)
+                row += len(lengths)
 
     kind = rows.schema["id"].dataType.simpleString()
     schema = (
@@ -444,9 +461,11 @@ def train_and_score(docs: DataFrame, learns: Column, key: str = "doc_id", text:
     """
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("body"), learns.alias("learns"))
     texts = rows.where("learns").select("body")
-    counts, counts_path = stage(count_words(texts), "word-counts")
+    counts, _ = stage(count_words(texts), "word-counts")
     found = vocabulary(counts, texts.count())
-    model = train(texts, found)
+    units, units_path = stage(units_of(texts, found), "units")
+    model = train(units, found)
+    discard(docs.sparkSession, units_path)
     scored = score(rows, model, found, counts, "id", "body")
     return scored.select(
         F.col("id").alias(key), "n_tokens", "n_known", F.lit(found.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
