@@ -55,7 +55,7 @@ def test_base_scores_and_gain(spark, sf_dir):
     assert gain[1] > gain[0]
 
 
-def test_model_probabilities_add_up(monkeypatch):
+def test_model_probabilities_add_up():
     """All units after any context, and all words of a class with one unknown word."""
     draw = np.random.default_rng(2)
     counts = draw.integers(0, 50, language_model.UNITS).astype(float)
@@ -65,13 +65,13 @@ def test_model_probabilities_add_up(monkeypatch):
     every = np.arange(language_model.UNITS)
     logs = language_model.log_probabilities(model, every, np.repeat(before, len(every), axis=1))
     assert abs((10**logs).sum() - 1) < 1e-4
-    words = {b"xab": 3, b"yab": 1, b"zcd": 2}
+    words = {b"xab": 3, b"yab": 1, b"zcd": 2, b"": 0}
     vocabulary = language_model.Vocabulary(
         6, 3, words, [], {b"ab": language_model.END + 1}, np.array([4.0] + [0] * 126 + [2.0]), np.array([2.0] + [0] * 126 + [1.0]), counts
     )
-    entries = {w: vocabulary.entry(w) for w in words}
-    shares = [10 ** entries[w][1] for w in (b"xab", b"yab")] + [10 ** vocabulary.share(language_model.END + 1, 0)]
-    assert abs(sum(shares) - 1) < 1e-12
+    unknown = vocabulary.share_of(np.array([language_model.END + 1]), np.array([0]))
+    assert abs((10 ** vocabulary.share[:2]).sum() + (10**unknown).sum() - 1) < 1e-12
+    assert vocabulary.unit.tolist() == [language_model.END + 1] * 2 + [language_model.UNITS - 1, language_model.END]
 
 
 def test_training_learns_what_follows_what():
@@ -79,7 +79,7 @@ def test_training_learns_what_follows_what():
     counts = np.zeros(language_model.UNITS)
     counts[:4] = 5000
     trainer = language_model.Trainer(language_model.Model.start(counts), counts, 1)
-    units = np.arange(20_000) % 4
+    units = (np.arange(20_000) % 4).astype(np.int16)
     before = language_model.contexts(units, np.zeros(len(units), np.int64))
     for _ in range(30):
         for k in range(10):
@@ -186,7 +186,10 @@ def test_risk_is_corrected():
 
     positive = [toxicity.features(text(True)) for _ in range(80)]
     unlabelled = [toxicity.features(text(n % 10 == 0)) for n in range(1000)]
-    model = toxicity.fit(positive, unlabelled, 0.1)
+    counts = [np.bincount(np.concatenate(rows), minlength=2 * toxicity.FEATURES) for rows in (positive, unlabelled)]
+    chosen = toxicity.chosen_features(np.arange(2 * toxicity.FEATURES), *counts, len(positive), len(unlabelled))
+    sides = [[toxicity.places(row, chosen) for row in rows] for rows in (positive, unlabelled)]
+    model = toxicity.fit(*sides, 0.1, chosen)
     assert all(model.scores([text(True) for _ in range(50)]) > 0.5)
     assert (model.scores([text(False) for _ in range(200)]) < 0.5).mean() > 0.97
 
@@ -262,6 +265,9 @@ def test_sampled_pieces_against_one_lattice(documents, clashing):
     assert sorted(((r.doc_id, r.text) for r in found), key=repr) == sorted(((k, t or "") for k, t in PIECED), key=repr)
     for r in found:
         assert r.pieces == brute_pieces(r.doc_id, r.text) and r.n_pieces == len(r.pieces)
+    again = piece_sampling.decode(piece_sampling.encode(documents(PIECED), MODEL).drop("text"), MODEL)
+    assert sorted(((r.doc_id, r.decoded) for r in again.collect()), key=repr) == sorted(((k, t or "") for k, t in PIECED), key=repr)
+    assert documents(PIECED).count() and piece_sampling.decode(again.selectExpr("CAST(NULL AS ARRAY<INT>) AS pieces"), MODEL).first().decoded == ""
     assert piece_sampling.encode_and_decode(documents([]), MODEL).count() == 0
 
 
@@ -399,3 +405,19 @@ def test_cosines_against_brute_force(spark, sf_dir):
         expected[key] = licenses.TEMPLATES[-best[1]][0] if best[0] >= licenses.LEAST_COSINE else None
     found = {r.doc_id: r.licence for r in licenses.scan_licences(docs, "doc_id").collect()}
     assert found == expected and any(expected.values())
+
+
+def test_common_words_stay_within_their_bound(spark):
+    counts = spark.createDataFrame([(f"w{n}".encode(), 1 + n // 3) for n in range(12)], "word binary, times bigint")
+    for most, least in ((12, 1), (11, 2), (6, 3), (5, 4), (3, 4), (2, None)):
+        found = language_model.common_words(counts, most).collect()
+        assert len(found) <= most and len(found) == (0 if least is None else 3 * (5 - least))
+
+
+def test_examples_beyond_the_bound_have_the_smallest_hashes(documents, spark, monkeypatch):
+    taken = {}
+    monkeypatch.setattr(toxicity, "fit", lambda p, u, prior, chosen: taken.update(p=len(p), u=len(u)))
+    docs = documents([(n, f"text {n}") for n in range(3000)])
+    labels = spark.createDataFrame([(n, 1, int(n < 2000)) for n in range(3000)], "doc_id bigint, quality int, toxic int")
+    toxicity.learn(docs, labels, most_positive=50, most_unlabelled=100)
+    assert taken == {"p": 50, "u": 100}
