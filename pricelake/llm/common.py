@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from functools import cache
 from pathlib import Path
@@ -36,7 +38,30 @@ def map_batches(
     if not getattr(context, "_pricelake_packed", False):
         context.addPyFile(_shipped(context.applicationId))
         context._pricelake_packed = True
-    return df.mapInArrow(function, schema)
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(of_batches, schema)
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: Python workers live on between tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Parts of a few rows of each batch, so that Python objects are made for a part at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:

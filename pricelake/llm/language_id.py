@@ -18,7 +18,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import id_remainder, map_batches
+from pricelake.llm.common import id_remainder, map_batches, slices
 
 DIMENSIONS = 1024
 #: Letters share 63 vectors by code point; everything else is a gap, whose vector is the first.
@@ -181,7 +181,7 @@ def predict_languages(docs: DataFrame, model: Prototypes, key: str = "doc_id", t
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("body"))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names, scores = shared.value.predict(batch.column(1).to_pylist())
             yield pa.record_batch([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["id", "n", "s"])
 
@@ -196,7 +196,7 @@ def keep_identified(docs: DataFrame, model: Prototypes, text: str = "text", leas
     column = docs.columns.index(text)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names, scores = shared.value.predict(batch.column(column).to_pylist())
             keep = [n != UNKNOWN and s >= least_score for n, s in zip(names, scores, strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))

@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake.llm.common import map_batches
+from pricelake.llm.common import map_batches, slices
 
 SEED = 1
 SHARPNESS = 1.0
 #: Runs up to this length are kept for the next ones alike; beyond this many nodes all are forgotten before the next block.
-KEPT_RUN, KEPT_NODES = 48, 2_500_000
-BLOCK_CHARS = 1_000_000
-GROUP_CHARS = 200_000
+KEPT_RUN, KEPT_NODES = 48, 1_500_000
+BLOCK_CHARS = 250_000
+GROUP_CHARS = 50_000
 SPACE = "▁"
 #: Runs of characters are looked up by a polynomial hash; pieces have 16 characters or so, too few for its known collisions.
 BASE, MIX, SLOT_BITS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), 19
@@ -336,7 +336,7 @@ def encode(
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = _lattices(model, sharpness)
-        for batch in batches:
+        for batch in slices(batches):
             keys, texts = batch.column(key_at).to_pylist(), batch.column(text_at).to_pylist()
             for start, stop in _blocks(texts):
                 seeds = [row_seed(k, seed) for k in keys[start:stop]]
@@ -368,14 +368,12 @@ def decode(rows: DataFrame, model: str, pieces: str = "pieces", output: str = "d
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content = _content(model)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                column = part.column(at).fill_null([])
-                bounds = column.offsets.to_numpy()
-                ids = column.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]]
-                texts = spell(content, ids, bounds - bounds[0])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
+        for part in slices(batches):
+            column = part.column(at).fill_null([])
+            bounds = column.offsets.to_numpy()
+            ids = column.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]]
+            texts = spell(content, ids, bounds - bounds[0])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
 
     return map_batches(rows, of_batches, T.StructType([*rows.schema.fields, T.StructField(output, T.StringType())]))
 
