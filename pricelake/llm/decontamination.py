@@ -25,7 +25,7 @@ from pricelake.llm.common import map_batches, words
 
 SHINGLE_WORDS = 5
 LEAST_OVERLAP = 0.8
-BLOCK_ITEMS = 8
+BLOCK_ITEMS = 2
 #: Items are indexed in parts of this many bytes of text; each part is one pass over the documents.
 PART_BYTES = 4 * 1024 * 1024
 #: Usual BM25 settings.
