@@ -35,18 +35,24 @@ CROWDED = 64
 GENERATOR = 0b110001110101
 
 
-def fingerprint(text: str | None) -> int:
-    """Majority of the bits of the XXH64 of all shingles of three words; zero without a word."""
-    parts = words(text or "")
+def shingle_hashes(parts: list[bytes], width: int) -> np.ndarray:
+    """XXH64 of each run of ``width`` words in order, or of all words if there are fewer; none without a word."""
     if not parts:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(parts)
     ends = list(accumulate((len(p) + 1 for p in parts), initial=0))
-    width = min(SHINGLE_WORDS, len(parts))
+    width = min(width, len(parts))
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
+    return np.fromiter(
         (digest(joined[a : b - 1], SEED) for a, b in zip(ends, ends[width:], strict=False)), "<u8", len(parts) - width + 1
     )
+
+
+def fingerprint(text: str | None) -> int:
+    """Majority of the bits of the XXH64 of all shingles of three words; zero without a word."""
+    hashes = shingle_hashes(words(text or ""), SHINGLE_WORDS)
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, np.int64)
     for block in np.split(hashes, range(4096, len(hashes), 4096)):
         ones += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
