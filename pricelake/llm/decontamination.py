@@ -13,6 +13,7 @@ of the question and of the answer that the document has.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -30,6 +31,8 @@ BLOCK_ITEMS = 2
 PART_BYTES = 4 * 1024 * 1024
 #: Usual BM25 settings.
 K1, B = 1.2, 0.75
+#: Punctuation at the edges of words.
+EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 #: Rounding of sums.
 SLACK = 1e-9
 
@@ -51,6 +54,11 @@ def enough(shared: int, total: int, least: float) -> bool:
     return shared >= least * total - SLACK
 
 
+def most_missing(parts: list[bytes], runs: set[bytes], least: float) -> int:
+    """How many of the words can be missing where the wanted share of their shingles is there."""
+    return math.floor(len(runs) * (1 - least) + SLACK) + SHINGLE_WORDS - 1 if len(parts) >= SHINGLE_WORDS else 0
+
+
 class ItemIndex:
     """Postings of one part of the items."""
 
@@ -62,17 +70,20 @@ class ItemIndex:
             asked = words(question)
             if asked:
                 self.items.append((key, asked, shingles(asked), shingles(words(answer))))
+        self._post([most_missing(asked, runs, least) for _, asked, runs, _ in self.items])
+
+    def _post(self, may_miss: list[int]) -> None:
+        """Postings of the words that stand second in each item, of which so many may be missing."""
         n = len(self.items)
         found_in = Counter(word for item in self.items for word in set(item[1]))
         mean = sum(len(item[1]) for item in self.items) / max(1, n)
         postings: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
-        for place, (_, asked, runs, _) in enumerate(self.items):
+        for place, ((_, asked, *_), missing) in enumerate(zip(self.items, may_miss, strict=True)):
             length = K1 * (1 - B + B * len(asked) / mean)
             weights = {
                 word: math.log(1 + (n - found_in[word] + 0.5) / (found_in[word] + 0.5)) * times * (K1 + 1) / (times + length)
                 for word, times in Counter(asked).items()
             }
-            missing = math.floor(len(runs) * (1 - least) + SLACK) + SHINGLE_WORDS - 1 if len(asked) >= SHINGLE_WORDS else 0
             own = sum(weights.values()) - sum(sorted(weights.values(), reverse=True)[:missing])
             for word, weight in weights.items():
                 # A question that may lose all its words is found by any one of them.
@@ -150,7 +161,58 @@ def holds(parts: list[bytes], run: bytes) -> bool:
     return b" " + run + b" " in b" " + b" ".join(parts) + b" "
 
 
-def indexes(items: DataFrame, key: str, text: str, least: float = LEAST_OVERLAP, part_bytes: int = PART_BYTES) -> Iterator[ItemIndex]:
+def bare_words(text: str) -> list[bytes]:
+    """Words without punctuation at their edges."""
+    return words(" ".join([w if w[0].isalnum() and w[-1].isalnum() else EDGES.sub("", w) for w in text.split()]))
+
+
+class WholeItemIndex(ItemIndex):
+    """Postings of all words of the items, for what the check of question and answer one by one does not see.
+
+    An item is held as well if question and answer are by their bare words, if the wanted share of the shingles of the whole item is there,
+    or if an item of five words or more stands there letter for letter, whatever is glued to its ends.
+    """
+
+    def __init__(self, items: list[tuple[object, str]], least: float = LEAST_OVERLAP):
+        self.least = least
+        self.strict = ItemIndex(items, least)
+        self.items, may_miss = [], []
+        for key, text in items:
+            every = bare_words(text)
+            sides = [part for part in map(bare_words, question_and_answer(text)) if part]
+            if every:
+                runs, parts = shingles(every), [(part, shingles(part)) for part in sides]
+                self.items.append((key, every, runs, parts))
+                may_miss.append(max(most_missing(every, runs, least), sum(most_missing(*part, least) for part in parts)))
+        self._post(may_miss)
+
+    def holds_any(self, text: str | None) -> bool:
+        """Whether a text holds an item by the check of question and answer or as a whole."""
+        if self.strict.matches(text):
+            return True
+        own_words = bare_words(text or "")
+        places = self.retrieve(own_words)
+        if not places:
+            return False
+        own, joined = shingles(own_words), b" ".join(own_words)
+
+        def held(part: list[bytes], runs: set[bytes]) -> bool:
+            if len(part) < SHINGLE_WORDS:
+                return holds(own_words, b" ".join(part))
+            return enough(len(runs & own), len(runs), self.least)
+
+        for place in places:
+            _, every, runs, parts = self.items[place]
+            if held(every, runs) or all(held(*part) for part in parts):
+                return True
+            if len(every) >= SHINGLE_WORDS and b" ".join(every) in joined:
+                return True
+        return False
+
+
+def indexes(
+    items: DataFrame, key: str, text: str, least: float = LEAST_OVERLAP, part_bytes: int = PART_BYTES, kind: type[ItemIndex] = ItemIndex
+) -> Iterator[ItemIndex]:
     """Indexes of all items that have a word, each over a part of bounded size. Items without a text are left out."""
     rows = items.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("body"))
     size = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
@@ -159,7 +221,7 @@ def indexes(items: DataFrame, key: str, text: str, least: float = LEAST_OVERLAP,
         part = rows.where(F.pmod(F.xxhash64("body", "id"), F.lit(parts)) == n)
         found = [(r.id, r.body) for r in part.orderBy("id", "body").toLocalIterator()]
         if found:
-            yield ItemIndex(found, least)
+            yield kind(found, least)
 
 
 def contaminated(
@@ -203,17 +265,21 @@ def contaminated(
     return every.select(F.col("id").alias(key), F.col("item").alias(item_key), *names)
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Documents that hold no item, all columns as they were."""
+def keep_clean(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", whole_items: bool = False
+) -> DataFrame:
+    """Documents that hold no item, all columns as they were; with ``whole_items`` by the wider check of ``WholeItemIndex``."""
     column = docs.columns.index(text)
 
     def passed(shared):
         def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array([not shared.value.matches(t.as_py()) for t in batch.column(column)], pa.bool_()))
+                index = shared.value
+                held = index.holds_any if whole_items else index.matches
+                yield batch.filter(pa.array([not held(t.as_py()) for t in batch.column(column)], pa.bool_()))
 
         return of_batches
 
-    for index in indexes(items, item_key, item_text):
+    for index in indexes(items, item_key, item_text, kind=WholeItemIndex if whole_items else ItemIndex):
         docs = map_batches(docs, passed(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
     return docs

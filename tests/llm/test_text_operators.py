@@ -362,6 +362,36 @@ def test_walk_finds_what_full_scores_find():
         assert index.retrieve(query) == sorted(p for p, s in sums.items() if s >= 1 - 1e-9)
 
 
+def test_verbatim_items_with_glued_neighbours(spark, documents):
+    """Items with something glued to either end, which the check of question and answer one by one does not see."""
+    question = "Which of the rivers named here runs through the old town?"
+    items = [(1, f"{question}\nThe Elbe."), (2, "One two three four five six"), (3, "tiny item\nyes"), (4, None), (5, "%%% ...")]
+    docs = [(1, f"before {question}\nThe Elbe.%%% after"), (2, f"%%%{question} The Elbe.after"), (3, f"pre{question} The Elbe.%%%"),
+            (4, "xOne two three four five sixty"), (5, "a (tiny item) \"yes\" b"), (6, f"x {question}\nThe Elbe. y")]
+    clean = [(10, f"before {question} after"), (11, "The Elbe."), (12, "One two three four"), (13, "tiny items yes"), (14, None), (15, "")]
+    asked = spark.createDataFrame(items, "item_id bigint, text string")
+    kept = decontamination.keep_clean(documents(docs + clean), asked, whole_items=True)
+    assert sorted(r.doc_id for r in kept.collect()) == [k for k, _ in clean]
+
+
+def test_whole_items_lose_nothing_in_the_index():
+    draw = random.Random(10)
+    vocabulary = [f"v{int(draw.paretovariate(0.7)) % 300}" for _ in range(400)]
+    items = [(n, " ".join(draw.choices(vocabulary, k=draw.randint(1, 40))) + ("\n" + " ".join(draw.choices(vocabulary, k=draw.randint(1, 9))) if n % 2 else "")) for n in range(80)]
+    index = decontamination.WholeItemIndex(items)
+    for _ in range(400):
+        planted = items[draw.randrange(80)][1].split()
+        for _ in range(draw.randint(0, 5)):
+            planted[draw.randrange(len(planted))] = "changed"
+        text = f"before{draw.choice(['', ' '])}{' '.join(planted)}{draw.choice(['', ' ', '.. '])}after {' '.join(draw.choices(vocabulary, k=60))}"
+        every = decontamination.bare_words(text)
+        own, held = decontamination.shingles(every), bool(index.strict.matches(text))
+        for _, parts, runs, _ in index.items:
+            held |= decontamination.holds(every, b" ".join(parts)) if len(parts) < 5 else len(runs & own) >= 0.8 * len(runs) - 1e-9
+            held |= len(parts) >= 5 and b" ".join(parts) in b" ".join(every)
+        assert index.holds_any(text) or not held
+
+
 # Licences.
 
 
