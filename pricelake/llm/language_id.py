@@ -191,13 +191,20 @@ def predict_languages(docs: DataFrame, model: Prototypes, key: str = "doc_id", t
 
 
 def keep_identified(docs: DataFrame, model: Prototypes, text: str = "text", least_score: float = LEAST_SCORE) -> DataFrame:
-    """Rows whose text has a language (is not ``und``) with the given cosine at least, all columns as they were."""
+    """Rows whose text has a language (is not ``und``) with the given cosine at least, all columns as they were.
+
+    If nothing was learned, the rows whose text has a letter. With the default bound that is also what stays otherwise.
+    """
     shared = _broadcast(docs, model)
     column = docs.columns.index(text)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            names, scores = shared.value.predict(batch.column(column).to_pylist())
+            texts = batch.column(column).to_pylist()
+            if not shared.value.names:
+                yield batch.filter(pa.array([any(map(str.isalpha, t or "")) for t in texts], pa.bool_()))
+                continue
+            names, scores = shared.value.predict(texts)
             keep = [n != UNKNOWN and s >= least_score for n, s in zip(names, scores, strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

@@ -130,6 +130,12 @@ def test_language_edge_cases(documents, clashing):
     assert language_id.predict_languages(documents([]), model).count() == 0
 
 
+def test_texts_stay_where_no_language_was_learned(documents):
+    docs = documents([(1, "a clean text", None), (2, "123 !?", None), (3, None, None), (4, "", None)])
+    kept = language_id.keep_identified(docs, language_id.learn(docs))
+    assert [r.doc_id for r in kept.collect()] == [1]
+
+
 # Token files.
 
 
