@@ -1,8 +1,8 @@
 """Licences of files: sparse TF-IDF cosine to templates, then inheritance from the nearest directory above.
 
-Every line and paragraph of a file is compared with the templates. Words that no template has weigh as the rarest ones, so a
+Every line, sentence and paragraph of a file is compared with the templates. Words that no template has weigh as the rarest ones, so a
 passage has to be mostly licence wording to be like a template. Document frequencies of the templates' words are counted over all
-files. A file named like a licence file gives its licence to its directory; a file without a licence of its own takes that of the nearest
+files. A passage must also name the version and the variant (non-commercial, lesser and so on) of its template, and no other variant. A file named like a licence file gives its licence to its directory; a file without a licence of its own takes that of the nearest
 directory at or above its own that has one.
 """
 
@@ -51,7 +51,7 @@ TEMPLATES = (
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     (
-        "BSD-3-Clause",
+        "BSD-2-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     ),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
@@ -61,20 +61,126 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released into the public domain under CC0 1.0."),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission.",
+    ),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), "
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+        "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions:",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+        "the above copyright notice and this permission notice appear in all copies.",
+    ),
+    ("ISC", "Licensed under the ISC License."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    (
+        "LGPL-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    (
+        "EPL-1.0",
+        "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which "
+        "accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    ),
+    ("EPL-1.0", "Eclipse Public License - v 1.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *(
+        (f"CC-{code}-4.0", text)
+        for code, name in (
+            ("BY", "Attribution"),
+            ("BY-SA", "Attribution-ShareAlike"),
+            ("BY-NC", "Attribution-NonCommercial"),
+            ("BY-ND", "Attribution-NoDerivatives"),
+            ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+        for text in (
+            f"Licensed under CC {code} 4.0.",
+            f"Creative Commons {name} 4.0 International Public License",
+            f"This work is licensed under a Creative Commons {name} 4.0 International License.",
+        )
+    ),
+    ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
 )
+#: Words that tell licences of a family apart; different spellings stand for the same variant.
+VARIANTS = {
+    **dict.fromkeys(("nc", "noncommercial", "commercial"), "nc"),
+    **dict.fromkeys(("nd", "noderivatives", "noderivs", "derivatives", "derivs"), "nd"),
+    **dict.fromkeys(("sa", "sharealike", "alike"), "sa"),
+    **{w: w for w in ("lesser", "affero", "cc0")},
+}
+#: The terms of the first stand in the second as well.
+INCLUDED = {"BSD-2-Clause": "BSD-3-Clause"}
+SENTENCE_END = re.compile(r"(?<=[.!?;])\s+")
+VERSION = re.compile(r"v?[0-9]+(?:\.[0-9]+)*")
+CLAUSES = re.compile(r"[0-9]+")
 
 
 def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def distinguishing(parts: list[str]) -> tuple[set[str], set[str]]:
+    """Variants and versions a passage names. A number is a version if it has a dot or a v, or stands after "version" or "v" or before "clause"."""
+    variants = {VARIANTS[w] for w in parts if w in VARIANTS}
+    versions = set()
+    for before, word, after in zip(["", *parts], parts, [*parts[1:], ""], strict=False):
+        if VERSION.fullmatch(word) and ("." in word or word[0] == "v" or before in ("version", "v")):
+            versions.add(word.lstrip("v").removesuffix(".0"))
+        elif after == "clause" and CLAUSES.fullmatch(word):
+            versions.add(f"{word} clause")
+    return variants, versions
+
+
 def passages(text: str) -> Iterator[str]:
-    """Each line that is not blank, and each paragraph of more than one line."""
+    """Each line that is not blank, each paragraph of more than one line, and each sentence of a paragraph of more than one."""
     for paragraph in re.split(r"\n[^\S\n]*\n", text):
         lines = [line for line in paragraph.split("\n") if line.strip()]
         yield from lines
+        whole = "\n".join(lines)
         if len(lines) > 1:
-            yield "\n".join(lines)
+            yield whole
+        sentences = SENTENCE_END.split(whole.strip())
+        if len(sentences) > 1:
+            yield from filter(None, sentences)
 
 
 class Matcher:
@@ -85,6 +191,7 @@ class Matcher:
         self.idf = {w: 1 + math.log((1 + files) / (1 + found_in.get(w, 0))) for _, text in templates for w in words(text)}
         self.postings: dict[str, list[tuple[int, float]]] = {}
         self.names = [name for name, _ in templates]
+        self.marks = [distinguishing(words(text)) for _, text in templates]
         for n, (_, text) in enumerate(templates):
             weights = {w: times * self.idf[w] for w, times in Counter(words(text)).items()}
             norm = math.sqrt(sum(v * v for v in weights.values()))
@@ -92,9 +199,10 @@ class Matcher:
                 self.postings.setdefault(word, []).append((n, value / norm))
 
     def of_passage(self, passage: str, least: float) -> tuple[float, int] | None:
-        """(cosine, template) of the most alike template, the first of equals, if it is alike enough."""
+        """(cosine, template) of the most alike template, the first of equals, if one is alike enough and its version and variant are named."""
+        parts = words(passage)
         known, own, every = {}, 0.0, 0.0
-        for word, times in Counter(words(passage)).items():
+        for word, times in Counter(parts).items():
             idf = self.idf.get(word)
             if idf is not None:
                 known[word] = times * idf
@@ -107,14 +215,26 @@ class Matcher:
         for word in sorted(known):
             for n, value in self.postings[word]:
                 sums[n] = sums.get(n, 0.0) + known[word] * value
-        n = min(sums, key=lambda n: (-round(sums[n], 9), n))
-        cosine = round(min(1.0, sums[n] / math.sqrt(every)), 9)
-        return (cosine, n) if cosine >= least else None
+        length = math.sqrt(every)
+        alike = [n for n, total in sums.items() if total >= (least - 1e-6) * length]
+        if not alike:
+            return None
+        variants, versions = distinguishing(parts)
+        alike = [n for n in alike if self.marks[n][0] == variants and self.marks[n][1] <= versions]
+        n = min(alike, key=lambda n: (-round(sums[n], 9), n), default=None)
+        cosine = round(min(1.0, sums[n] / length), 9) if alike else 0.0
+        return (cosine, n) if alike and cosine >= least else None
 
     def of_text(self, text: str | None, least: float) -> tuple[str | None, float]:
         """Licence and cosine of the most alike passage; (None, 0) if none is alike enough."""
-        best = max(filter(None, (self.of_passage(p, least) for p in passages(text or ""))), key=lambda b: (b[0], -b[1]), default=None)
-        return (self.names[best[1]], best[0]) if best else (None, 0.0)
+        found: dict[str, tuple[float, int]] = {}
+        for cosine, n in filter(None, (self.of_passage(p, least) for p in passages(text or ""))):
+            found[self.names[n]] = max(found.get(self.names[n], (0.0, -n)), (cosine, -n))
+        if not found:
+            return None, 0.0
+        name = max(found, key=found.get)
+        name = INCLUDED[name] if INCLUDED.get(name) in found else name
+        return name, found[name][0]
 
 
 def document_frequencies(texts: DataFrame, vocabulary: frozenset[str]) -> tuple[int, dict[str, int]]:

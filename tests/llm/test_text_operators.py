@@ -443,6 +443,32 @@ def test_cosines_against_brute_force(spark, sf_dir):
     assert found == expected and any(expected.values())
 
 
+NOTICES = [
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "Licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"), ("CC-BY-ND-4.0", "licensed under CC-BY-ND 4.0"),
+    ("CC-BY-4.0", "Copyright 2021 Jane Doe. Licensed under CC BY 4.0."), (None, "Licensed under CC BY 3.0."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1"),
+    ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+     "the Free Software Foundation; either version 2 of the License, or\n(at your option) any later version."),
+    ("ISC", "Copyright (c) 2020, A. Person\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, "
+     "provided that the above\ncopyright notice and this permission notice appear in all copies."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"
+     " which is available at https://www.eclipse.org/legal/epl-2.0"),
+    ("BSD-2-Clause", BSD := "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n"
+     "1. Redistributions of source code must retain the above copyright notice.\n2. Redistributions in binary form must reproduce it."),
+    ("BSD-3-Clause", BSD + "\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n"
+     "   this software without specific prior written permission."),
+    (None, "We were commercial travellers and released nothing under any terms."),
+]
+
+
+def test_notices_that_differ_in_few_words():
+    matcher = licenses.Matcher(licenses.TEMPLATES, 2500, {"the": 2400, "this": 1500, "and": 2300, "of": 2400, "to": 2400, "in": 2200, "is": 1800})
+    assert [matcher.of_text(text, licenses.LEAST_COSINE)[0] for _, text in NOTICES] == [name for name, _ in NOTICES]
+
+
 def test_common_words_stay_within_their_bound(spark):
     counts = spark.createDataFrame([(f"w{n}".encode(), 1 + n // 3) for n in range(12)], "word binary, times bigint")
     for most, least in ((12, 1), (11, 2), (6, 3), (5, 4), (3, 4), (2, None)):
