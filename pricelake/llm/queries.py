@@ -14,7 +14,10 @@ from pricelake.llm import (
     licenses,
     line_dedup,
     near_dedup,
+    periodic_runs,
     piece_sampling,
+    prefix_trie,
+    suffix_dedup,
     token_files,
     toxicity,
 )
@@ -99,6 +102,24 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licences(pages.select("page_id", path.alias("path"), visible.alias("text")), "page_id")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, after the tails of a tenth of them were made to repeat."""
+    docs = _table(spark, sf_dir, "documents")
+    found = periodic_runs.find_runs(docs, plant=True, with_text=False)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 200 bytes that start anywhere else too, as counts and a digest of the rest."""
+    cleaned = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), with_bytes=False)
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of the common beginnings of rebuilt conversations."""
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"), rebuild=True)
+
+
 QUERIES = {
     "op1_language_model": op1_language_model,
     "op2_line_dedup": op2_line_dedup,
@@ -110,6 +131,9 @@ QUERIES = {
     "op8_piece_sampling": op8_piece_sampling,
     "op9_decontamination": op9_decontamination,
     "op10_licenses": op10_licenses,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
@@ -171,4 +195,75 @@ ORACLES = {
         LEFT JOIN shared a ON a.doc_id = q.doc_id AND a.item_id = q.item_id AND a.part = 'a'
         WHERE q.part = 'q' AND q.shared >= 0.8 * qt.total AND coalesce(a.shared, 0) >= 0.8 * coalesce(ta.total, 0)
     """,
+    "op12_suffix_dedup": """
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents
+        ), hexed AS (
+            SELECT r, doc_id, octet_length(b) AS n, b, hex(b) AS x FROM texts
+        ), strings AS (
+            SELECT r, unnest(range(n - 199)) AS i, b FROM hexed WHERE n >= 200
+        ), digests AS (
+            SELECT r, i, md5(b[i + 1:i + 200]) AS s FROM strings
+        ), repeated AS (
+            SELECT r, i FROM digests JOIN (SELECT s FROM digests GROUP BY s HAVING count(*) > 1) USING (s)
+        ), marked AS (
+            SELECT r, i, CASE WHEN i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 1 ELSE 0 END AS new FROM repeated
+        ), numbered AS (
+            SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS span FROM marked
+        ), spans AS (
+            SELECT r, span, min(i) AS a, max(i) + 200 AS z FROM numbered GROUP BY r, span
+        ), kept AS (
+            SELECT r, z AS a, lead(a) OVER (PARTITION BY r ORDER BY a) AS z FROM spans
+            UNION ALL SELECT r, 0, min(a) FROM spans GROUP BY r
+        ), cut AS (
+            SELECT r, string_agg(substr(x, 2 * a + 1, 2 * (coalesce(z, n) - a)), '' ORDER BY a) AS x
+            FROM kept JOIN hexed USING (r) GROUP BY r
+        ), removed AS (
+            SELECT r, sum(z - a) AS gone, count(*) AS spans FROM spans GROUP BY r
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+            CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(cut.x, hexed.x))) AS kept_sha256
+        FROM hexed LEFT JOIN removed USING (r) LEFT JOIN cut USING (r)
+    """,
+    "op13_prefix_trie": """
+        WITH ordered AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS p
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), plan AS (
+            SELECT c, n, c - c % 5 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+                string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)), lambda crc, byte: list_reduce(
+                    list_prepend(xor(crc, byte), range(8)),
+                    lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)), 4294967295::BIGINT) % 9 AS h
+            FROM (SELECT c, count(*) AS n FROM ordered GROUP BY c)
+        ), rebuilt AS (
+            SELECT plan.c, p, role, text FROM plan JOIN ordered o ON o.c = base AND p < h
+            UNION ALL
+            SELECT plan.c, p - h + least(h, coalesce(b.n, 0)), role, text
+            FROM plan JOIN ordered o ON o.c = plan.c AND p >= h LEFT JOIN (SELECT c AS base, n FROM plan) b USING (base)
+        ), chained AS (
+            SELECT c, p + 1 AS depth, text, string_agg(md5(length(role) || ':' || role || text), ',') OVER (PARTITION BY c ORDER BY p) AS path
+            FROM rebuilt
+        ), members AS (
+            SELECT c, depth, path, regexp_replace(path, ',?[0-9a-f]{32}$', '') AS above, strlen(text) AS size FROM chained
+            UNION ALL SELECT c, 0, '', NULL, 0 FROM plan
+        ), lasts AS (
+            SELECT c, max(depth) AS turns FROM members GROUP BY c
+        ), nodes AS (
+            SELECT depth, path, any_value(above) AS above, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+                sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (depth = turns), '')) AS ends_sha256
+            FROM members JOIN lasts USING (c) GROUP BY depth, path
+        ), children AS (
+            SELECT depth - 1 AS depth, above AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+        ), below AS (
+            SELECT m.depth, m.path, count(*) FILTER (x.n_children IS NULL) AS n_leaves, sum(x.saved) AS saved_tokens
+            FROM members m JOIN (SELECT * FROM nodes LEFT JOIN children USING (depth, path)) x ON x.conv_id = m.c AND x.depth >= m.depth
+            GROUP BY m.depth, m.path
+        )
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+            CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+        FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.above
+        LEFT JOIN children k ON k.depth = n.depth AND k.path = n.path JOIN below b ON b.depth = n.depth AND b.path = n.path
+    """,
 }

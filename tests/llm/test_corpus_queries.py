@@ -7,12 +7,13 @@ import duckdb
 import public_tokenizers
 import pytest
 import test_dedup as dedup
+import test_sequence_operators as sequences
 import test_text_operators as texts
 from pricelake.llm import language_id, piece_sampling, queries
 from pricelake.session import release
 from pyspark.sql import functions as F
 
-TABLES = ("documents", "benchmark", "labels", "pages")
+TABLES = ("documents", "benchmark", "labels", "pages", "conversations")
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +59,12 @@ def test_token_files_query_against_the_library(spark, sf_dir):
     assert sorted(found, key=repr) == texts.brute_files(rows)
 
 
+def test_periodic_runs_query_against_brute_force(spark, sf_dir):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    found = {r.doc_id: tuple(r) for r in queries.op11_periodic_runs(spark, sf_dir).collect()}
+    assert found == {k: sequences.brute_found(k, t, True) for k, t in rows}
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = {r.doc_id: r for r in docs.collect()}
