@@ -174,7 +174,7 @@ def test_remove_repeats_shuffled_when_large(spark, documents, monkeypatch):
 
 
 def test_remove_repeats_gives_bytes(spark, documents):
-    text = "".join(random.Random(3).choice("abcdefgh") for _ in range(300))
+    text = "".join(random.Random(3).choices("abcdefgh", k=300))
     found = {r.doc_id: r for r in suffix_dedup.remove_repeats(documents([(1, "head" + text), (2, text + "tail"), (3, "short")])).collect()}
     assert (bytes(found[1].kept), found[1].begins, found[1].ends) == (b"head", [4], [304])
     assert (bytes(found[2].kept), bytes(found[3].kept), found[3].begins) == (b"tail", b"short", [])
