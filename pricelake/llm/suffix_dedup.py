@@ -19,7 +19,7 @@ from functools import cache, cmp_to_key
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.llm.common import map_batches, slices, stage, whole_text
@@ -191,10 +191,10 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select("id", "body", F.xxhash64("body").alias("tid"), F.octet_length("body").alias("size"))
 
 
-def _met(texts: DataFrame, stored: DataFrame, numbers: Column, how: str) -> DataFrame:
-    """Texts joined to what is stored of them. ``numbers`` says how many four-byte numbers a stored row holds; if all are few the
-    stored side is broadcast, else both are shuffled."""
-    held = stored.agg(F.sum((32 + 4 * numbers).cast("bigint"))).first()[0] or 0
+def _met(texts: DataFrame, stored: DataFrame, held: Column, how: str) -> DataFrame:
+    """Texts joined to what is stored of them. ``held`` says how many bytes the lists of a stored row take; if all together take
+    little the stored side is broadcast, else both are shuffled."""
+    held = stored.agg(F.sum((64 + held).cast("bigint"))).first()[0] or 0
     return texts.join(F.broadcast(stored) if held <= BROADCAST_LIMIT_BYTES else stored, ["tid", "size"], how)
 
 
@@ -242,7 +242,7 @@ def contexts_of(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
             yield pa.record_batch([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], ["h", "c", "tid", "size", "low", "high"])
 
-    joined = _met(texts, wanted, F.size("places"), "inner")
+    joined = _met(texts, wanted, 4 * F.size("places"), "inner")
     found = map_batches(
         joined.select("body", "tid", "size", "places"), of_batches, "h bigint, c binary, tid bigint, size int, low int, high int"
     )
@@ -264,7 +264,7 @@ def cut_out(texts: DataFrame, chosen: DataFrame) -> DataFrame:
                     pieces.append(data[low:end].tobytes())
             yield pa.record_batch([pa.array(hs, pa.int64()), pa.array(cs, pa.binary()), pa.array(pieces, pa.binary())], ["h", "c", "context"])
 
-    joined = _met(texts, chosen, 8 * F.size("hs"), "inner")
+    joined = _met(texts, chosen, 56 * F.size("hs"), "inner")
     found = map_batches(joined.select("body", "hs", "cs", "lows", "ends"), of_batches, "h bigint, c binary, context binary")
     return found.distinct()
 
@@ -319,6 +319,15 @@ def grouped_repeats(contexts: DataFrame, length: int) -> DataFrame:
     return found.select("h", "c", "begins", F.transform("begins", lambda b: b + 1).alias("ends"))
 
 
+def joined_spans(spans: DataFrame) -> DataFrame:
+    """The ``spans`` of each text with those that touch or overlap made one, so that what is left per text is little."""
+    of_text = Window.partitionBy("tid", "size").orderBy("begin", "end")
+    reached = F.max("end").over(of_text.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.withColumn("new", F.when(F.col("begin") <= reached, 0).otherwise(1))
+    runs = marked.withColumn("run", F.sum("new").over(of_text)).groupBy("tid", "size", "run").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    return runs.groupBy("tid", "size").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+
+
 def repeated_spans(texts: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
     """``tid``, ``size`` and the byte ranges ``spans`` (``begin``, ``end``) of each text that strings of ``length`` bytes found elsewhere cover."""
     spark = texts.sparkSession
@@ -346,9 +355,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, crowded: int = CROWDE
         in_order = in_order.unionAll(grouped_repeats(crowd, length))
     found, found_path = stage(found.unionAll(in_order), "repeated-starts")
     pairs = members.join(found, ["h", "c"]).select("tid", "size", "low", F.explode(F.arrays_zip("begins", "ends")).alias("r"))
-    spans = pairs.select(
-        "tid", "size", F.struct((F.col("low") + F.col("r.begins")).alias("begin"), (F.col("low") + F.col("r.ends") - 1 + length).alias("end")).alias("span")
-    ).groupBy("tid", "size").agg(F.collect_list("span").alias("spans"))
+    spans = joined_spans(
+        pairs.select("tid", "size", (F.col("low") + F.col("r.begins")).alias("begin"), (F.col("low") + F.col("r.ends") - 1 + length).alias("end"))
+    )
     spans, _ = stage(spans, "spans")
     discard(spark, shared_path, wanted_path, members_path, groups_path, several_path, chosen_path, bytes_path, found_path)
     return spans
@@ -373,7 +382,7 @@ def remove_repeats(
     whole = copies.select("tid", "size", F.array(F.struct(F.lit(0).alias("begin"), F.col("size").alias("end"))).alias("spans"))
     spans = repeated_spans(texts, length, crowded).unionByName(whole).groupBy("tid", "size").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans, _ = stage(spans, "all-spans")
-    joined = _met(texts, spans, 2 * F.size("spans"), "left")
+    joined = _met(texts, spans, 32 * F.size("spans"), "left")
     kind = texts.schema["id"].dataType.simpleString()
     names = ["n_bytes", "n_removed", "n_spans", *(["begins", "ends", "kept"] if with_bytes else []), "kept_sha256"]
     kinds = {"begins": pa.list_(pa.int64()), "ends": pa.list_(pa.int64()), "kept": pa.binary(), "kept_sha256": pa.string()}
