@@ -17,11 +17,12 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import map_batches, stage, words
+from pricelake.llm.common import map_batches, row_digest, stage, words
 from pricelake.llm.components import connected_components
+from pricelake.operators.lookup import BROADCAST_LIMIT_ROWS
 from pricelake.session import discard
 
 SEED = 42
@@ -152,6 +153,13 @@ def linked_fingerprints(nodes: DataFrame, crowded: int = CROWDED) -> DataFrame:
     return (pairs.unionAll(links) if links else pairs).distinct()
 
 
+def _labelled(prints: DataFrame, least: Column, crowded: int) -> DataFrame:
+    """Every distinct fingerprint with ``root``, that of its component, and the ``least`` of its rows."""
+    nodes, _ = stage(prints.groupBy("fp").agg(F.min(least).alias("least")), "distinct-fingerprints")
+    roots, _ = stage(connected_components(linked_fingerprints(nodes, crowded)), "roots")
+    return nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", crowded: int = CROWDED) -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id``, one row per document.
 
@@ -160,22 +168,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", cr
     is never the smallest unless its component has no other; then ``component_id`` is NULL. Other columns are not read.
     """
     prints, _ = stage(fingerprints(docs, key, text), "fingerprints")
-    nodes, nodes_path = stage(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
-    roots, _ = stage(connected_components(linked_fingerprints(nodes, crowded)), "roots")
-    labelled = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    labelled, _ = stage(labelled, "labelled")
+    labelled, labelled_path = stage(_labelled(prints, F.col("id"), crowded), "labelled")
     smallest = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     # Written out, so that the last join has two plain shuffles and a fingerprint of very many documents can be split.
     components, _ = stage(labelled.join(smallest, "root").select("fp", "component_id"), "components")
-    discard(docs.sparkSession, nodes_path)
+    discard(docs.sparkSession, labelled_path)
     joined = prints.join(components, "fp")
     return joined.select(
         F.col("id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents with one of each component, that of the smallest key, all columns as they were. Rows without a key stay."""
-    found = near_duplicates(docs, key, text)
-    dropped, _ = stage(found.where(F.col("component_id") < F.col(key)).select(F.col(key)).distinct(), "near-copies")
-    return docs.join(dropped, key, "left_anti")
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", crowded: int = CROWDED) -> DataFrame:
+    """Documents with one of each component, that of the smallest key, all columns as they were.
+
+    A NULL key comes last; equal keys are told apart by a digest of key and text, so a row goes by its own text only. Texts without a word
+    (NULL, empty, blanks) are copies of each other. Rows equal in key and text are one row here: they stay or go together
+    (``exact_dedup`` takes them). No documents give no rows.
+    """
+    spark = docs.sparkSession
+    digest = row_digest(f"`{key}`", F.col(f"`{text}`").cast("string"))
+    who = F.struct(F.col(f"`{key}`").isNull().alias("unknown"), F.col(f"`{key}`").alias("id"), digest.alias("at"))
+    prints, prints_path = stage(fingerprints(docs.select(who.alias("who"), F.col(f"`{text}`").alias("body")), "who", "body"), "fingerprints")
+    labelled, labelled_path = stage(_labelled(prints, F.col("id"), crowded), "labelled")
+    staying, staying_path = stage(labelled.groupBy("root").agg(F.min("least").alias("stays")), "staying")
+    chosen, chosen_path = stage(labelled.join(staying, "root").select("fp", F.col("stays.at").alias("stays")), "chosen")
+    dropped = prints.select("fp", F.col("id.at").alias("near_copy")).join(chosen, "fp").where("near_copy <> stays")
+    dropped, _ = stage(dropped.select("near_copy").distinct(), "near-copies")
+    discard(spark, prints_path, labelled_path, staying_path, chosen_path)
+    # A digest is 16 bytes: while few are dropped their list goes to every task, beyond that both sides are shuffled.
+    few = dropped.count() <= BROADCAST_LIMIT_ROWS
+    return docs.join(F.broadcast(dropped) if few else dropped, digest == dropped["near_copy"], "left_anti")

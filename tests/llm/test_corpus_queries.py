@@ -81,8 +81,7 @@ def test_pipeline(spark, sf_dir):
         least[root[p]] = min(k, least.get(root[p], k))
     kept = {k: kept[k] for k in least.values()}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
-    held = {r[0] for r in texts.brute_held(list(kept.items()), items)}
-    kept = {k: t for k, t in kept.items() if k not in held}
+    kept = {k: kept[k] for k in texts.brute_clean(list(kept.items()), items)}
     found = {r.doc_id: r for r in corpus_pipeline.run(spark, sf_dir).collect()}
     assert {k: r.text for k, r in found.items()} == kept
     lattices = piece_sampling.Lattices(piece_sampling.Pieces(public_tokenizers.path("piece_bpe_32k.model"), 1.0))

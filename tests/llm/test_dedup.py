@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
-from pricelake.llm import common, components, exact_dedup, line_dedup, near_dedup, similar_texts
+from pricelake.llm import common, components, exact_dedup, line_dedup, near_dedup
 
 
 def rows_of(df):
@@ -211,69 +211,41 @@ def test_near_keep_one(documents, clashing):
     rows = [(5, "a b c d"), (3, "A b c d"), (None, "a b c d"), (7, "something else")]
     kept = near_dedup.keep_one(clashing(documents(rows)))
     assert kept.columns == clashing(documents(rows)).columns
-    assert sorted(repr(r.doc_id) for r in kept.collect()) == ["3", "7", "None"]
+    assert sorted(repr(r.doc_id) for r in kept.collect()) == ["3", "7"]
+    assert near_dedup.keep_one(documents([])).count() == 0
 
 
-def test_long_chain_is_one_component(spark):
-    links = spark.range(300).selectExpr("id as a", "id + 1 as b").unionAll(spark.createDataFrame([(500, 400), (400, 500), (600, 600)], "a bigint, b bigint"))
-    found = {r.node: r.root for r in components.connected_components(links).collect()}
-    assert found == {**dict.fromkeys(range(301), 0), 400: 400, 500: 400}
-
-
-# Similar texts.
-
-
-def brute_similar(rows, least):
-    """Rows that stay: of each group linked by Jaccard similarity the smallest key, NULL last."""
-    def runs(text):
-        lowered = "".join(c.lower() if c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else c for c in text or "")
-        parts = re.findall("[^ \t-\r]+", lowered)
-        return {" ".join(parts[n : n + 5]) for n in range(len(parts) - 4)} or {" ".join(parts)} - {""}
-
-    sets, parent = [runs(t) for _, t in rows], list(range(len(rows)))
+def test_near_keep_one_of_rows_without_own_keys(documents):
+    """NULL and repeated keys: one of each group stays, and a row goes by its own text, not by its key."""
+    base = [f"w{n}" for n in range(400)]
+    copy = lambda n: " ".join([*base[:50], "W50" if n else "w50", *base[51:]])
+    rows = [(None, copy(0)), (None, copy(1)), (5, "first text of its own"), (5, "second text of its own"), (8, "one of a pair here")]
+    rows += [(9, "ONE of a pair here"), (9, "clean text of its own"), (11, None), (12, ""), (13, " \n")]
+    kept = rows_of(near_dedup.keep_one(documents(rows)).select("doc_id", "text"))
+    assert [k for k, _ in kept] == [11, 5, 5, 8, 9, None] and (9, "clean text of its own") in kept
 
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
 
-    for n, a in enumerate(sets):
-        for m in range(n):
-            if len(a & sets[m]) >= least * len(a | sets[m]) - 1e-9:
-                parent[root(n)] = root(m)
-    groups = defaultdict(list)
-    for n, (key, _) in enumerate(rows):
-        groups[root(n)].append((key is None, key))
-    return sorted((min(g)[1] for g in groups.values()), key=repr)
-
-
-def edited(draw, parts, times):
-    parts = list(parts)
-    for _ in range(times):
-        parts[draw.randrange(len(parts))] = f"new{draw.randrange(1000)}"
-    return " ".join(parts)
-
-
-@pytest.mark.parametrize("crowded", [2, 64])
-def test_similar_texts_against_brute_force(documents, clashing, crowded):
-    """Edited copies around the limit, most of which differ in more than two bits of a fingerprint."""
-    draw, texts = random.Random(4), []
-    for base in range(12):
-        parts = [f"w{draw.randrange(3000)}" for _ in range(draw.choice([30, 90, 200]))]
-        texts += [edited(draw, parts, draw.randrange(1 + len(parts) // 25)) for _ in range(10)]
-    texts += ["lonely words", "Lonely WORDS", "", None, "a b c d e", "a b c d f"]
-    rows = [(n * 7 % 1009, t) for n, t in enumerate(texts)]
-    kept = similar_texts.keep_one(clashing(documents(rows)), crowded=crowded)
-    assert kept.columns == clashing(documents(rows)).columns
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == brute_similar(rows, 0.8)
-    assert similar_texts.keep_one(documents([])).count() == 0
+@pytest.mark.parametrize("crowded", [1, 64])
+def test_near_keep_one_against_brute_force(documents, crowded):
+    """Copies with a changed word in long texts: those within two bits of each other, however many, leave one."""
+    draw, rows = random.Random(12), []
+    for base in range(8):
+        parts = [f"w{draw.randrange(3000)}" for _ in range(900)]
+        for _ in range(15):
+            changed = list(parts)
+            for _ in range(draw.randrange(3)):
+                changed[draw.randrange(900)] = "changed"
+            rows.append((len(rows) * 7 % 1009, " ".join(changed)))
+    prints = {k: brute_fingerprint(t) for k, t in rows}
+    root = brute_components(prints.values())
+    least = {}
+    for k, p in prints.items():
+        least[root[p]] = min(k, least.get(root[p], k))
+    assert len(least) < len(rows)
+    assert sorted(r.doc_id for r in near_dedup.keep_one(documents(rows), crowded=crowded).collect()) == sorted(least.values())
 
 
-def test_similar_texts_keep_one_of_rows_without_own_keys(documents):
-    """NULL and repeated keys: one of each group stays, and a row goes by its own text, not by its key."""
-    base = [f"w{n}" for n in range(100)]
-    copy = lambda n: " ".join([*base[:50], f"x{n}", *base[51:]])
-    rows = [(None, copy(1)), (None, copy(2)), (5, " ".join(f"y{n}" for n in range(50))), (5, " ".join(f"y{n}" for n in range(51)))]
-    rows += [(8, "first of a pair of copies here"), (9, "FIRST of a pair of copies here"), (9, "clean text of its own")]
-    kept = rows_of(similar_texts.keep_one(documents(rows)).select("doc_id", "text"))
-    assert len(kept) == 4 and [k for k, _ in kept] == [5, 8, 9, None] and (9, "clean text of its own") in kept
+def test_long_chain_is_one_component(spark):
+    links = spark.range(300).selectExpr("id as a", "id + 1 as b").unionAll(spark.createDataFrame([(500, 400), (400, 500), (600, 600)], "a bigint, b bigint"))
+    found = {r.node: r.root for r in components.connected_components(links).collect()}
+    assert found == {**dict.fromkeys(range(301), 0), 400: 400, 500: 400}

@@ -331,6 +331,35 @@ def brute_held(docs, items):
     return sorted(out, key=repr)
 
 
+def brute_clean(docs, items):
+    """Keys of the documents that hold no item: neither by question and answer nor as a whole, letter for letter included."""
+    def bare(text):
+        return [w for w in tokens(" ".join(re.sub(r"^[\W_]+|[\W_]+$", "", w) for w in (text or "").split()))[:-1]]
+
+    def runs(parts, width=5):
+        return {tuple(parts[n : n + width]) for n in range(len(parts) - width + 1)}
+
+    strict, clean = {r[0] for r in brute_held(docs, items)}, []
+    for key, text in docs:
+        own, held = bare(text), key in strict
+        for _, content in items:
+            lines = [x for x in (content or "").split("\n") if tokens(x)[:-1]]
+            sides = ["\n".join(lines[:-1]), lines[-1]] if len(lines) > 1 else [content]
+            every, sides = bare(content), [p for p in map(bare, sides) if p]
+
+            def found(part):
+                if len(part) < 5:
+                    return tuple(part) in runs(own, len(part))
+                return len(runs(part) & runs(own)) >= 0.8 * len(runs(part)) - 1e-9
+
+            if every:
+                joined = len(every) >= 5 and " ".join(every) in " ".join(own)
+                held |= found(every) or all(map(found, sides)) or joined
+        if not held:
+            clean.append(key)
+    return clean
+
+
 def test_contamination_against_brute_force(spark, documents, clashing):
     draw = random.Random(8)
     vocabulary = [f"v{int(draw.paretovariate(0.7)) % 400}" for _ in range(600)]
