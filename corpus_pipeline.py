@@ -5,33 +5,36 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelake.llm import decontamination, exact_dedup, language_id, piece_sampling, similar_texts
+from pricelake.llm import decontamination, exact_dedup, language_id, near_dedup, piece_sampling
 from pricelake.llm.common import stage
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; those without a letter go."""
+    """Documents in which a language is found; those without a letter go, NULL and empty texts with them. Equal rows stay or go together."""
     model = language_id.learn(docs.where(language_id.training_rows("doc_id")))
     return language_id.keep_identified(docs, model)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays."""
+    """Of equal texts the row with the largest doc_id stays. NULL counts as the empty text, a NULL doc_id as the smallest."""
     return exact_dedup.keep_one(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts with five-word Jaccard similarity of 0.8 or more the document with the smallest doc_id stays."""
-    return similar_texts.keep_one(docs)
+    """Of each group of texts whose fingerprints of three-word shingles differ in two bits or fewer the one with the smallest doc_id stays.
+
+    Texts without a word are copies of each other; of rows without a doc_id one stays where the group has no other.
+    """
+    return near_dedup.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item stay, items with text glued to their ends included."""
+    """Documents that hold no benchmark item stay, items with text glued to their ends included. NULL and empty texts hold none and stay."""
     return decontamination.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), whole_items=True)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the pieces of a sampled segmentation, their number, and the text decoded from them."""
+    """All documents with the pieces of a sampled segmentation, their number, and the text decoded from them. NULL has the pieces of the empty text."""
     return piece_sampling.encode_and_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
