@@ -15,6 +15,11 @@ def try_iso_date(value: Column) -> Column:
     return F.try_to_date(value, "yyyy-MM-dd")
 
 
+def landing_date(value: Column) -> Column:
+    """Date of a landing folder, which is written with dashes or without; NULL when it is neither."""
+    return F.coalesce(try_iso_date(value), F.try_to_date(value, "yyyyMMdd"))
+
+
 def compact_date(value: Column) -> Column:
     """``2025-12-11`` -> ``20251211``; takes DATE or text."""
     return F.replace(value.cast("string"), F.lit("-"), F.lit(""))

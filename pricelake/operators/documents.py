@@ -52,15 +52,24 @@ def whole(records: str) -> Column:
     return F.when(~F.exists(records, lambda r: r.isNull()), F.col(records))
 
 
-def exploded(docs: DataFrame, keep: list[str], records: str | Column, name: str) -> DataFrame:
-    """One row per record with its position. An inner explode would make the optimizer infer a size
+def exploded(docs: DataFrame, keep: list[str], records: str | Column, name: str, every: bool = False) -> DataFrame:
+    """One row per record with its position, and with ``every`` a row without position for a document that has none. An inner explode would make the optimizer infer a size
     filter and push it below the parse, which then runs twice; the outer one with a filter on the
     position does not."""
     rows = docs.select(*keep, F.posexplode_outer(records).alias("pos", name))
-    return rows.where("pos IS NOT NULL")
+    return rows if every else rows.where("pos IS NOT NULL")
 
 
 REASONS = ("unreadable", "bad_record")
+OUTCOMES = ("rows", "empty", *REASONS)
+
+
+def outcome_of(records: str, other: Column) -> Column:
+    """Outcome of a document by its parsed records; ``other`` says it of a readable document without any. The text is parsed
+    again only where there are none."""
+    hole = F.exists(records, lambda r: r.isNull())
+    absent = F.when(F.try_parse_json("value").isNull(), "unreadable").otherwise(other)
+    return F.when(F.col(records).isNull(), absent).when(hole, "bad_record").when(F.size(records) == 0, "empty").otherwise("rows")
 
 
 def with_outcome(docs: DataFrame, feed: str) -> DataFrame:
@@ -99,18 +108,22 @@ def rejected(docs: DataFrame, feed: str) -> DataFrame:
     return with_outcome(docs, feed).where(F.col("outcome").isin(*REASONS)).withColumnRenamed("outcome", "reason")
 
 
-def explode_items(docs: DataFrame) -> DataFrame:
+def explode_items(docs: DataFrame, outcomes: bool = False) -> DataFrame:
     """Category feed: one row per item with stripped labels and cleaned prices.
 
     ``data`` given as a list (no data) yields nothing. A label missing from the item is ``""``,
-    a JSON null stays NULL; the second look at the keys happens only where a label is NULL.
+    a JSON null stays NULL; the second look at the keys happens only where a label is NULL. With ``outcomes`` every document comes
+    back, those without rows as one row without position, with its ``outcome``.
     """
     fields = [*CATEGORY_LABELS, *CATEGORY_PRICES]
     items = with_records(docs, "items", ["data", "item"], _record(fields))
     has_gap = F.exists("items", lambda i: reduce(Column.__or__, [i[f].isNull() for f in CATEGORY_LABELS]))
     gaps = items.withColumn("has_gap", F.coalesce(has_gap, F.lit(False)))
     keyed = with_records(gaps, "keyed", ["data", "item"], "map<string,string>", only_if=F.col("has_gap"))
-    rows = exploded(keyed, [*docs.columns, "keyed"], whole("items"), "item")
+    told = ["outcome"] if outcomes else []
+    if outcomes:
+        keyed = keyed.withColumn("outcome", outcome_of("items", F.lit("empty")))
+    rows = exploded(keyed, [*docs.columns, "keyed", *told], whole("items"), "item", outcomes)
     rows = rows.withColumn("keys", F.map_keys(F.get("keyed", F.col("pos")))).drop("keyed")
 
     def label(field: str) -> Column:
@@ -120,17 +133,18 @@ def explode_items(docs: DataFrame) -> DataFrame:
 
     return rows.select(
         *[c for c in docs.columns if c != "value"],
+        *told,
         "pos",
         *[label(f).alias(name) for f, name in CATEGORY_LABELS.items()],
         *[clean_price(F.col("item")[f]).alias(name) for f, name in CATEGORY_PRICES.items()],
     )
 
 
-def explode_prices(docs: DataFrame, fields: Sequence[str] = PRODUCT_FIELDS) -> DataFrame:
+def explode_prices(docs: DataFrame, fields: Sequence[str] = PRODUCT_FIELDS, outcomes: bool = False) -> DataFrame:
     """Product feed: one row per ``price`` element with list leaves collapsed.
 
     A ``price`` that is no list gives one row holding it as text; a missing one gives none. ``fields`` limits the
-    parse to some fields of a record; the rows are the same ones.
+    parse to some fields of a record; the rows are the same ones. With ``outcomes`` every document comes back, as in ``explode_items``.
     """
     keep = [c for c in docs.columns if c != "value"]
     record = _record(fields)
@@ -148,17 +162,25 @@ def explode_prices(docs: DataFrame, fields: Sequence[str] = PRODUCT_FIELDS) -> D
         .withColumn("no_record", F.when(F.map_contains_key("members", "price"), F.array(F.lit(None).cast(record))))
         .withColumn("found", F.coalesce(whole("records"), "no_record"))
     )
-    rows = exploded(rows, [*keep, "error_code", "condition", "price"], "found", "record")
+    told = ["outcome"] if outcomes else []
+    if outcomes:
+        no_list = F.when(is_list, "bad_record").when(F.col("no_record").isNotNull(), "rows").otherwise("empty")
+        rows = rows.withColumn("outcome", outcome_of("records", no_list))
+    rows = exploded(rows, [*keep, *told, "error_code", "condition", "price"], "found", "record", outcomes)
     leaves = {name: F.col(name) for name in ("error_code", "condition", "price")}
     leaves |= {f: F.col("record")[f] for f in fields}
-    return rows.select(*keep, "pos", *[first_of_list(leaf).alias(name) for name, leaf in leaves.items()])
+    return rows.select(*keep, *told, "pos", *[first_of_list(leaf).alias(name) for name, leaf in leaves.items()])
 
 
-def explode_records(docs: DataFrame) -> DataFrame:
-    """Region feed: each document is a list of flat records, or one record on its own line."""
+def explode_records(docs: DataFrame, outcomes: bool = False) -> DataFrame:
+    """Region feed: each document is a list of flat records, or one record on its own line. With ``outcomes`` every document comes
+    back, as in ``explode_items``."""
     keep = [c for c in docs.columns if c != "value"]
-    records = docs.select(*keep, parsed(F.col("value"), f"array<{_record(REGION_FIELDS)}>").alias("records"))
-    return exploded(records, keep, whole("records"), "record").select(*keep, "pos", "record.*")
+    records = docs.withColumn("records", parsed(F.col("value"), f"array<{_record(REGION_FIELDS)}>"))
+    if outcomes:
+        records = records.withColumn("outcome", outcome_of("records", F.lit("empty")))
+        keep.append("outcome")
+    return exploded(records, keep, whole("records"), "record", outcomes).select(*keep, "pos", "record.*")
 
 
 def explode_response_records(docs: DataFrame) -> DataFrame:

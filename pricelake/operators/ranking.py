@@ -70,14 +70,14 @@ def number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 def rank_by(df: DataFrame, column: str, name: str) -> DataFrame:
     """``rank() OVER (ORDER BY column DESC)`` for a column of few values, such as a date.
 
-    Rows are counted per value, the running sum is taken over values, and the rank goes back by
-    a join. NULL ranks last, as one value.
+    Rows are counted per value and the running sum is taken over values. The ranks, a row a value, are written out; while they measure
+    small they go to the rows, which stay where they are. NULL ranks last, as one value.
     """
     key = F.coalesce(F.col(column).cast("string"), F.lit("\x00"))
     counts = df.groupBy(column).agg(F.count("*").alias("_n"))
     above = Window.orderBy(F.col(column).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     ranks = counts.select(key.alias("_key"), (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias(name))
-    return lookup_join(df.withColumn("_key", key), ranks, ["_key"], stored=False).drop("_key")
+    return lookup_join(df.withColumn("_key", key), staged(ranks, "ranks"), ["_key"]).drop("_key")
 
 
 def newest(df: DataFrame, column: str, known: str | None = None) -> DataFrame:

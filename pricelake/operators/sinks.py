@@ -5,15 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.fixed import SEGMENTS
 from pricelake.functions import compact_date
 from pricelake.schemas import LANDING_KEYS, MONTH_PARTITIONS, SNAPSHOT_PARTITIONS
+from pricelake.sources.landing import read_documents
 from pricelake.sources.tables import CSV_DIALECT, staged
 
 
+OPEN_COST = "spark.sql.files.openCostInBytes"
+SMALL_FILE_BYTES = 16 * 1024
+
+
 def balanced(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Gather rows by output partition so each gets few files; adaptive execution splits a
     partition that is too large for one task and joins small ones."""
@@ -43,26 +48,50 @@ def without_place(docs: DataFrame) -> DataFrame:
     return docs.where(" OR ".join(f"`{k}` IS NULL" for k in keys) if keys else "false")
 
 
-def land_documents(docs: DataFrame, root: str, value: str = "value", normalize_dt: bool = False) -> list[str]:
+def land_documents(
+    docs: DataFrame,
+    root: str,
+    value: str = "value",
+    normalize_dt: bool = False,
+    one_per_file: bool = False,
+    unplaced: str | None = None,
+    run: str = "",
+) -> list[str]:
     """Write documents below ``key=value`` folders in the fixed key order; keys the frame lacks
     are left out. ``normalize_dt`` drops the dashes of the date. Returns the keys used.
 
-    Each document takes one line. Those with a NULL key have no place and are not landed (``without_place`` has them): in a
-    folder for NULL every run would overwrite those of the last.
+    Each document takes one line, or with ``one_per_file`` a file of its own as it came. Those with a NULL key have no place and are
+    not landed: in a folder for NULL every run would overwrite those of the last. They are kept below ``unplaced``, in a folder of the
+    ``run``, with all their columns.
     """
     keys = [k for k in LANDING_KEYS if k in docs.columns]
     placed = docs.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)) if keys else docs
     out = placed.withColumn("dt", compact_date(F.col("dt"))) if normalize_dt else placed
-    (
-        balanced(out.select(one_line(F.col(value)).alias("value"), *keys), keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .text(root)
-    )
+    text = F.col(value) if one_per_file else one_line(F.col(value))
+    writer = balanced(out.select(text.alias("value"), *keys), keys).write.mode("overwrite").partitionBy(*keys)
+    if one_per_file:
+        writer = writer.option("maxRecordsPerFile", 1)
+    writer.option("partitionOverwriteMode", "dynamic").text(root)
+    if unplaced:
+        write_parquet(without_place(docs).withColumn("run", F.lit(run)), unplaced, ("run",))
     return keys
 
 
+def compact_documents(spark: SparkSession, root: str, target: str, keys: Sequence[str], day: str | None = None) -> None:
+    """Land a zone of one document per file anew with a document per line, or one landing date of it.
+
+    Spark counts a file as 4 MB at least when it packs files into tasks, which makes 32 documents a task. Here a file counts
+    as SMALL_FILE_BYTES, so a task reads up to ``maxPartitionBytes`` of documents.
+    """
+    docs = read_documents(spark, root, keys, one_per_file=True)
+    before = spark.conf.get(OPEN_COST)
+    spark.conf.set(OPEN_COST, str(SMALL_FILE_BYTES))
+    try:
+        land_documents(docs.where(F.col("dt") == day) if day else docs, target)
+    finally:
+        spark.conf.set(OPEN_COST, before)
+
+
 def landing_status(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of incoming keys that are ``new`` and that ``overwrite`` a landed one.
 
@@ -96,8 +125,8 @@ def merged_by_date(existing: DataFrame, incoming: DataFrame, day: str = "res_dt"
     """Month partitions touched by ``incoming`` with its dates replaced.
 
     Only those months are read: they are few, so they are named in the filter. Rows of other dates are kept; columns one
-    side lacks are NULL. Undated rows have no date to be replaced by: stored ones are kept, but for those that come again just as
-    they are, so a rerun changes nothing.
+    side lacks are NULL. Undated rows have no date to be replaced by: of each there are afterwards as many as were stored or as come in,
+    whichever is more, so a rerun changes nothing.
     """
     months = list(MONTH_PARTITIONS)
     found = incoming.select(*months).distinct().collect()
@@ -108,8 +137,11 @@ def merged_by_date(existing: DataFrame, incoming: DataFrame, day: str = "res_dt"
     common = sorted(c for c in existing.columns if c in incoming.columns)
     row = F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in common]), {"ignoreNullFields": "false"})
     undated = touched.where(F.col(day).isNull()).withColumn("_row", row)
-    again = incoming.where(F.col(day).isNull()).select(row.alias("_row")).distinct()
-    undated = undated.join(again, ["_row"], "left_anti").drop("_row")
+    counted = undated.groupBy(*existing.columns, "_row").agg(F.count("*").alias("_stored"))
+    again = incoming.where(F.col(day).isNull()).groupBy(row.alias("_row")).agg(F.count("*").alias("_again"))
+    left = F.col("_stored") - F.coalesce("_again", F.lit(0))
+    undated = counted.join(again, ["_row"], "left").where(left > 0).withColumn("_nth", F.explode(F.sequence(F.lit(1), left)))
+    undated = undated.select(*existing.columns)
     return dated.select(*existing.columns).unionByName(undated).unionByName(incoming, allowMissingColumns=True)
 
 

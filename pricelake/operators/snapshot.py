@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.functions import compact_date, padded
+from pricelake.functions.dates import landing_date
 from pricelake.operators.lookup import lookup_join
 
 
@@ -27,10 +28,10 @@ def with_snapshot(df: DataFrame, dates: DataFrame, batch: str = "batch", stored:
     """Year, month and dt from the date of each row's batch, in place of its own.
 
     The whole batch gets one date on purpose: a product last surveyed earlier stays part of
-    the newest snapshot.
+    the newest snapshot. A batch without a dated row takes its landing date, which is what ``batch`` holds.
     """
     stamped = lookup_join(df.drop("year", "month", "dt"), dates, [batch], stored=stored)
-    day = F.col("_snapshot")
+    day = F.coalesce(F.col("_snapshot"), landing_date(F.col(batch).cast("string")))
     return stamped.withColumns(
         {
             "year": F.year(day).cast("string"),

@@ -42,12 +42,17 @@ def of_date(docs: DataFrame, day: str | Column) -> DataFrame:
     return docs.where(F.col("dt") == day)
 
 
-def folder_values(spark: SparkSession, root: str, key: str) -> list[str]:
-    """Values of the folders ``key=value`` right below ``root``, in order: one listing, no file is opened."""
+#: Folder of rows whose partition value is NULL.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def folder_values(spark: SparkSession, root: str, key: str, nulls: bool = False) -> list[str]:
+    """Values of the folders ``key=value`` right below ``root``, in order: one listing, no file is opened. ``nulls``: that of NULL
+    rows too."""
     place = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{key}=*")
     found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
     values = (unquote(status.getPath().getName().partition("=")[2]) for status in found)
-    return sorted(v for v in values if v != "__HIVE_DEFAULT_PARTITION__")
+    return sorted(v for v in values if nulls or v != NO_VALUE)
 
 
 def read_latest(spark: SparkSession, root: str, keys: Sequence[str], product_cls: str | None = None) -> DataFrame:

@@ -26,7 +26,7 @@ def latest_snapshot(spark, sf_dir):
 
 def latest_snapshot_rank(spark, sf_dir):
     ranked = rank_by(feeds.api10(spark, sf_dir), "dt", "rnk")
-    return plain(ranked.select("product_no", "country_nm", "res_dt", "prev_1d_pr", "dt", "rnk"))
+    return plain(ranked.withColumn("direction_pct", F.col("direction_pct").try_cast("double")))
 
 
 def price_rise_ranked(spark, sf_dir):
@@ -234,7 +234,7 @@ SELECT CAST(product_no AS BIGINT) AS product_no, category_nm, item_nm, kind_nm,
   country_nm, CAST(res_dt AS VARCHAR) AS res_dt, base_dt, base_pr, prev_1d_dt, prev_1d_pr, prev_1d_dir_tp,
   prev_1d_dir_pct, prev_1m_dt, prev_1m_pr, prev_1y_dt, prev_1y_pr, dt FROM snapshot""",
     "latest_snapshot_rank": f"""WITH {feeds.API10_SQL}
-SELECT CAST(product_no AS BIGINT) AS product_no, country_nm, CAST(res_dt AS VARCHAR) AS res_dt, prev_1d_pr, dt,
+SELECT * REPLACE (CAST(product_no AS BIGINT) AS product_no, CAST(res_dt AS VARCHAR) AS res_dt),
   CAST(rank() OVER (ORDER BY dt DESC) AS BIGINT) AS rnk FROM api10""",
     "price_rise_ranked": _ranked(RISE),
     "price_drop_ranked": _ranked(DROP),

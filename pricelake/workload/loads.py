@@ -10,7 +10,7 @@ from pricelake.operators.landing_keys import organic_keys
 from pricelake.operators.requests import product_requests
 from pricelake.plans import build, gold, loads
 from pricelake.plans import silver as plans
-from pricelake.schemas import silver_read_schema
+from pricelake.schemas import SNAPSHOT_PARTITIONS, silver_read_schema
 from pricelake.session import work_path
 from pricelake.sources import landing
 from pricelake.workload import feeds
@@ -31,21 +31,34 @@ def _database(spark, name):
 
 
 def api1_load(spark, sf_dir):
-    """Category documents landed, loaded in two halves with days of the first run again, the second found by a sync."""
+    """Category documents landed, loaded in two halves with days of the first run again, the second half's partitions added by name.
+
+    Wholesale documents name their day without dashes. Two more loads bring documents of no day: nothing stored may change."""
     root, path = work_path(spark, "landing"), work_path(spark, "api1")
     # Landed by year: a folder for every day, class, region and category would be mostly folders here, so these keys travel with
     # the document.
     docs = feeds.category_docs(spark, sf_dir)
-    packed = F.to_json(F.struct("value", "dt", "product_cls", "country", "category"))
+    day = F.when(F.col("product_cls") == "02", F.replace("dt", F.lit("-"))).otherwise(F.col("dt")).alias("day")
+    packed = F.to_json(F.struct("value", "dt", day, "product_cls", "country", "category"))
     keys = sinks.land_documents(docs.select(packed.alias("value"), F.substring("dt", 1, 4).alias("dt"), "product_cls"), root)
     landed = landing.read_documents(spark, root, keys).select("file_path", F.col("value").alias("landed"))
-    fields = landing.parsed(F.col("landed"), "struct<value:string,dt:string,product_cls:string,country:string,category:string>")
+    fields = landing.parsed(F.col("landed"), "struct<value:string,dt:string,day:string,product_cls:string,country:string,category:string>")
     landed = landed.select("file_path", fields.alias("f")).select("file_path", "f.*")
-    loads.load_category(landed.where(F.col("dt") <= MIDDLE), path)
+    in_month = landed.where(F.col("dt").startswith("1994-03"))
+
+    def load(docs, **more):
+        return loads.load_category(docs.drop("dt").withColumnRenamed("day", "dt"), path, **more)
+
+    load(landed.where(F.col("dt") <= MIDDLE))
     name = registry.register_silver(spark, "api1", path, f"{_database(spark, 'pricelake_api1')}.api1")
-    loads.load_category(landed.where(F.col("dt") > MIDDLE), path)
-    loads.load_category(landed.where(F.col("dt").startswith("1994-03")), path)
-    registry.sync_partitions(spark, [name])
+    later = landed.where(F.col("dt") > MIDDLE)
+    load(later)
+    for no_day in (None, "soon"):
+        load(in_month.withColumn("day", F.lit(no_day).cast("string")))
+    load(in_month)
+    days = later.select(F.col("dt").cast("date").alias("day")).distinct()
+    written = days.select(F.date_format("day", "yyyy").alias("year"), F.date_format("day", "MM").alias("month"), F.date_format("day", "yyyyMMdd").alias("dt"))
+    registry.add_partitions(spark, name, written, SNAPSHOT_PARTITIONS)
     return plain(spark.table(name))
 
 
@@ -68,14 +81,14 @@ def api10_load(spark, sf_dir):
 
 
 def api17_load(spark, sf_dir):
-    """Region documents loaded in two halves, both with undated rows, with days of the first run again."""
+    """Region documents loaded in two halves, both with undated rows, with days of the first run again; the second half into the
+    registered table, whose months are swapped."""
     path = work_path(spark, "api17")
     docs, products = feeds.region_docs(spark, sf_dir), feeds.products(spark, sf_dir)
     loads.load_regions(spark, docs.where(F.col("dt") <= MIDDLE), products, path)
     name = registry.register_silver(spark, "api17", path, f"{_database(spark, 'pricelake_api17')}.api17")
-    loads.load_regions(spark, docs.where(F.col("dt") > MIDDLE), products, path)
-    loads.load_regions(spark, docs.where(F.col("dt").startswith("1994-03")), products, path)
-    registry.sync_partitions(spark, [name])
+    loads.load_regions_into(spark, docs.where(F.col("dt") > MIDDLE), products, name)
+    loads.load_regions_into(spark, docs.where(F.col("dt").startswith("1994-03")), products, name)
     return plain(spark.table(name).select(*silver_read_schema("api17").fieldNames()))
 
 
@@ -111,6 +124,43 @@ def reject_accounting(spark, sf_dir):
     return rows
 
 
+def _odd_products(spark, sf_dir):
+    """Product documents, some with a record that is none and some without a region, which have no place in a landing zone."""
+    docs = feeds.product_docs(spark, sf_dir)
+    holed = F.replace("value", F.lit("}]"), F.lit("},null]"))
+    docs = docs.withColumn("value", F.when(F.col("country") == "9999", holed).otherwise(F.col("value")))
+    return docs.withColumn("country", F.nullif(F.col("country"), F.lit("all")))
+
+
+def load_rejects(spark, sf_dir):
+    """Documents given, those without a place and those loaded by landing date and outcome, from what landing and load have stored."""
+    root, unplaced, outcomes = (work_path(spark, n) for n in ("landing", "unplaced", "outcomes"))
+    given = _odd_products(spark, sf_dir).drop("file_path")
+    keys = sinks.land_documents(given, root, unplaced=unplaced, run="first")
+    docs, codes, path = landing.read_documents(spark, root, keys), product_codes(spark, sf_dir), work_path(spark, "api10")
+    for of_run in (F.col("dt") < "1996", F.col("dt") >= "1996", F.col("dt").startswith("1994")):
+        loads.load_products(docs.where(of_run), codes, path, outcomes)
+    stored = spark.read.schema("file_path string, outcome string, documents bigint, dt string").parquet(outcomes)
+    rejected = loads.rejects(stored).groupBy(F.col("reason").alias("outcome"), "dt").agg(F.sum("documents").alias("documents"))
+    loaded = stored.where(~F.col("outcome").isin(*ops.REASONS)).groupBy("outcome", "dt").agg(F.sum("documents").alias("documents"))
+    homeless = spark.read.schema(given.schema).parquet(unplaced).groupBy(F.lit("without_place").alias("outcome"), "dt").agg(F.count("*").alias("documents"))
+    every = given.groupBy(F.lit("given").alias("outcome"), "dt").agg(F.count("*").alias("documents"))
+    return rejected.unionByName(loaded).unionByName(homeless).unionByName(every)
+
+
+def load_accounting(spark, sf_dir):
+    """What each load says of its documents and rows; the counts are taken while it writes."""
+    monthly = feeds.category_docs(spark, sf_dir).withColumn("dt", F.concat(F.substring("dt", 1, 8), F.lit("01")))
+    products = feeds.products(spark, sf_dir)
+    reports = {
+        "category": loads.load_category(monthly, work_path(spark, "api1")),
+        "product": loads.load_products(_odd_products(spark, sf_dir), product_codes(spark, sf_dir), work_path(spark, "api10")),
+        "region": loads.load_regions(spark, feeds.region_docs(spark, sf_dir), products, work_path(spark, "api17")),
+    }
+    rows = [(feed, of, name, n) for feed, r in reports.items() for of, counts in (("documents", r.documents), ("rows", r.rows)) for name, n in counts.items()]
+    return spark.createDataFrame(rows, "feed string, counted string, name string, n bigint")
+
+
 def product_request_grid(spark, sf_dir):
     """Requests of the product feed for the days orders came in."""
     days = feeds.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("run_date")).distinct()
@@ -149,6 +199,8 @@ QUERIES = {
         api17_load,
         backfill_landing,
         reject_accounting,
+        load_rejects,
+        load_accounting,
         product_request_grid,
         organic_landing_keys,
         gold_checks,
@@ -193,6 +245,8 @@ def _gold_sql() -> str:
     return " UNION ALL ".join(rows)
 
 
+_PRODUCT_OUTCOME = """CASE WHEN l_tax = 0.01 THEN 'unreadable' WHEN l_tax IN (0.02, 0.03) THEN 'empty'
+    WHEN country = '9999' AND l_tax > 0.035 THEN 'bad_record' ELSE 'rows' END"""
 _REGION_CODES = ", ".join(f"'{code}'" for code in feeds.REGION_NAMES)
 
 ORACLES = {
@@ -212,6 +266,27 @@ counted AS (
   UNION ALL SELECT 'region', outcome FROM region)
 SELECT feed, outcome, count(*) AS documents FROM counted GROUP BY 1, 2
 UNION ALL SELECT feed, 'given', count(*) FROM counted WHERE outcome = 'rows' GROUP BY 1""",
+    "load_rejects": f"""WITH {feeds.PRODUCT_DOCS_SQL}, told AS (
+  SELECT dt, CASE WHEN country = 'all' THEN 'without_place' ELSE {_PRODUCT_OUTCOME} END AS outcome FROM docs)
+SELECT outcome, dt, count(*) AS documents FROM told GROUP BY 1, 2 UNION ALL SELECT 'given', dt, count(*) FROM told GROUP BY 2""",
+    "load_accounting": f"""WITH category AS (
+  WITH {feeds.CATEGORY_DOCS_SQL}
+  SELECT 'documents' AS counted, CASE WHEN l_tax = 0.01 THEN 'unreadable' WHEN l_tax < 0.025 THEN 'empty'
+    WHEN l_tax = 0.03 AND l_returnflag = 'A' THEN 'bad_record' ELSE 'rows' END AS name FROM docs
+  UNION ALL SELECT 'rows', CASE WHEN base_pr IS NULL THEN 'no_price' ELSE 'kept' END FROM labelled),
+product AS (
+  WITH {feeds.PRODUCT_DOCS_SQL}
+  SELECT 'documents' AS counted, {_PRODUCT_OUTCOME} AS name FROM docs
+  UNION ALL SELECT 'rows', CASE WHEN product_cls_code <> '01' THEN 'other_class' WHEN category_code = '700' THEN 'no_segment' ELSE 'kept' END
+  FROM raw_rows WHERE country <> '9999'
+  UNION ALL SELECT 'rows', 'other_class' FROM docs WHERE l_tax = 0.0),
+region AS (
+  WITH {feeds.REGION_ROWS_SQL}
+  SELECT 'documents' AS counted, CASE WHEN l_tax = 0.01 THEN 'unreadable' WHEN l_tax = 0.0 THEN 'empty' ELSE 'rows' END AS name FROM lineitem
+  UNION ALL SELECT 'rows', CASE WHEN l_discount IN (0.0, 0.01) THEN 'pseudo_region' ELSE 'kept' END FROM dated)
+SELECT feed, counted, name, count(*) AS n FROM (
+  SELECT 'category' AS feed, * FROM category UNION ALL SELECT 'product', * FROM product UNION ALL SELECT 'region', * FROM region)
+GROUP BY 1, 2, 3""",
     "product_request_grid": f"""SELECT CAST(d AS VARCHAR) AS regday, unnest([{_REGION_CODES}]) AS country_code
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)""",
     "organic_landing_keys": """SELECT strftime(l_shipdate, '%Y-%m-%d') AS dt, '01' AS product_cls, 'all' AS country, '500' AS category,

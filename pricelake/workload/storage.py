@@ -101,8 +101,7 @@ ODD_TEXT = ' "a ""b""", c\n\'d\\'
 def csv_scan(spark, sf_dir):
     path = work_path(spark, "csv")
     sinks.write_csv(feeds.products(spark, sf_dir), path)
-    rows = tables.read_csv(spark, path, PRODUCTS)
-    return rows.groupBy("category_cd", "kind_cd").agg(F.count("*").alias("products"), F.max("product_no").alias("last_no"))
+    return tables.read_csv(spark, path, PRODUCTS)
 
 
 def seed_scan(spark, sf_dir):
@@ -182,6 +181,54 @@ def merge_by_date(spark, sf_dir):
     return plain(tables.read_stored(spark, path, base.schema, ("year", "month")))
 
 
+def month_swap(spark, sf_dir):
+    """The same merge into a registered table, by pointing the catalog to new months. One load breaks before that and is run
+    again; then it is run once more, and what no month points to is removed."""
+    path, database = work_path(spark, "swapped"), "pricelake_swap"
+    base = month_partitions(_prices(spark, sf_dir).withColumn("res_dt", F.when(F.col("l_linenumber") < 7, F.col("res_dt"))))
+    sinks.write_parquet(base, path, ("year", "month"))
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    registry.create_databases(spark, work_path(spark, "databases"), (database,))
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema)
+    spark.sql(f"CREATE TABLE {database}.prices ({columns}) USING parquet PARTITIONED BY (year, month) LOCATION '{path}'")
+    registry.sync_partitions(spark, [f"{database}.prices"])
+    returned = base.where("l_returnflag = 'R' AND (day(res_dt) = 1 OR res_dt IS NULL)").drop("l_returnflag")
+    again = returned.withColumns({"revised": F.lit(True), "price": F.col("price") + 1})
+    registry.write_version(spark, f"{database}.prices", again)
+    for _ in range(2):
+        registry.swap_months(spark, f"{database}.prices", again)
+    registry.drop_old_versions(spark, f"{database}.prices")
+    return plain(spark.table(f"{database}.prices"))
+
+
+def whole_file_landing(spark, sf_dir):
+    """A document per part, on several lines, landed in a file of its own; read by whole files, and by lines after the zone was compacted."""
+    part = feeds.table(spark, sf_dir, "part")
+    docs = part.select(
+        F.replace(F.to_json(F.struct("p_partkey", "p_name", "p_size")), F.lit(","), F.lit(",\r\n ")).alias("value"),
+        F.when(F.col("p_size") % 2 == 0, "20250101").otherwise("20250102").alias("dt"),
+        F.lit("01").alias("product_cls"),
+    )
+    root, compact = work_path(spark, "landing"), work_path(spark, "compacted")
+    keys = sinks.land_documents(docs, root, one_per_file=True)
+    for day in landing.folder_values(spark, root, "dt"):
+        sinks.compact_documents(spark, root, compact, keys, day)
+    whole, lines = landing.read_documents(spark, root, keys, one_per_file=True), landing.read_documents(spark, compact, keys)
+    both = whole.withColumn("layout", F.lit("file")).unionByName(lines.withColumn("layout", F.lit("line")))
+    fields = landing.parsed(F.col("value"), "struct<p_partkey:bigint,p_name:string,p_size:bigint>")
+    return both.select(fields.alias("f"), "layout", *keys).select("f.*", "layout", *keys)
+
+
+def undated_batches(spark, sf_dir):
+    """Product batches, a landing date each, every other one without a dated row: these take their landing date. Three loads."""
+    root = work_path(spark, "undated")
+    docs = feeds.product_docs(spark, sf_dir, F.when(F.year("l_shipdate") % 2 == 1, F.col("l_shipdate")))
+    for rest in range(3):
+        load_products(docs.where(F.substring("dt", 1, 4).cast("int") % 3 == rest), product_codes(spark, sf_dir), root)
+    schema = tables.silver_read_schema("api10").add("segment", "string")
+    return plain(spark.read.schema(schema).parquet(root))
+
+
 def materialize_mart(spark, sf_dir):
     """A mart rebuilt over an earlier one holds only the new rows."""
     path = work_path(spark, "mart")
@@ -221,8 +268,11 @@ QUERIES = {
         snapshot_write,
         segment_split,
         registered_scan,
+        undated_batches,
         replace_day,
         merge_by_date,
+        month_swap,
+        whole_file_landing,
         materialize_mart,
         table_inventory,
     )
@@ -261,8 +311,7 @@ SELECT CASE WHEN (d, c) IN (SELECT (d, c) FROM landed) THEN 'overwrite' ELSE 'ne
   count(*) AS objects FROM incoming GROUP BY 1""",
     "parquet_scan": """SELECT event_type, count(*) AS events, max(event_id) AS last_id FROM events GROUP BY 1""",
     "csv_write": f"WITH {feeds.PRODUCTS_SQL} SELECT * REPLACE (item_nm || {_ODD_SQL} AS item_nm) FROM products",
-    "csv_scan": f"""WITH {feeds.PRODUCTS_SQL}
-SELECT category_cd, kind_cd, count(*) AS products, max(product_no) AS last_no FROM products GROUP BY 1, 2""",
+    "csv_scan": f"WITH {feeds.PRODUCTS_SQL} SELECT * FROM products",
     "seed_scan": f"WITH {feeds.SEASONS_SQL} SELECT * REPLACE (CAST(month AS BIGINT) AS month, kind_nm || {_ODD_SQL} AS kind_nm) FROM seasons",
     "snapshot_write": f"""WITH {stamped_sql("CASE WHEN l_linenumber > 1 THEN l_shipdate END")}
 SELECT * EXCLUDE (segment) FROM stored""",
@@ -282,6 +331,14 @@ SELECT {_LINE}, l_extendedprice AS price, CAST(d AS VARCHAR) AS res_dt, l_return
 FROM base WHERE d IS NULL OR d NOT IN (SELECT d FROM again WHERE d IS NOT NULL)
 UNION ALL SELECT {_LINE}, l_extendedprice + 1, CAST(d AS VARCHAR), NULL, strftime(d, '%Y'), strftime(d, '%m'), true
 FROM again""",
+    "whole_file_landing": """SELECT p_partkey, p_name, CAST(p_size AS BIGINT) AS p_size, unnest(['file', 'line']) AS layout,
+  CASE WHEN p_size % 2 = 0 THEN '20250101' ELSE '20250102' END AS dt, '01' AS product_cls FROM part""",
+    "undated_batches": f"""WITH {product_rows_sql("CASE WHEN year(l_shipdate) % 2 = 1 THEN l_shipdate END")},
+batches AS (
+  SELECT batch AS stamp_batch, coalesce(min_by(res_dt, file_path || '#' || pos) FILTER (res_dt IS NOT NULL), substr(batch, 1, 4) || '-11-01') AS day
+  FROM product_rows GROUP BY batch)
+SELECT product_rows.* EXCLUDE (batch, file_path, pos), substr(day, 1, 4) AS year, substr(day, 6, 2) AS month, replace(day, '-', '') AS dt
+FROM product_rows JOIN batches ON batch = stamp_batch""",
     "materialize_mart": f"""WITH {feeds.API10_SQL}
 SELECT country_nm, CAST(count(*) FILTER (prev_1d_dir_tp = '1') AS BIGINT) AS rise_count,
   CAST(count(*) FILTER (prev_1d_dir_tp = '0') AS BIGINT) AS drop_count,
@@ -293,3 +350,5 @@ FROM snapshot GROUP BY country_nm""",
         for name in GIVEN
     ),
 }
+# The same rows, whichever way the months are replaced.
+ORACLES["month_swap"] = ORACLES["merge_by_date"]
