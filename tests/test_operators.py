@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import datetime
+from pathlib import Path
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -318,3 +321,107 @@ def test_outcomes_follow_the_explodes(spark):
     given = {r.file_path for r in documents.explode_items(docs).collect()}
     assert given == {k for k, v in outcome.items() if v == "rows"}
     assert rows(documents.rejected(docs, "category"), "file_path", "reason") == [("0", "bad_record"), ("4", "unreadable"), ("5", "unreadable")]
+
+
+# Months swapped in the catalog.
+
+MONTHS = "id bigint, res_dt date, year string, month string"
+
+
+def _months(spark, rows):
+    return spark.createDataFrame([(n, None if d is None else datetime.date.fromisoformat(d), d and d[:4], d and d[5:7]) for n, d in rows], MONTHS)
+
+
+@pytest.fixture
+def prices(spark, tmp_path):
+    """A registered table with three months, one of them that of rows without a date."""
+    path = str(tmp_path / "prices")
+    sinks.write_parquet(_months(spark, [(1, "2025-01-01"), (2, "2025-01-02"), (3, "2025-02-01"), (4, None), (4, None)]), path, ("year", "month"))
+    spark.sql("DROP DATABASE IF EXISTS swap_test CASCADE")
+    registry.create_databases(spark, str(tmp_path / "databases"), ("swap_test",))
+    spark.sql(f"CREATE TABLE swap_test.prices ({MONTHS}) USING parquet PARTITIONED BY (year, month) LOCATION '{path}'")
+    registry.sync_partitions(spark, ["swap_test.prices"])
+    return path
+
+
+def _stored(spark):
+    return sorted(((r.id, r.res_dt and str(r.res_dt)) for r in spark.table("swap_test.prices").collect()), key=repr)
+
+
+def test_broken_swap_leaves_the_old_months(spark, prices):
+    before = _stored(spark)
+    incoming = _months(spark, [(20, "2025-01-02"), (30, "2025-03-01")])
+    registry.write_version(spark, "swap_test.prices", incoming)
+    assert _stored(spark) == before
+    registry.swap_months(spark, "swap_test.prices", incoming)
+    want = sorted([(1, "2025-01-01"), (20, "2025-01-02"), (3, "2025-02-01"), (4, None), (4, None), (30, "2025-03-01")], key=repr)
+    assert _stored(spark) == want
+    assert len(registry.drop_old_versions(spark, "swap_test.prices")) == 1
+    assert _stored(spark) == want and registry.drop_old_versions(spark, "swap_test.prices") == []
+    registry.swap_months(spark, "swap_test.prices", _months(spark, []))
+    assert _stored(spark) == want
+
+
+def test_swap_opens_no_month_it_does_not_touch(spark, prices):
+    """An unreadable file in another month does not matter, new columns included. Stored rows have NULL there, so an undated
+    row with a value is another row."""
+    for file in Path(prices, "year=2025", "month=02").glob("*.parquet"):
+        file.write_bytes(b"no parquet")
+    incoming = _months(spark, [(10, "2025-01-01"), (4, None)]).withColumn("revised", F.lit(True))
+    registry.swap_months(spark, "swap_test.prices", incoming)
+    rows = spark.table("swap_test.prices").where("month IS NULL OR month = '01'")
+    assert sorted(((r.id, r.revised) for r in rows.collect()), key=repr) == [(10, True), (2, None), (4, None), (4, None), (4, True)]
+    plan = spark.table("swap_test.prices").where("year = '2025' AND month = '01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_partitions_are_added_by_name(spark, prices):
+    """Folders a load did not write are not looked for."""
+    for month in range(4, 12):
+        _months(spark, [(month, f"2025-{month:02}-01")]).drop("year", "month").write.parquet(f"{prices}/year=2025/month={month:02}")
+    registry.add_partitions(spark, "swap_test.prices", _months(spark, [(5, "2025-05-01")]), ("year", "month"))
+    named = {r.partition for r in spark.sql("SHOW PARTITIONS swap_test.prices").collect()}
+    assert "year=2025/month=05" in named and "year=2025/month=04" not in named
+    assert (5, "2025-05-01") in _stored(spark)
+
+
+def test_undated_rows_are_counted(spark):
+    stored, incoming = _months(spark, [(1, None), (1, None), (2, None)]), _months(spark, [(1, None), (2, None), (2, None), (3, None)])
+    merged = sinks.merged_by_date(stored, incoming)
+    assert sorted(r.id for r in merged.collect()) == [1, 1, 2, 2, 3]
+
+
+# Loads.
+
+ITEM = '{"item_name":"a","item_code":"1","kind_name":"k","kind_code":"01","rank":"r","rank_code":"04","unit":"kg","day1":"d","dpr1":"%s"}'
+
+
+def _category(spark, rows):
+    names = "file_path string, value string, dt string, product_cls string, country string, category string"
+    return spark.createDataFrame([(f"f{n}", v, d, "01", "1101", "100") for n, (v, d) in enumerate(rows)], names)
+
+
+def test_category_load_says_what_became_of_everything(spark, tmp_path):
+    good = '{"data":{"error_code":"000","item":[%s,%s]}}' % (ITEM % "1,000", ITEM % "-")
+    holed = '{"data":{"error_code":"000","item":[%s,null]}}' % (ITEM % "5")
+    path, outcomes = str(tmp_path / "api1"), str(tmp_path / "outcomes")
+    docs = _category(spark, [(good, "2025-01-02"), (good, "20250103"), (holed, "2025-01-02"), ("{", "2025-01-02"), ('{"data":["001"]}', "2025-01-02"), (good, "soon")])
+    report = loads.load_category(docs, path, outcomes)
+    assert report.documents == {"rows": 3, "empty": 1, "unreadable": 1, "bad_record": 1} and report.rejected == 2
+    assert report.rows == {"kept": 2, "no_price": 2, "undated": 2}
+    stored = spark.read.parquet(outcomes)
+    assert {(r.dt, r.file_path, r.reason) for r in loads.rejects(stored).collect()} == {("2025-01-02", "f2", "bad_record"), ("2025-01-02", "f3", "unreadable")}
+    # A run of one landing date replaces its outcomes and rows, and nothing else.
+    assert loads.load_category(_category(spark, [(good, "2025-01-02")]), path, outcomes).rows == {"kept": 1, "no_price": 1}
+    assert loads.rejects(spark.read.parquet(outcomes)).count() == 0
+    assert sorted(str(r.res_dt) for r in tables.read_silver(spark, path, "api1").collect()) == ["2025-01-02", "2025-01-03"]
+    empty = loads.load_category(docs.limit(0), path, outcomes)
+    assert (empty.documents, empty.rows) == ({}, {})
+    assert tables.read_silver(spark, path, "api1").count() == 2
+
+
+def test_documents_without_a_place_are_kept_by_run(spark, tmp_path):
+    docs = _category(spark, [("a", "2025-01-01"), ("b", None)])
+    for run in ("one", "two", "two"):
+        sinks.land_documents(docs, str(tmp_path / "zone"), unplaced=str(tmp_path / "unplaced"), run=run)
+    assert sorted((r.value, r.run) for r in spark.read.parquet(str(tmp_path / "unplaced")).collect()) == [("b", "one"), ("b", "two")]
