@@ -153,7 +153,8 @@ def learn(
 ) -> Classifier:
     """Classifier from the given documents and labels. The prior is the share of toxic rows among all given labels that are not NULL.
 
-    Of more examples than the bounds allow, those whose keys have the smallest hashes are taken. NULL keys are no examples.
+    Of more examples than the bounds allow, those whose keys have the smallest hashes are taken: keys are counted once, however many
+    rows they have, and of the rows of a key the one with the least digest is the example. So the bounds hold for rows. NULL keys are no examples.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(label).alias("toxic"))
     share = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
@@ -169,10 +170,12 @@ def learn(
 
     rows = docs.where(F.col(key).isNotNull()).select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("body"))
     examples = chosen(known.where("toxic = 1").select("id").distinct(), most_positive, True).unionAll(
-        chosen(rows.select("id"), most_unlabelled, False)
+        chosen(rows.select("id").distinct(), most_unlabelled, False)
     )
     # Bounded by the two limits, so it may be broadcast.
-    texts = rows.join(F.broadcast(examples.distinct()), "id").select("id", "positive", "body")
+    every = rows.join(F.broadcast(examples.distinct()), "id").select("id", "positive", "body")
+    least = F.struct(F.xxhash64("body").alias("digest"), "body")
+    texts = every.groupBy("id", "positive").agg(F.min(least).alias("least")).select("id", "positive", F.col("least.body").alias("body"))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

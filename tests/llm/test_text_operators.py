@@ -512,3 +512,48 @@ def test_examples_beyond_the_bound_have_the_smallest_hashes(documents, spark, mo
     labels = spark.createDataFrame([(n, 1, int(n < 2000)) for n in range(3000)], "doc_id bigint, quality int, toxic int")
     toxicity.learn(docs, labels, most_positive=50, most_unlabelled=100)
     assert taken == {"p": 50, "u": 100}
+
+
+def test_examples_stay_within_their_bound_when_keys_repeat(documents, spark, monkeypatch):
+    """Keys of very many rows, toxic or not: a key is one example, and all the wanted keys are taken."""
+    taken = {}
+    monkeypatch.setattr(toxicity, "fit", lambda p, u, prior, chosen: taken.update(p=len(p), u=len(u)))
+    docs = documents([(n, f"text {n}") for n in range(600)] + [(n % 3, f"again {n % 7}") for n in range(900)])
+    labels = spark.createDataFrame([(n, 1, int(n < 200)) for n in range(600)] + [(1, 1, 1)] * 300, "doc_id bigint, quality int, toxic int")
+    toxicity.learn(docs, labels, most_positive=40, most_unlabelled=80)
+    assert taken == {"p": 40, "u": 80}
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.5, 0.9])
+def test_fit_against_plain_lists(monkeypatch, prior):
+    """The same steps on the non-negative risk, written with lists and sums."""
+    monkeypatch.setattr(toxicity, "STEPS", 40)
+    draw = random.Random(3)
+    size = 8
+    rows = lambda n, weights: [sorted({draw.choices(range(size), weights)[0] for _ in range(4)}) for _ in range(n)]
+    positive, unlabelled = rows(20, [8, 4, 1, 1, 1, 1, 1, 1]), rows(60, [1, 1, 1, 4, 4, 4, 4, 4])
+    theta, mean, square = [0.0] * (size + 1), [0.0] * (size + 1), [0.0] * (size + 1)
+    theta[-1] = math.log(prior / (1 - prior))
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    for step in range(1, 41):
+        score = lambda row: sum(theta[f] for f in row) + theta[-1]
+        as_negative = lambda row: math.log1p(math.exp(score(row)))
+        risk = sum(map(as_negative, unlabelled)) / 60 - prior * sum(map(as_negative, positive)) / 20
+        slope = [toxicity.DECAY * t for t in theta[:-1]] + [0.0]
+        sign = 1 if risk >= 0 else -1
+        for group, each in ((positive, -prior / 20), (unlabelled, 1 / 60)):
+            for row in group:
+                outer = sign * each * sigmoid(score(row))
+                if risk >= 0 and group is positive:
+                    outer -= prior / 20 * sigmoid(-score(row))
+                for f in [*row, size]:
+                    slope[f] += outer
+        mean = [0.9 * m + 0.1 * s for m, s in zip(mean, slope, strict=True)]
+        square = [0.999 * q + 0.001 * s * s for q, s in zip(square, slope, strict=True)]
+        theta = [
+            t - toxicity.RATE * (m / (1 - 0.9**step)) / (math.sqrt(q / (1 - 0.999**step)) + 1e-8)
+            for t, m, q in zip(theta, mean, square, strict=True)
+        ]
+    as_arrays = [[np.array(r, np.int32) for r in side] for side in (positive, unlabelled)]
+    model = toxicity.fit(*as_arrays, prior, np.arange(size))
+    assert np.allclose(model.weights[:size], theta[:-1], atol=1e-9) and abs(model.bias - theta[-1]) < 1e-6
