@@ -94,11 +94,18 @@ def write_version(spark: SparkSession, table: str, incoming: DataFrame, day: str
 
 def point_to_version(spark: SparkSession, table: str, version: str) -> None:
     """Let the catalog read each month of a written version from there: the one visible step, and it moves no file."""
+    known = {row.partition.replace("=null", f"={NO_VALUE}") for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    new = ""
     for year in folder_values(spark, version, "year", nulls=True):
         for month in folder_values(spark, f"{version}/year={year}", "month", nulls=True):
-            spec, place = _spec({"year": year, "month": month}), f"{version}/year={year}/month={month}"
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{place}'")
-            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'")
+            name = f"year={year}/month={month}"
+            spec, place = _spec({"year": year, "month": month}), f"'{version}/{name}'"
+            if name in known:
+                spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {place}")
+            else:
+                new += f" PARTITION ({spec}) LOCATION {place}"
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS{new}")
     spark.catalog.refreshTable(table)
 
 
