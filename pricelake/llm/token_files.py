@@ -12,10 +12,13 @@ where each document stands. Only files named there count: what a task wrote befo
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from pricelake.llm.common import map_batches, stage
+from pricelake.llm.common import map_batches, slices, stage
 from pricelake.session import discard, work_path
 
 END_ID = 2
@@ -37,6 +40,10 @@ BLOCK_IDS = 1 << 20
 BLOCKS_PER_TASK = 8
 #: Words a worker keeps the ids of, twice over.
 KEPT_WORDS = 700_000
+#: Words of an encoded line.
+LINE_WORDS = 128
+#: Letters (ASCII or of Latin-1) and the ASCII punctuation without the apostrophe that may follow: the tokenizer always cuts between them.
+PUNCTUATED = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([!-&(-/:-;=-@\[-`{}~]*)")
 
 
 # Encoding and decoding of ranks.
@@ -105,23 +112,53 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = id_kind(self.tokenizer)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[n for piece, n in self.tokenizer.get_vocab().items() if piece.endswith(suffix)]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _learn(self, found: set[bytes]) -> None:
-        if len(self.young) > KEPT_WORDS:
-            self.old, self.young = self.young, {}
+    def _ids(self, parts: list[bytes]) -> Iterator[bytes]:
+        """Ids the tokenizer gives each of some words."""
+        encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "surrogatepass") for p in parts], add_special_tokens=False)
+        return (np.array(e.ids, self.kind).tobytes() for e in encoded)
+
+    def _ids_of_letters(self, found: list[bytes]) -> Iterator[bytes]:
+        """The same of words of letters alone. In a line of many they cost half as much; the ids that end a word tell them apart."""
+        if not self.ends.any():
+            yield from self._ids(found)
+            return
+        groups = [found[n : n + LINE_WORDS] for n in range(0, len(found), LINE_WORDS)]
+        lines = [b" ".join(g).decode("utf-8") for g in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.kind)
+            content, edges = ids.tobytes(), (np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize
+            if len(edges) != len(group):
+                raise ValueError("the tokenizer cuts words of letters")
+            edges = [0, *edges.tolist()]
+            yield from map(content.__getitem__, map(slice, edges, edges[1:]))
+
+    def _learn(self, missing: set[bytes]) -> None:
+        """Add words to the young generation: from the old one, from their letters and punctuation, or from the tokenizer."""
         young, old = self.young, self.old
-        missing = []
-        for word in found:
-            if word not in young:
-                if (ids := old.get(word)) is not None:
-                    young[word] = ids
-                else:
-                    missing.append(word)
-        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in missing], add_special_tokens=False)
-        for word, e in zip(missing, encoded, strict=True):
-            young[word] = np.array(e.ids, self.kind).tobytes()
+        letters, whole, cut = [], [], []
+        for word in missing:
+            if (ids := old.get(word)) is not None:
+                young[word] = ids
+            elif (found := PUNCTUATED.fullmatch(word)) is None:
+                whole.append(word)
+            elif found[2]:
+                cut.append((word, found[1], found[2]))
+            else:
+                letters.append(word)
+        # A word just met may be the part of another.
+        letters = list({*letters, *(core for _, core, _ in cut if core not in young)})
+        whole += {marks for _, _, marks in cut if marks not in young}.difference(whole)
+        young.update(zip(letters, self._ids_of_letters(letters), strict=True))
+        young.update(zip(whole, self._ids(whole), strict=True))
+        for word, core, marks in cut:
+            young[word] = young[core] + young[marks]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian numbers, with the end id."""
@@ -133,9 +170,14 @@ class WordEncoder:
         out = []
         for start in range(0, len(parts), 64):
             block = parts[start : start + 64]
-            self._learn(set().union(*block))
-            ids = self.young.__getitem__
-            out += [b"".join(map(ids, words)) + end for words in block]
+            if len(self.young) > KEPT_WORDS:
+                self.old, self.young = self.young, {}
+            known = [list(map(self.young.get, words)) for words in block]
+            missing = set().union(*(compress(words, map(is_, ids, repeat(None))) for words, ids in zip(block, known, strict=True)))
+            self._learn(missing)
+            for words, ids in zip(block, known, strict=True):
+                found = map(self.young.__getitem__, words) if None in ids else ids
+                out.append(b"".join(found) + end)
         return out
 
 
@@ -146,17 +188,18 @@ def _encoder(path: str) -> WordEncoder:
 
 
 def tokenize(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFrame:
-    """``id`` and ``ids`` (little-endian numbers of ``id_kind``, with the end id) of every row."""
+    """``id``, ``ids`` (little-endian numbers of ``id_kind``, with the end id) and ``place`` (a number of its own) of every row."""
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("body"))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                yield pa.record_batch([part.column(0), pa.array(encoder.encode(part.column(1).to_pylist()), pa.binary())], ["id", "ids"])
+        place = TaskContext.get().partitionId() << 33
+        for part in slices(batches):
+            ids = pa.array(encoder.encode(part.column(1).to_pylist()), pa.binary())
+            yield pa.record_batch([part.column(0), ids, pa.array(place + np.arange(len(ids)), pa.int64())], ["id", "ids", "place"])
+            place += len(ids)
 
-    return map_batches(rows, of_batches, f"id {rows.schema['id'].dataType.simpleString()}, ids binary")
+    return map_batches(rows, of_batches, f"id {rows.schema['id'].dataType.simpleString()}, ids binary, place bigint")
 
 
 def frequency_ranks(tokens: DataFrame, kind: str) -> np.ndarray:
@@ -233,15 +276,17 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, key: str = "
     """Write all documents and return the manifest: a row for each block, with ``part`` and ``block`` giving the order.
 
     Beside the blocks the manifest table holds ``id_of`` as ``ranks`` in a table of its own. NULL and empty texts have the end id alone. A NULL key comes
-    first; rows with equal keys stand in the order of their ids. No documents give no files and an empty manifest.
+    first; rows with equal keys stand in the order of a digest of their ids. No documents give no files and an empty manifest.
     """
     spark = docs.sparkSession
     tokens, tokens_path = stage(tokenize(docs, tokenizer, key, text), "token-ids")
     width = id_kind(Tokenizer.from_file(tokenizer))
     id_of = frequency_ranks(tokens, width)
     kind = tokens.schema["id"].dataType.simpleString()
-    # By the key alone: Spark samples what it ranges by, and the ids of texts are long. Rows with equal keys share a range.
-    ordered = tokens.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "ids")
+    # Spark samples what it ranges by, and the ids of texts are long: a digest and the place stand for them. A key that very many rows have
+    # fills as many ranges as it needs, equal texts included.
+    order = [F.col("id").asc_nulls_first(), F.col("digest"), F.col("place")]
+    ordered = tokens.withColumn("digest", F.xxhash64("ids")).repartitionByRange(*order).sortWithinPartitions(*order).select("id", "ids")
     schema = f"part int, block int, file string, offset bigint, n_ids bigint, keys array<{kind}>"
     blocks = map_batches(ordered, _written(folder, spark.sparkContext.broadcast(id_of), width), schema)
     blocks.write.parquet(f"{folder}/manifest")

@@ -11,7 +11,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pricelake.llm import decontamination, language_id, language_model, licenses, piece_sampling, token_files, toxicity
+from pricelake.session import work_path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -157,7 +159,13 @@ WORDY = [
 def brute_files(rows):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     found = [(key, tokenizer.encode(text or "", add_special_tokens=False).ids + [2]) for key, text in rows]
-    found.sort(key=lambda r: (r[0] is not None, r[0], np.array(r[1], "<u2").tobytes()))
+
+    def digest(ids):
+        """What Spark gives: seed 42, signed."""
+        found = xxhash.xxh64_intdigest(np.array(ids, "<u2").tobytes(), seed=42)
+        return found - (found >> 63 << 64)
+
+    found.sort(key=lambda r: (r[0] is not None, r[0], digest(r[1])))
     out, start = [], 0
     for key, ids in found:
         out.append((key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
@@ -173,6 +181,32 @@ def test_token_files(documents, clashing, block, monkeypatch):
     assert token_files.token_files_round_trip(documents([]), TOKENIZER).count() == 0
 
 
+def test_rows_of_one_key_fill_many_ranges(spark, documents):
+    """Most rows have no key, half of them one text: their files are still written by many tasks."""
+    rows = [(None, "the same text" if n % 2 else f"text {n}") for n in range(4000)] + [(n, "keyed") for n in range(50)]
+    folder = work_path(spark, "token-files-of-one-key")
+    joining = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(joining, "false")
+    try:
+        manifest = token_files.write_token_files(documents(rows).repartition(8), TOKENIZER, folder)
+    finally:
+        spark.conf.unset(joining)
+    assert manifest.where("exists(keys, k -> k is null)").select("part").distinct().count() > 1
+    assert rows_of(token_files.checksums(token_files.read_token_files(spark, folder))) == brute_files(rows)
+
+
+def test_words_of_letters_and_punctuation_keep_their_ids(monkeypatch):
+    """Words are taken apart and encoded many in a line; the ids are those of the whole text, in small generations too."""
+    monkeypatch.setattr(token_files, "KEPT_WORDS", 300)
+    draw = random.Random(12)
+    signs = "aeb\u00df\u00fc\u00c4\u00c9\u00d7\u00f7 .,!?;:<>|'\"-_()\u0301\u00a0\u3000\u00f11\u0663\u6f22\u2014`{}~^@#$\n\tst"
+    texts = ["".join(draw.choices(signs, k=draw.randint(0, 14))) for _ in range(5000)]
+    texts += ["a<|endoftext|>b. X.", "ab.\u0301 c", "ab<.", "a.<|", None]
+    encoder, plain = token_files.WordEncoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    for found, text in zip(encoder.encode(texts), texts, strict=True):
+        assert np.frombuffer(found, encoder.kind).tolist() == plain.encode(text or "", add_special_tokens=False).ids + [2]
+
+
 def test_commonest_tokens_take_one_byte(spark):
     tokens = spark.createDataFrame([(np.array([5] * 9 + [7] * 3 + [40_000], "<u2").tobytes(),), (np.array([7], "<u2").tobytes(),)], "ids binary")
     assert token_files.frequency_ranks(tokens, "<u2").tolist() == [5, 7, 40_000]
