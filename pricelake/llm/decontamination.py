@@ -1,13 +1,15 @@
 """Documents that hold benchmark items, by an inverted index of the items and block-max WAND.
 
+Words count without the punctuation at their edges. A document holds an item if it has the wanted share of the shingles of its question and of its
+answer, or of the item as a whole, or if the item stands there letter for letter, whatever is glued to its ends.
+
 The items are indexed under BM25 and every document is a query against them. The weight a word has in an item is divided by the
-score the item's own question must reach, so one threshold, 1, serves for all. That score is the least one a
-document can have that holds the wanted share of the question's shingles: with K shingles missing at most K + 4 of the
-question's words can be missing, and the heaviest ones are taken off. So the search loses no document that the check would accept.
+least score of a document that holds the item, so one threshold, 1, serves for all. With k of a text's shingles missing, and one there, at most k of its
+words are missing: each word before the shingle that is there begins a missing one, each word behind it ends one. The heaviest k
+are taken off; of an item that stands there letter for letter, the first and last word. So the search loses no document that the check accepts.
 
 Items stand in blocks, and for each word a block has the largest weight in it. A block whose largest weights do not add up to the threshold
-is skipped; in the others cursors move to the next item that can reach it. What is found is checked: shingles of five words
-of the question and of the answer that the document has.
+is skipped; in the others cursors move to the next item that can reach it. What is found is checked.
 """
 
 from __future__ import annotations
@@ -15,14 +17,15 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import map_batches, words
+from pricelake.llm.common import map_batches, stage, words
 
 SHINGLE_WORDS = 5
 LEAST_OVERLAP = 0.8
@@ -31,17 +34,23 @@ BLOCK_ITEMS = 2
 PART_BYTES = 4 * 1024 * 1024
 #: Usual BM25 settings.
 K1, B = 1.2, 0.75
-#: Punctuation at the edges of words.
-EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+#: From the first letter or digit of a run without white space to its last one.
+WORD = re.compile(r"[^\W_](?:\S*[^\W_])?")
 #: Rounding of sums.
 SLACK = 1e-9
 
 
-def shingles(parts: list[bytes]) -> set[bytes]:
+def bare_words(text: str) -> list[str]:
+    """Lower-case A-Z, then the runs without white space, each without punctuation at its edges; those of punctuation alone are no words."""
+    lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+    return WORD.findall(lowered)
+
+
+def shingles(parts: list[str]) -> set[str]:
     """Runs of five words, or the whole text if it is shorter; none without a word."""
     if not parts:
         return set()
-    return {b" ".join(parts[n : n + SHINGLE_WORDS]) for n in range(max(1, len(parts) - SHINGLE_WORDS + 1))}
+    return {" ".join(parts[n : n + SHINGLE_WORDS]) for n in range(max(1, len(parts) - SHINGLE_WORDS + 1))}
 
 
 def question_and_answer(text: str) -> tuple[str, str]:
@@ -54,9 +63,27 @@ def enough(shared: int, total: int, least: float) -> bool:
     return shared >= least * total - SLACK
 
 
-def most_missing(parts: list[bytes], runs: set[bytes], least: float) -> int:
-    """How many of the words can be missing where the wanted share of their shingles is there."""
-    return math.floor(len(runs) * (1 - least) + SLACK) + SHINGLE_WORDS - 1 if len(parts) >= SHINGLE_WORDS else 0
+def holds(parts: list[str], run: str) -> bool:
+    return f" {run} " in f" {' '.join(parts)} "
+
+
+class Passage:
+    """Words and shingles of an item or of a side of it."""
+
+    def __init__(self, text: str):
+        self.words = bare_words(text)
+        self.shingles = shingles(self.words)
+
+    def most_missing(self, least: float) -> int:
+        """How many distinct words can be missing where the wanted share of the shingles is there."""
+        missing = math.floor(len(self.shingles) * (1 - least) + SLACK)
+        return missing if missing < len(self.shingles) else len(self.words)
+
+    def shared(self, own_words: list[str], own: set[str]) -> int:
+        """How many shingles a document has. Fewer than five words are one, held as a run of words anywhere."""
+        if self.words and len(self.words) < SHINGLE_WORDS:
+            return int(holds(own_words, " ".join(self.words)))
+        return len(self.shingles & own)
 
 
 class ItemIndex:
@@ -64,35 +91,46 @@ class ItemIndex:
 
     def __init__(self, items: list[tuple[object, str]], least: float = LEAST_OVERLAP):
         self.least = least
-        self.items = []
+        #: Key, the whole item, its question and its answer, of each item with a word.
+        self.items: list[tuple[object, Passage, Passage, Passage]] = []
         for key, text in items:
-            question, answer = question_and_answer(text)
-            asked = words(question)
-            if asked:
-                self.items.append((key, asked, shingles(asked), shingles(words(answer))))
-        self._post([most_missing(asked, runs, least) for _, asked, runs, _ in self.items])
-
-    def _post(self, may_miss: list[int]) -> None:
-        """Postings of the words that stand second in each item, of which so many may be missing."""
+            whole = Passage(text)
+            if whole.words:
+                self.items.append((key, whole, *map(Passage, question_and_answer(text))))
+        self._post()
+
+    def _least_score(self, weights: dict[str, float], whole: Passage, sides: tuple[Passage, Passage]) -> float:
+        """The least score of a document that holds the item in one way or another."""
+
+        def heaviest(passage: Passage) -> float:
+            found = sorted((weights[w] for w in set(passage.words)), reverse=True)
+            return sum(found[: passage.most_missing(self.least)])
+
+        missing = [heaviest(whole), sum(map(heaviest, sides))]
+        if len(whole.words) >= SHINGLE_WORDS:
+            missing.append(sum(weights[w] for w in {whole.words[0], whole.words[-1]}))
+        return sum(weights.values()) - max(missing)
+
+    def _post(self) -> None:
         n = len(self.items)
-        found_in = Counter(word for item in self.items for word in set(item[1]))
-        mean = sum(len(item[1]) for item in self.items) / max(1, n)
-        postings: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
-        for place, ((_, asked, *_), missing) in enumerate(zip(self.items, may_miss, strict=True)):
-            length = K1 * (1 - B + B * len(asked) / mean)
+        found_in = Counter(word for item in self.items for word in set(item[1].words))
+        mean = sum(len(item[1].words) for item in self.items) / max(1, n)
+        postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
+        for place, (_, whole, *sides) in enumerate(self.items):
+            length = K1 * (1 - B + B * len(whole.words) / mean)
             weights = {
                 word: math.log(1 + (n - found_in[word] + 0.5) / (found_in[word] + 0.5)) * times * (K1 + 1) / (times + length)
-                for word, times in Counter(asked).items()
+                for word, times in Counter(whole.words).items()
             }
-            own = sum(weights.values()) - sum(sorted(weights.values(), reverse=True)[:missing])
+            own = self._least_score(weights, whole, sides)
             for word, weight in weights.items():
-                # A question that may lose all its words is found by any one of them.
+                # An item that may lose all its words is found by any one of them.
                 postings[word].append((place, weight / own if own > SLACK else 1.0))
         self.postings = dict(postings)
         self.vocabulary = frozenset(postings)
         self.largest = {word: max(w for _, w in found) for word, found in postings.items()}
-        self.blocks: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
-        self.inside: dict[bytes, dict[int, list[tuple[int, float]]]] = {}
+        self.blocks: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self.inside: dict[str, dict[int, list[tuple[int, float]]]] = {}
         for word, found in postings.items():
             inside = defaultdict(list)
             for place, weight in found:
@@ -100,7 +138,7 @@ class ItemIndex:
             self.inside[word] = dict(inside)
             self.blocks[word] = (np.array(list(inside)), np.array([max(w for _, w in p) for p in inside.values()]))
 
-    def retrieve(self, text_words: list[bytes]) -> list[int]:
+    def retrieve(self, text_words: list[str]) -> list[int]:
         """Places of all items whose score is at the threshold or above, in order."""
         query = self.vocabulary.intersection(text_words)
         if sum(map(self.largest.__getitem__, query)) < 1 - SLACK:
@@ -138,81 +176,24 @@ class ItemIndex:
         return hits
 
     def matches(self, text: str | None) -> list[tuple]:
-        """(item, question shingles shared and in all, answer shingles shared and in all) of the items a text holds."""
-        parts = words(text or "")
-        places = self.retrieve(parts)
-        if not places:
-            return []
-        own, out = shingles(parts), []
-        for place in places:
-            key, _, asked, answered = self.items[place]
-            q, a = len(asked & own), len(answered & own)
-            # Questions and answers of fewer than five words are held as runs of words anywhere.
-            if len(self.items[place][1]) < SHINGLE_WORDS:
-                q = int(holds(parts, next(iter(asked))))
-            if answered and a == 0 and len(only := next(iter(answered)).split()) < SHINGLE_WORDS:
-                a = int(holds(parts, b" ".join(only)))
-            if enough(q, len(asked), self.least) and enough(a, len(answered), self.least):
-                out.append((key, q, len(asked), a, len(answered)))
-        return out
-
-
-def holds(parts: list[bytes], run: bytes) -> bool:
-    return b" " + run + b" " in b" " + b" ".join(parts) + b" "
-
-
-def bare_words(text: str) -> list[bytes]:
-    """Words without punctuation at their edges."""
-    return words(" ".join([w if w[0].isalnum() and w[-1].isalnum() else EDGES.sub("", w) for w in text.split()]))
-
-
-class WholeItemIndex(ItemIndex):
-    """Postings of all words of the items, for what the check of question and answer one by one does not see.
-
-    An item is held as well if question and answer are by their bare words, if the wanted share of the shingles of the whole item is there,
-    or if an item of five words or more stands there letter for letter, whatever is glued to its ends.
-    """
-
-    def __init__(self, items: list[tuple[object, str]], least: float = LEAST_OVERLAP):
-        self.least = least
-        self.strict = ItemIndex(items, least)
-        self.items, may_miss = [], []
-        for key, text in items:
-            every = bare_words(text)
-            sides = [part for part in map(bare_words, question_and_answer(text)) if part]
-            if every:
-                runs, parts = shingles(every), [(part, shingles(part)) for part in sides]
-                self.items.append((key, every, runs, parts))
-                may_miss.append(max(most_missing(every, runs, least), sum(most_missing(*part, least) for part in parts)))
-        self._post(may_miss)
-
-    def holds_any(self, text: str | None) -> bool:
-        """Whether a text holds an item by the check of question and answer or as a whole."""
-        if self.strict.matches(text):
-            return True
+        """Of each item a text holds: its key, shingles of question, answer and whole, shared and in all, and whether it stands there
+        letter for letter."""
         own_words = bare_words(text or "")
         places = self.retrieve(own_words)
         if not places:
-            return False
-        own, joined = shingles(own_words), b" ".join(own_words)
-
-        def held(part: list[bytes], runs: set[bytes]) -> bool:
-            if len(part) < SHINGLE_WORDS:
-                return holds(own_words, b" ".join(part))
-            return enough(len(runs & own), len(runs), self.least)
-
+            return []
+        own, joined, out = shingles(own_words), " ".join(own_words), []
         for place in places:
-            _, every, runs, parts = self.items[place]
-            if held(every, runs) or all(held(*part) for part in parts):
-                return True
-            if len(every) >= SHINGLE_WORDS and b" ".join(every) in joined:
-                return True
-        return False
+            key, whole, *sides = self.items[place]
+            counts = [(p.shared(own_words, own), len(p.shingles)) for p in (*sides, whole)]
+            verbatim = len(whole.words) >= SHINGLE_WORDS and " ".join(whole.words) in joined
+            by_sides, by_whole = all(enough(*c, self.least) for c in counts[:2]), enough(*counts[2], self.least)
+            if by_sides or by_whole or verbatim:
+                out.append((key, *(n for c in counts for n in c), verbatim))
+        return out
 
 
-def indexes(
-    items: DataFrame, key: str, text: str, least: float = LEAST_OVERLAP, part_bytes: int = PART_BYTES, kind: type[ItemIndex] = ItemIndex
-) -> Iterator[ItemIndex]:
+def indexes(items: DataFrame, key: str, text: str, least: float, part_bytes: int) -> Iterator[ItemIndex]:
     """Indexes of all items that have a word, each over a part of bounded size. Items without a text are left out."""
     rows = items.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("body"))
     size = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
@@ -221,7 +202,26 @@ def indexes(
         part = rows.where(F.pmod(F.xxhash64("body", "id"), F.lit(parts)) == n)
         found = [(r.id, r.body) for r in part.orderBy("id", "body").toLocalIterator()]
         if found:
-            yield kind(found, least)
+            yield ItemIndex(found, least)
+
+
+def search(rows: DataFrame, found: Iterator[ItemIndex], passed: Callable, schema, chained: bool) -> DataFrame | None:
+    """``passed`` over the rows with each index in turn: each over all rows, or (``chained``) over what the one before it left.
+
+    One index stays with its plan. Of several only one is on the driver and the executors at a time: what it finds is written before it is
+    dropped and the next one is built.
+    """
+    spark, results, ahead = rows.sparkSession, [], next(found, None)
+    while ahead is not None:
+        shared = spark.sparkContext.broadcast(ahead)
+        result, ahead = map_batches(rows, passed(shared), schema), next(found, None)
+        if ahead is not None or results:
+            result, _ = stage(result, "item-part")
+            shared.destroy()
+        results.append(result)
+        if chained:
+            rows = result
+    return results[-1] if chained and results else reduce(DataFrame.unionAll, results) if results else None
 
 
 def contaminated(
@@ -234,52 +234,53 @@ def contaminated(
     least_overlap: float = LEAST_OVERLAP,
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """One row for each document and each item it holds: both keys and the shingles of question and answer, shared and in all.
+    """One row for each document and each item it holds: both keys, the distinct shingles of question, answer and whole item, shared and in
+    all, and ``verbatim``.
 
-    A document holds an item if it has the wanted share of the distinct shingles of its question and, where there is one, of its answer. NULL
-    and empty texts hold nothing, items without a word are held by nothing, equal items are each reported. Repeated
+    NULL and empty texts hold nothing, items without a word are held by nothing, equal items are each reported. Repeated
     documents each come back. Other columns are not read.
     """
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("body"))
     kind, item_kind = rows.schema["id"].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
-    names = ["question_shared", "question_total", "answer_shared", "answer_total"]
-    schema = f"id {kind}, item {item_kind}, " + ", ".join(f"{n} int" for n in names)
-    to_arrow = [pa.int32()] * 4
+    counts = [f"{part}_{n}" for part in ("question", "answer", "whole") for n in ("shared", "total")]
+    names, kinds = [*counts, "verbatim"], [pa.int32()] * len(counts) + [pa.bool_()]
+    schema = f"id {kind}, item {item_kind}, " + ", ".join(f"{n} int" for n in counts) + ", verbatim boolean"
 
     def passed(shared):
         def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = [(n, *m) for n, t in enumerate(batch.column(1)) for m in shared.value.matches(t.as_py())]
                 if found:
-                    places, held, *counts = zip(*found, strict=True)
-                    counts = [pa.array(c, kind) for c, kind in zip(counts, to_arrow, strict=True)]
-                    yield pa.record_batch([batch.column(0).take(pa.array(places)), pa.array(held), *counts], ["id", "item", *names])
+                    places, held, *values = zip(*found, strict=True)
+                    values = [pa.array(v, kind) for v, kind in zip(values, kinds, strict=True)]
+                    yield pa.record_batch([batch.column(0).take(pa.array(places)), pa.array(held), *values], ["id", "item", *names])
 
         return of_batches
 
-    context = docs.sparkSession.sparkContext
-    found = [map_batches(rows, passed(context.broadcast(index)), schema) for index in indexes(items, item_key, item_text, least_overlap, part_bytes)]
-    every = found[0] if found else docs.sparkSession.createDataFrame([], schema)
-    for more in found[1:]:
-        every = every.unionAll(more)
-    return every.select(F.col("id").alias(key), F.col("item").alias(item_key), *names)
+    found = search(rows, indexes(items, item_key, item_text, least_overlap, part_bytes), passed, schema, chained=False)
+    if found is None:
+        found = docs.sparkSession.createDataFrame([], schema)
+    return found.select(F.col("id").alias(key), F.col("item").alias(item_key), *names)
 
 
 def keep_clean(
-    docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", whole_items: bool = False
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+    least_overlap: float = LEAST_OVERLAP,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """Documents that hold no item, all columns as they were; with ``whole_items`` by the wider check of ``WholeItemIndex``."""
+    """Documents that hold no item, all columns as they were. NULL and empty texts hold none; repeated rows stay or go together."""
     column = docs.columns.index(text)
 
     def passed(shared):
         def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                index = shared.value
-                held = index.holds_any if whole_items else index.matches
-                yield batch.filter(pa.array([not held(t.as_py()) for t in batch.column(column)], pa.bool_()))
+                yield batch.filter(pa.array([not shared.value.matches(t.as_py()) for t in batch.column(column)], pa.bool_()))
 
         return of_batches
 
-    for index in indexes(items, item_key, item_text, kind=WholeItemIndex if whole_items else ItemIndex):
-        docs = map_batches(docs, passed(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
-    return docs
+    clean = search(docs, indexes(items, item_key, item_text, least_overlap, part_bytes), passed, docs.schema, chained=True)
+    return docs if clean is None else clean

@@ -164,36 +164,46 @@ ORACLES = {
             SELECT item_id, 'q' AS part, array_to_string(CASE WHEN len(l) > 1 THEN l[:-2] ELSE l END, chr(10)) AS t FROM item_lines
             UNION ALL
             SELECT item_id, 'a', l[-1] FROM item_lines WHERE len(l) > 1
+            UNION ALL
+            SELECT item_id, 'w', text FROM benchmark
         ), texts AS (
             SELECT item_id AS id, part, t FROM parts UNION ALL SELECT doc_id, 'd', text FROM documents
         ), word_lists AS (
             SELECT id, part, regexp_extract_all(
                 translate(coalesce(t, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                '[^\\x20\\x09-\\x0D]+') AS w
+                '[\\p{L}\\p{N}](?:[^\\x09-\\x0D\\x1c-\\x20\\x{85}\\p{Z}]*[\\p{L}\\p{N}])?') AS w
             FROM texts
         ), shingle_lists AS (
             SELECT id, part, len(w) AS n, list_distinct(
                 list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s,
-                ' ' || array_to_string(w, ' ') || ' ' AS joined
+                array_to_string(w, ' ') AS joined
             FROM word_lists WHERE len(w) > 0
         ), item_shingles AS (
             SELECT id, part, n, unnest(s) AS s FROM shingle_lists WHERE part <> 'd'
         ), totals AS (
-            SELECT id, part, len(s) AS total FROM shingle_lists WHERE part <> 'd'
-        ), shared AS (
+            SELECT id AS item_id, coalesce(max(len(s)) FILTER (part = 'q'), 0) AS q, coalesce(max(len(s)) FILTER (part = 'a'), 0) AS a,
+                coalesce(max(len(s)) FILTER (part = 'w'), 0) AS w
+            FROM shingle_lists WHERE part <> 'd' GROUP BY id
+        ), found AS (
             SELECT d.id AS doc_id, i.id AS item_id, i.part, count(*) AS shared
             FROM (SELECT id, unnest(s) AS s FROM shingle_lists WHERE part = 'd') d JOIN item_shingles i ON d.s = i.s AND i.n >= 5
             GROUP BY ALL
             UNION ALL
             SELECT d.id, i.id, i.part, 1
-            FROM shingle_lists d JOIN item_shingles i ON d.part = 'd' AND i.n < 5 AND contains(d.joined, ' ' || i.s || ' ')
+            FROM shingle_lists d JOIN item_shingles i ON d.part = 'd' AND i.n < 5 AND contains(' ' || d.joined || ' ', ' ' || i.s || ' ')
+            UNION ALL
+            SELECT d.id, i.id, 'v', 1
+            FROM shingle_lists d JOIN shingle_lists i ON d.part = 'd' AND i.part = 'w' AND i.n >= 5 AND contains(d.joined, i.joined)
+        ), shared AS (
+            SELECT doc_id, item_id, coalesce(max(shared) FILTER (part = 'q'), 0) AS q, coalesce(max(shared) FILTER (part = 'a'), 0) AS a,
+                coalesce(max(shared) FILTER (part = 'w'), 0) AS w, count(*) FILTER (part = 'v') > 0 AS verbatim
+            FROM found GROUP BY doc_id, item_id
         )
-        SELECT q.doc_id, q.item_id, CAST(q.shared AS INTEGER) AS question_shared, CAST(qt.total AS INTEGER) AS question_total,
-            CAST(coalesce(a.shared, 0) AS INTEGER) AS answer_shared, CAST(coalesce(ta.total, 0) AS INTEGER) AS answer_total
-        FROM shared q JOIN totals qt ON qt.id = q.item_id AND qt.part = 'q'
-        LEFT JOIN totals ta ON ta.id = q.item_id AND ta.part = 'a'
-        LEFT JOIN shared a ON a.doc_id = q.doc_id AND a.item_id = q.item_id AND a.part = 'a'
-        WHERE q.part = 'q' AND q.shared >= 0.8 * qt.total AND coalesce(a.shared, 0) >= 0.8 * coalesce(ta.total, 0)
+        SELECT doc_id, item_id, CAST(s.q AS INTEGER) AS question_shared, CAST(t.q AS INTEGER) AS question_total,
+            CAST(s.a AS INTEGER) AS answer_shared, CAST(t.a AS INTEGER) AS answer_total,
+            CAST(s.w AS INTEGER) AS whole_shared, CAST(t.w AS INTEGER) AS whole_total, verbatim
+        FROM shared s JOIN totals t USING (item_id)
+        WHERE (s.q >= 0.8 * t.q AND s.a >= 0.8 * t.a) OR s.w >= 0.8 * t.w OR verbatim
     """,
     "op12_suffix_dedup": """
         WITH texts AS (
