@@ -11,6 +11,7 @@ where each document stands. Only files named there count: what a task wrote befo
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import compress, repeat
 from operator import is_
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +102,19 @@ def id_kind(tokenizer: Tokenizer) -> str:
     return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
 
+def letters_tokenizer(path: str) -> Tokenizer | None:
+    """The tokenizer for lines of ``PUNCTUATED`` letters: they are in normal form and lower case, and cutting letters from the rest is
+    cutting at white space, so its normaliser and its pattern are left out. None if it cuts in another way."""
+    found = json.loads(Path(path).read_text("utf-8"))
+    cuts = (found.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    steps = (found.get("normalizer") or {}).get("normalizers", [])
+    plain = all(s["type"] in ("NFC", "Lowercase") or s.get("pattern") == {"Regex": r"\s+"} for s in steps)
+    if [c["type"] for c in cuts] != ["Split", "ByteLevel"] or r"[\p{L}]+" not in str(cuts[0]["pattern"].get("Regex")) or not plain:
+        return None
+    found["normalizer"], cuts[0] = None, {"type": "WhitespaceSplit"}
+    return Tokenizer.from_str(json.dumps(found))
+
+
 class WordEncoder:
     """Ids of texts, word by word.
 
@@ -112,6 +127,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = id_kind(self.tokenizer)
+        self.lines = letters_tokenizer(path) or self.tokenizer
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if suffix:
@@ -131,7 +147,7 @@ class WordEncoder:
             return
         groups = [found[n : n + LINE_WORDS] for n in range(0, len(found), LINE_WORDS)]
         lines = [b" ".join(g).decode("utf-8") for g in groups]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False), strict=True):
+        for group, e in zip(groups, self.lines.encode_batch_fast(lines, add_special_tokens=False), strict=True):
             ids = np.array(e.ids, self.kind)
             content, edges = ids.tobytes(), (np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize
             if len(edges) != len(group):

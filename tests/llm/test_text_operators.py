@@ -202,7 +202,9 @@ def test_words_of_letters_and_punctuation_keep_their_ids(monkeypatch):
     signs = "aeb\u00df\u00fc\u00c4\u00c9\u00d7\u00f7 .,!?;:<>|'\"-_()\u0301\u00a0\u3000\u00f11\u0663\u6f22\u2014`{}~^@#$\n\tst"
     texts = ["".join(draw.choices(signs, k=draw.randint(0, 14))) for _ in range(5000)]
     texts += ["a<|endoftext|>b. X.", "ab.\u0301 c", "ab<.", "a.<|", None]
+    texts += [" ".join("".join(draw.choices("abcdeftou\u00e9\u00fc\u00df", k=draw.randint(1, 9))) for _ in range(40)) for _ in range(100)]
     encoder, plain = token_files.WordEncoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    assert encoder.lines is not encoder.tokenizer
     for found, text in zip(encoder.encode(texts), texts, strict=True):
         assert np.frombuffer(found, encoder.kind).tolist() == plain.encode(text or "", add_special_tokens=False).ids + [2]
 
