@@ -36,8 +36,10 @@ UNITS = WORD_UNITS + 1 + CLASSES
 END = WORD_UNITS
 DIMENSIONS, CONTEXT = 24, 6
 NOISE, BATCH, ROUNDS, RATE = 24, 2048, 2, 0.15
+#: Places scored at a time.
+SCORED = 512
 #: The commonest words are known to every task; the counts of the others are joined.
-COMMON_WORDS = 1 << 17
+COMMON_WORDS = 1 << 18
 #: Distinct words a counting task holds before it hands its counts on.
 OPEN_WORDS = 400_000
 SEED = 11
@@ -103,6 +105,9 @@ class Vocabulary:
     def class_of(self, word: bytes) -> int:
         return self.classes.get(ending(word), UNITS - 1)
 
+    def classes_of(self, words_: list[bytes]) -> list[int]:
+        return list(map(self.classes.get, [word[-2:] for word in words_], repeat(UNITS - 1)))
+
     def base_of(self, times: np.ndarray) -> np.ndarray:
         """log10 of the smoothed share of tokens among all tokens."""
         return np.log10((times + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
@@ -265,23 +270,29 @@ class Trainer:
 
 
 def log_probabilities(model: Model, units: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """log10 probability of each place's unit, normalised over all units by a matrix product for each batch."""
+    """log10 probability of each place's unit, normalised over all units by a matrix product for each batch.
+
+    The bias is one more dimension of the product. A batch of scores is small enough for the processor's cache.
+    """
     out = np.empty(len(units))
-    scores = np.empty((BATCH, UNITS), np.float32)
+    scores = np.empty((SCORED, UNITS), np.float32)
     ones = np.ones(UNITS, np.float32)
-    target = np.ascontiguousarray(model.target.T)
-    tables = [model.context * d for d in model.distance]
-    for start in range(0, len(units), BATCH):
-        chosen = units[start : start + BATCH]
-        guess = predicted(tables, before[:, start : start + BATCH])
+    target = np.ascontiguousarray(np.vstack([model.target.T, model.bias]))
+    tables = [np.pad(model.context * d, ((0, 0), (0, 1))) for d in model.distance]
+    tables[0][:, -1] = 1
+    # No score is above this; float32 overflows at 88.
+    longest = sum(float(np.linalg.norm(t, axis=1).max()) for t in tables)
+    bounded = longest * float(np.linalg.norm(target, axis=0).max()) < 80
+    for start in range(0, len(units), SCORED):
+        chosen = units[start : start + SCORED]
+        guess = predicted(tables, before[:, start : start + SCORED])
         block = scores[: len(chosen)]
         np.matmul(guess, target, out=block)
-        block += model.bias
         own = block[np.arange(len(chosen)), chosen].astype(np.float64)
-        # Scores stay far inside the range of float32; the bound is against overflow.
-        np.minimum(block, 80, out=block)
+        if not bounded:
+            np.minimum(block, 80, out=block)
         np.exp(block, out=block)
-        out[start : start + BATCH] = own - np.log(block @ ones)
+        out[start : start + SCORED] = own - np.log(block @ ones)
     return out / math.log(10)
 
 
@@ -309,7 +320,7 @@ def places(vocabulary_: Vocabulary, block: list[bytes]) -> tuple[np.ndarray, np.
     missing = np.flatnonzero(found < 0)
     rare = list(map(block.__getitem__, missing.tolist()))
     units = vocabulary_.unit[found]
-    units[missing] = list(map(vocabulary_.class_of, rare))
+    units[missing] = vocabulary_.classes_of(rare)
     return found, units, rare, missing
 
 
@@ -403,10 +414,14 @@ def score(docs: DataFrame, model: Model, found: Vocabulary, counts: DataFrame, k
                 owners = np.searchsorted(first, missing, side="right") - 1
                 times = Counter(zip(owners.tolist(), rare, strict=True))
                 keys = list(times)
-                rare_units = [vocabulary_.class_of(w) for _, w in keys]
+                rare_words = [w for _, w in keys]
                 offsets = np.searchsorted([n for n, _ in keys], np.arange(len(lengths) + 1)).astype(np.int32)
                 rares = pa.StructArray.from_arrays(
-                    [pa.array([w for _, w in keys], pa.binary()), pa.array(rare_units, pa.int32()), pa.array(times.values(), pa.int32())],
+                    [
+                        pa.array(rare_words, pa.binary()),
+                        pa.array(vocabulary_.classes_of(rare_words), pa.int32()),
+                        pa.array(times.values(), pa.int32()),
+                    ],
                     ["word", "unit", "times"],
                 )
                 yield pa.RecordBatch.from_arrays(
