@@ -44,6 +44,14 @@ def repeated_cells(digests: DataFrame, cells: int) -> DataFrame:
     )
 
 
+def hit_cells(digests: DataFrame, cells: int) -> DataFrame:
+    """Bitmaps of the cells that any row falls on, for ``possibly_repeated`` to find rows that may be among ``digests``. Tasks make bitmaps first."""
+    hits = digests.select(F.explode(F.array(*_cells("digest", cells))).alias("cell"))
+    return hits.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits")
+    )
+
+
 def _is_set(bits: str, cell: str) -> Column:
     position = F.bitmap_bit_position(F.col(cell))
     byte = F.conv(F.hex(F.substring(F.col(bits), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")

@@ -2,7 +2,8 @@
 
 One HyperLogLog sketch of the sites is kept for each line and merged by the aggregation itself, so a line that a third of
 all documents have is one small sketch per map task. Lines the sketch puts clearly above the limit are
-boilerplate; lines near the limit have their sites counted exactly; the others stay.
+boilerplate; lines near the limit have their sites counted exactly; the others stay. A Bloom filter of the documents that
+lose a line lets the texts of nearly all others pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.llm.common import row_digest, stage, whole_text
+from pricelake.llm.exact_dedup import filter_cells, hit_cells, possibly_repeated
 from pricelake.session import discard
 
 LEAST_SITES = 10
@@ -65,17 +67,19 @@ def remove_shared_lines(
     shared = suspects.where("not near").select("line").unionAll(sites.where(F.col("sites") >= least_sites).select("line"))
     shared, _ = stage(shared, "shared-lines")
     removed = found.join(shared, "line", "left_semi").select("doc", "position").distinct()
-    removed, _ = stage(removed.groupBy("doc").agg(F.collect_list("position").alias("removed")), "removed-lines")
+    removed, _ = stage(removed.groupBy(F.col("doc").alias("digest")).agg(F.collect_list("position").alias("removed")), "removed-lines")
     discard(spark, lines_path, suspects_path)
 
+    cells = filter_cells(removed.count())
+    filter_, _ = stage(hit_cells(removed.select("digest"), cells), "documents-with-removed-lines")
+    marked = possibly_repeated(docs.withColumn("digest", row_digest("id", "body")), filter_, cells)
     parts = F.split(whole_text("body"), "\n")
-    joined = docs.withColumn("doc", row_digest("id", "body")).join(removed, "doc", "left")
+    whole = marked.where(~F.col("suspect")).select(
+        "id", whole_text("body").alias("kept"), F.size(parts).alias("n_lines"), F.lit(0).alias("n_removed")
+    )
+    joined = marked.where("suspect").join(removed, "digest", "left")
     joined = joined.select("id", parts.alias("parts"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
     stays = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("removed"))
     kept = F.array_join(F.transform(stays, lambda i: F.get(F.col("parts"), i)), "\n")
-    return joined.select(
-        F.col("id").alias(key),
-        kept.alias(output),
-        F.size("parts").alias("n_lines"),
-        F.size("removed").alias("n_removed"),
-    )
+    touched = joined.select("id", kept.alias("kept"), F.size("parts").alias("n_lines"), F.size("removed").alias("n_removed"))
+    return whole.unionAll(touched).select(F.col("id").alias(key), F.col("kept").alias(output), "n_lines", "n_removed")

@@ -104,6 +104,19 @@ def test_shared_lines(documents, clashing):
     assert line_dedup.remove_shared_lines(documents([])).count() == 0
 
 
+def test_texts_that_lose_no_line_are_not_shuffled(spark, documents):
+    """The filter lets a text pass only if no line of it goes, and lets nearly all of those pass."""
+    digests = spark.range(3000).selectExpr("unhex(md5(cast(id as string))) as digest", "id")
+    cells = exact_dedup.filter_cells(300)
+    filter_ = exact_dedup.hit_cells(digests.where("id < 300").select("digest"), cells)
+    found = {r.id: r.suspect for r in exact_dedup.possibly_repeated(digests, filter_, cells).collect()}
+    assert all(found[n] for n in range(300)) and sum(found.values()) < 310
+    nothing = exact_dedup.possibly_repeated(digests, exact_dedup.hit_cells(digests.where("id < 0").select("digest"), cells), cells)
+    assert nothing.where("suspect").count() == 0
+    rows = [(n, f"own {n}", "en", f"s{n}") for n in range(20)]
+    assert rows_of(line_dedup.remove_shared_lines(documents(rows))) == brute_lines(rows, 10)
+
+
 def test_near_the_limit_lines_are_counted_exactly(spark):
     """Sites far more than a sketch holds exactly, at the limit and one below it."""
     lines = spark.range(5000).selectExpr("'a' as line", "cast(id as string) as site").unionAll(
