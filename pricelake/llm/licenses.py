@@ -12,6 +12,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,7 +27,7 @@ WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 LICENCE_FILE = r"^(un)?(licen[cs]e|copying|copyright)s?([.\-_][^/]*)?$"
 
 # Usual wording of licence notices.
-TEMPLATES = (
+NOTICES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     (
@@ -122,8 +123,31 @@ TEMPLATES = (
     ),
     ("EPL-1.0", "Eclipse Public License - v 1.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    (
+        "Zlib",
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages "
+        "arising from the use of this software.",
+    ),
+    (
+        "Zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute "
+        "it freely, subject to the following restrictions:",
+    ),
+    ("Zlib", "Licensed under the zlib License."),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    (
+        "BSL-1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation "
+        "covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative "
+        "works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:",
+    ),
+    ("WTFPL", "Do What The Fuck You Want To Public License"),
+    ("WTFPL", "Do What The Fuck You Want To Public License Version 2, December 2004"),
+    ("WTFPL", "Licensed under the WTFPL."),
     *(
-        (f"CC-{code}-4.0", text)
+        (f"CC-{code}-{version}", text)
+        for version, scope in (("4.0", "International"), ("3.0", "Unported"))
         for code, name in (
             ("BY", "Attribution"),
             ("BY-SA", "Attribution-ShareAlike"),
@@ -133,13 +157,17 @@ TEMPLATES = (
             ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
         )
         for text in (
-            f"Licensed under CC {code} 4.0.",
-            f"Creative Commons {name} 4.0 International Public License",
-            f"This work is licensed under a Creative Commons {name} 4.0 International License.",
+            f"Licensed under CC {code} {version}.",
+            f"Creative Commons {name} {version} {scope} Public License",
+            f"This work is licensed under a Creative Commons {name} {version} {scope} License.",
         )
     ),
     ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
 )
+#: The notices, and for each licence the line that declares it by its identifier.
+TEMPLATES = NOTICES + tuple((name, f"SPDX-License-Identifier: {name}") for name in sorted({name for name, _ in NOTICES}))
+#: Words that end the first identifier of a declaration, as in "GPL-3.0-or-later" or "MIT AND Zlib".
+DECLARED_BY, DECLARATION_ENDS = ["spdx", "license", "identifier"], {"or", "and", "with", "only"}
 #: Words that tell licences of a family apart; different spellings stand for the same variant.
 VARIANTS = {
     **dict.fromkeys(("nc", "noncommercial", "commercial"), "nc"),
@@ -159,7 +187,10 @@ def words(text: str) -> list[str]:
 
 
 def distinguishing(parts: list[str]) -> tuple[set[str], set[str]]:
-    """Variants and versions a passage names. A number is a version if it has a dot or a v, or stands after "version" or "v" or before "clause"."""
+    """Variants and versions a passage names. A number is a version if it has a dot or a v, or stands after "version" or "v" or before "clause".
+
+    The identifier a declaration names, the first of several, stands with the versions, so a declaration is only like that of the same licence.
+    """
     variants = {VARIANTS[w] for w in parts if w in VARIANTS}
     versions = set()
     for before, word, after in zip(["", *parts], parts, [*parts[1:], ""], strict=False):
@@ -167,6 +198,11 @@ def distinguishing(parts: list[str]) -> tuple[set[str], set[str]]:
             versions.add(word.lstrip("v").removesuffix(".0"))
         elif after == "clause" and CLAUSES.fullmatch(word):
             versions.add(f"{word} clause")
+        elif word == "identifier" and "spdx" in parts:
+            at = parts.index("spdx")
+            named = list(takewhile(lambda w: w not in DECLARATION_ENDS, parts[at + 3 :]))
+            if parts[at : at + 3] == DECLARED_BY:
+                versions.add("declared " + " ".join(named))
     return variants, versions
 
 

@@ -511,7 +511,7 @@ NOTICES = [
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-NC-ND-4.0", "Licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"), ("CC-BY-ND-4.0", "licensed under CC-BY-ND 4.0"),
-    ("CC-BY-4.0", "Copyright 2021 Jane Doe. Licensed under CC BY 4.0."), (None, "Licensed under CC BY 3.0."),
+    ("CC-BY-4.0", "Copyright 2021 Jane Doe. Licensed under CC BY 4.0."), (None, "Licensed under CC BY 2.5."), ("CC-BY-3.0", "Licensed under CC BY 3.0."),
     ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1"),
     ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007"),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
@@ -525,6 +525,18 @@ NOTICES = [
     ("BSD-3-Clause", BSD + "\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n"
      "   this software without specific prior written permission."),
     (None, "We were commercial travellers and released nothing under any terms."),
+    ("Apache-2.0", "#!/bin/sh\n# SPDX-License-Identifier: Apache-2.0\nset -e"), ("MIT", "/* SPDX-License-Identifier: MIT */"),
+    ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-only"), ("GPL-3.0", "// SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("CC-BY-NC-3.0", "SPDX-License-Identifier: CC-BY-NC-3.0"), (None, "SPDX-License-Identifier: Elsewhere-1.0"), (None, "SPDX-License-Identifier:"),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."), ("CC-BY-SA-3.0", "licensed under CC BY-SA 3.0"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages\n"
+     "arising from the use of this software."),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\n"
+     "freely, subject to the following restrictions:"),
+    ("BSL-1.0", "//          Copyright Joe Coder 2004 - 2006.\n// Distributed under the Boost Software License, Version 1.0.\n//    (See accompanying file LICENSE_1_0.txt)"),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("WTFPL", "        DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE\n                    Version 2, December 2004"),
 ]
 
 
