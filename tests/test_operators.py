@@ -425,3 +425,11 @@ def test_documents_without_a_place_are_kept_by_run(spark, tmp_path):
     for run in ("one", "two", "two"):
         sinks.land_documents(docs, str(tmp_path / "zone"), unplaced=str(tmp_path / "unplaced"), run=run)
     assert sorted((r.value, r.run) for r in spark.read.parquet(str(tmp_path / "unplaced")).collect()) == [("b", "one"), ("b", "two")]
+
+
+def test_files_of_their_own_are_written_by_many_tasks(spark, tmp_path):
+    docs = spark.range(600).select(F.col("id").cast("string").alias("value"), F.lit("20250101").alias("dt"))
+    sinks.land_documents(docs, str(tmp_path / "zone"), one_per_file=True)
+    files = [p.name for p in (tmp_path / "zone").rglob("part-*")]
+    assert len(files) == 600 and len({name.split("-")[1] for name in files}) == 3
+    assert {int(r.value) for r in spark.read.text(str(tmp_path / "zone")).collect()} == set(range(600))
