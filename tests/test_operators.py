@@ -17,6 +17,7 @@ from pricelake.plans.silver import product_codes
 from pricelake.schemas import API10, PRODUCTS, SEASONS, SILVER
 from pricelake.session import shared_dir
 from pricelake.sources import landing, tables
+from pricelake.workload import feeds
 
 
 def rows(df, *columns):
@@ -433,3 +434,11 @@ def test_files_of_their_own_are_written_by_many_tasks(spark, tmp_path):
     files = [p.name for p in (tmp_path / "zone").rglob("part-*")]
     assert len(files) == 600 and len({name.split("-")[1] for name in files}) == 3
     assert {int(r.value) for r in spark.read.text(str(tmp_path / "zone")).collect()} == set(range(600))
+
+
+def test_document_queries_split_wide_methods_in_any_session(spark, sf_dir):
+    limit, other = "spark.sql.codegen.hugeMethodLimit", spark.newSession()
+    for given, expected in (("65535", "8000"), ("4000", "4000")):
+        other.conf.set(limit, given)
+        feeds.product_docs(other, sf_dir)
+        assert other.conf.get(limit) == expected
