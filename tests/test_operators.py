@@ -442,3 +442,17 @@ def test_document_queries_split_wide_methods_in_any_session(spark, sf_dir):
         other.conf.set(limit, given)
         feeds.product_docs(other, sf_dir)
         assert other.conf.get(limit) == expected
+
+
+def test_loads_leave_no_typed_rows_behind(spark, sf_dir, tmp_path):
+    docs = feeds.region_docs(spark, sf_dir).limit(50)
+    loads.load_regions(spark, docs, feeds.products(spark, sf_dir), str(tmp_path / "api17"))
+    assert not [path for path in session._handed_out if "/region-typed-" in path]
+    assert not list(Path(shared_dir(spark)).glob("pricelake/region-typed-*"))
+
+
+def test_landed_lines_are_compressed_on_request(spark, tmp_path):
+    docs = spark.range(5).select(F.col("id").cast("string").alias("value"), F.lit("20250101").alias("dt"))
+    keys = sinks.land_documents(docs, str(tmp_path), compression="gzip")
+    assert all(p.name.endswith(".gz") for p in tmp_path.rglob("part-*"))
+    assert sorted(r.value for r in landing.read_documents(spark, str(tmp_path), keys).collect()) == list("01234")
