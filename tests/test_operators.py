@@ -12,7 +12,7 @@ from pricelake import session
 from pricelake.fixed import RISE
 from pricelake.operators import documents, jdbc, lookup, quality, ranking, registry, sinks
 from pricelake.operators.snapshot import month_partitions, stamp_snapshot
-from pricelake.plans import build, gold, loads
+from pricelake.plans import build, gold, loads, silver
 from pricelake.plans.silver import product_codes
 from pricelake.schemas import API10, PRODUCTS, SEASONS, SILVER
 from pricelake.session import shared_dir
@@ -456,3 +456,23 @@ def test_landed_lines_are_compressed_on_request(spark, tmp_path):
     keys = sinks.land_documents(docs, str(tmp_path), compression="gzip")
     assert all(p.name.endswith(".gz") for p in tmp_path.rglob("part-*"))
     assert sorted(r.value for r in landing.read_documents(spark, str(tmp_path), keys).collect()) == list("01234")
+
+
+def test_lookup_join_of_a_large_dimension_spreads_rows_without_key(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "measured", lambda dim: (lookup.BROADCAST_LIMIT_ROWS + 1, 1))
+    fact = spark.range(200).selectExpr("IF(id < 100, NULL, id % 7) AS k", "id AS v")
+    dim = spark.createDataFrame([(3, "three"), (3, "again"), (None, "none")], "k bigint, d string")
+    joined = lookup.lookup_join(fact, dim, ["k"])
+    got = sorted((r.v, r.d or "") for r in joined.collect())
+    want = [(v, "") for v in range(200) if v < 100 or v % 7 != 3] + [(v, d) for v in range(100, 200) if v % 7 == 3 for d in ("again", "three")]
+    assert got == sorted(want) and joined.columns == ["k", "v", "d"]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and plan.count("_spread") and "SortMergeJoin" not in plan
+    assert lookup.spread_nulls(fact, ["k"]).where("k IS NULL").select("_spread").distinct().count() == 100
+
+
+def test_product_silver_parses_its_documents_once(spark):
+    docs = spark.createDataFrame([("f", "{}", "20240101")], "file_path string, value string, dt string")
+    codes = spark.createDataFrame([(1, "1", "1", "1", "a")], "product_no bigint, item_cd string, kind_cd string, rank_cd string, rank_nm string")
+    plan = silver.product_silver(docs, codes)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode") == 1
