@@ -201,3 +201,23 @@ def test_requests(spark):
     tree = '{"100":{"products":{"111":{"varieties":{"01":{"retail_codes":["04","05"]},"02":{"retail_codes":[]}}}}}}'
     rows = [tuple(r) for r in tree_requests(spark.createDataFrame([(tree,)], "value string")).collect()]
     assert rows == [("100", "111", "01", "04"), ("100", "111", "01", "05")]
+
+
+def test_single_records_are_not_tried_as_a_list(spark):
+    """The text says which shape comes first; the other one is still found, also where the text misleads."""
+    texts = [
+        '{"data":{"item":{"a":"1"}}}', '{"data":{"item":[{"a":"1"}]}}', '{"data": {"item": {"a": "1"}}}', '{"data": {"item" : [{"a": "1"}]}}',
+        '{"x":{"item":{"a":"2"}},"data":{"item" :[{"a":"1"}]}}', '{"data":{"item":"text"}}', "{", None,
+    ]
+    found = ops.with_records(frame(spark, texts), "found", ["data", "item"], "struct<a:string>").orderBy("file_path").collect()
+    assert [r.found and [i.a for i in r.found] for r in found] == [["1"]] * 5 + [None] * 3
+    plan = ops.with_records(frame(spark, texts), "found", ["data", "item"], "struct<a:string>")._jdf.queryExecution().analyzed().toString()
+    assert "Contains(value" in plan or "contains(value" in plan
+
+
+def test_outcome_told_is_that_of_the_explode(spark):
+    """A text after the end of a document is no matter to the parse, so its records count as rows in both."""
+    docs = frame(spark, ['[{"price":"1"}]', '[{"price":"1"}] x', "[]", "[null]", "["])
+    told = {r.file_path: r.outcome for r in ops.with_outcome(docs, "region").collect()}
+    exploded = {r.file_path: r.outcome for r in ops.explode_records(docs, outcomes=True).collect()}
+    assert told == exploded and told["p1"] == "rows"
