@@ -476,3 +476,13 @@ def test_product_silver_parses_its_documents_once(spark):
     codes = spark.createDataFrame([(1, "1", "1", "1", "a")], "product_no bigint, item_cd string, kind_cd string, rank_cd string, rank_nm string")
     plan = silver.product_silver(docs, codes)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate posexplode") == 1
+
+
+def test_undated_rows_are_dealt_out_before_they_are_counted(spark):
+    stored = spark.createDataFrame([(i // 2, None, None, None) for i in range(40)], "v bigint, res_dt date, year string, month string")
+    again = spark.createDataFrame([(3, None, None, None)] * 3 + [(4, None, None, None)], stored.schema)
+    merged = sinks.merged_by_date(stored, again)
+    assert sorted(r.v for r in merged.collect()) == sorted([i // 2 for i in range(40)] + [3])
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("\n")
+    counted = next(i for i, line in enumerate(plan) if "HashAggregate" in line and "count" in line and "res_dt" in line)
+    assert not any("Exchange" in line for line in plan[counted + 1 : counted + 2]) and any("REPARTITION_BY_COL" in line for line in plan)
