@@ -68,6 +68,20 @@ def test_date_from_parts(spark):
     assert [r.out for r in got] == [want for _, _, want in rows]
 
 
+def test_usual_dates_are_cast(spark):
+    """Texts of the usual width go by a cast, and give what the pattern gives."""
+    texts = ["1995-04-06", "2024-02-29", "2023-02-29", "1995-13-01", "0000-01-01", "0999-01-01", "1995-4-6", "1995-04-06 ", "1995-04-06\n", "", None]
+    frame = spark.createDataFrame([(t, t and t[:4], t and t[5:].replace("-", "/")) for t in texts], "t string, y string, md string")
+    by_pattern = F.try_to_date("t", "yyyy-MM-dd")
+    rows = frame.select(fn.try_iso_date(F.col("t")).cast("string").alias("got"), by_pattern.cast("string").alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    days = [r.day for r in frame.select(fn.date_from_parts(F.col("y"), F.col("md")).cast("string").alias("day")).collect()]
+    assert days[:4] == ["1995-04-06", "2024-02-29", None, None]
+    assert days[6:9] == ["1995-04-06"] * 3 and days[9:] == [None, None]
+    for date in (fn.try_iso_date(F.col("t")), fn.date_from_parts(F.col("y"), F.col("md"))):
+        assert "RLIKE" in frame.select(date)._jdf.queryExecution().analyzed().toString()
+
+
 def test_padding_keeps_long_values(spark):
     assert apply(spark, ["1", "12", "123", "", None], fn.padded) == ["01", "12", "123", "00", None]
 
