@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pricelake.fixed import NATIONWIDE_CODE
 from pricelake.functions import compact_date
 from pricelake.operators.documents import condition_date, condition_field, first_condition
+from pricelake.sources.landing import once
 
 
 def _or(text: Column, default: str) -> Column:
@@ -20,7 +21,7 @@ def _or(text: Column, default: str) -> Column:
 def category_keys(responses: DataFrame) -> DataFrame:
     """Category feed: a request without a region covers the whole country."""
     value = F.col("_condition")
-    keyed = responses.withColumn("_condition", first_condition(F.col("value"))).withColumns(
+    keyed = once(responses).withColumn("_condition", first_condition(F.col("value"))).withColumns(
         {
             "dt": condition_field(value, "p_regday"),
             "product_cls": _or(condition_field(value, "p_product_cls_code"), "01"),
@@ -28,13 +29,13 @@ def category_keys(responses: DataFrame) -> DataFrame:
             "category": condition_field(value, "p_category_code"),
         }
     )
-    return keyed.drop("_condition").where("dt <> ''")
+    return once(keyed.drop("_condition"), "dt").where("dt <> ''")
 
 
 def product_keys(responses: DataFrame, region: str) -> DataFrame:
     """Product feed: the date without dashes, and the requested region, which is also stamped into
     the document because the response does not name it. ``region`` is the column that holds it."""
-    text = F.trim("value")
+    responses, text = once(responses), F.trim("value")
     stamp = F.to_json(F.struct(F.col(region).alias("_country_code")))
     rest = F.substring(text, 2, 2**31 - 1)
     stamped = F.concat(F.rtrim(stamp, F.lit("}")), F.lit(","), rest)
@@ -46,14 +47,14 @@ def product_keys(responses: DataFrame, region: str) -> DataFrame:
             "value": F.when(F.col(region).isNotNull(), stamped).otherwise(text),
         }
     )
-    return keyed.where("dt IS NOT NULL")
+    return once(keyed, "dt").where("dt IS NOT NULL")
 
 
 def organic_keys(responses: DataFrame) -> DataFrame:
     """Organic feed: always the retail class and the whole country."""
     value = F.col("_condition")
     names = {"category": "p_itemcategorycode", "item": "p_itemcode", "kind": "p_kindcode", "product_rank": "p_productrankcode"}
-    keyed = responses.withColumn("_condition", first_condition(F.col("value"))).withColumns(
+    keyed = once(responses).withColumn("_condition", first_condition(F.col("value"))).withColumns(
         {
             "dt": condition_field(value, "p_regday"),
             "product_cls": F.lit("01"),
@@ -61,4 +62,4 @@ def organic_keys(responses: DataFrame) -> DataFrame:
             **{key: condition_field(value, field) for key, field in names.items()},
         }
     )
-    return keyed.drop("_condition").where("dt <> ''")
+    return once(keyed.drop("_condition"), "dt").where("dt <> ''")

@@ -8,7 +8,7 @@ from pricelake.operators import documents as ops
 from pricelake.operators import quality
 from pricelake.operators.landing_keys import category_keys, product_keys
 from pricelake.plans.silver import category_rows
-from pricelake.sources.landing import parsed
+from pricelake.sources.landing import once, parsed
 from pricelake.workload import feeds
 from pricelake.workload.shape import plain
 
@@ -43,13 +43,13 @@ def classify_price_lists(spark, sf_dir):
 
 def condition_fields(spark, sf_dir):
     """Request fields of each category response: a padded text, a number (no text) and an absent one."""
-    docs = feeds.category_docs(spark, sf_dir).withColumn("first", ops.first_condition(F.col("value")))
+    docs = once(feeds.category_docs(spark, sf_dir)).withColumn("first", ops.first_condition(F.col("value")))
     fields = {k: ops.condition_field(F.col("first"), k) for k in ("p_regday", "p_number", "p_country_code")}
     return docs.select("file_path", *[c.alias(k) for k, c in fields.items()])
 
 
 def condition_dates(spark, sf_dir):
-    docs = feeds.product_docs(spark, sf_dir)
+    docs = once(feeds.product_docs(spark, sf_dir))
     return docs.select("file_path", ops.condition_date(F.col("value")).alias("dt"))
 
 

@@ -221,3 +221,23 @@ def test_outcome_told_is_that_of_the_explode(spark):
     told = {r.file_path: r.outcome for r in ops.with_outcome(docs, "region").collect()}
     exploded = {r.file_path: r.outcome for r in ops.explode_records(docs, outcomes=True).collect()}
     assert told == exploded and told["p1"] == "rows"
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_do_not_parse_documents_again(spark, sf_dir):
+    from pricelake.workload import documents as queries
+
+    for query in (queries.category_landing_keys, queries.product_landing_keys):
+        assert not [line for line in _plan(query(spark, sf_dir)).split("\n") if "Filter" in line and "from_json" in line]
+
+
+def test_documents_are_not_built_inside_the_parse(spark, sf_dir):
+    from pricelake.workload import documents as queries
+
+    for query in (queries.classify_price_lists, queries.condition_dates, queries.category_landing_keys):
+        plan = _plan(query(spark, sf_dir))
+        assert "StructsToJsonEvaluator" not in plan
+        assert not [line for line in plan.split("\n") if "from_json" in line and "l_tax" in line]
