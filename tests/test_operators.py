@@ -486,3 +486,10 @@ def test_undated_rows_are_dealt_out_before_they_are_counted(spark):
     plan = merged._jdf.queryExecution().executedPlan().toString().split("\n")
     counted = next(i for i, line in enumerate(plan) if "HashAggregate" in line and "count" in line and "res_dt" in line)
     assert not any("Exchange" in line for line in plan[counted + 1 : counted + 2]) and any("REPARTITION_BY_COL" in line for line in plan)
+
+
+def test_typed_rows_are_not_parted_by_fate(spark):
+    rows = spark.createDataFrame([(0, "rows", "kept"), (1, "rows", "no_price")], "pos int, outcome string, fate string")
+    found, report, _ = loads._settled(rows, "typed")
+    assert not [f for f in found.inputFiles() if "fate=" in f]
+    assert report.rows == {"kept": 1, "no_price": 1} and report.documents == {"rows": 1}
