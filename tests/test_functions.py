@@ -139,3 +139,12 @@ def test_first_of_list(spark, leaf, want):
         fn.first_of_list(parsed(value, "struct<k:string>")["k"]).alias("k"), parsed(value, "struct<a:string>")["a"].alias("a")
     )
     assert tuple(row.first()) == (want, 'q: "[')
+
+
+def test_path_attribute_of_odd_paths(spark):
+    paths = ["/dt=/dt=2/x", "dt=1/x", "a/xdt=1/dt=3", "a/dt=", "a", None, "/dt=4"]
+    df = spark.createDataFrame([(p,) for p in paths], "path string").select(fn.path_attribute(F.col("path"), "dt").alias("dt"))
+    assert [r.dt for r in df.collect()] == ["2", "1", "3", None, None, None, "4"]
+    # Only a path whose first such folder is empty is matched to the pattern.
+    plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert 0 <= plan.find("split_part" if "split_part" in plan else "substring_index") < plan.find("regexp_extract")

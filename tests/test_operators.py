@@ -493,3 +493,10 @@ def test_typed_rows_are_not_parted_by_fate(spark):
     found, report, _ = loads._settled(rows, "typed")
     assert not [f for f in found.inputFiles() if "fate=" in f]
     assert report.rows == {"kept": 1, "no_price": 1} and report.documents == {"rows": 1}
+
+
+def test_documents_without_line_breaks_pass_no_pattern(spark):
+    df = spark.createDataFrame([("a b",), ("a\r\nb",), ("a\rb",), (None,)], "value string").select(sinks.one_line(F.col("value")).alias("v"))
+    assert [r.v for r in df.collect()] == ["a b", "a b", "a b", None]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("Contains(") < plan.find("regexp_replace")
