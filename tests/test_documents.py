@@ -241,3 +241,12 @@ def test_documents_are_not_built_inside_the_parse(spark, sf_dir):
         plan = _plan(query(spark, sf_dir))
         assert "StructsToJsonEvaluator" not in plan
         assert not [line for line in plan.split("\n") if "from_json" in line and "l_tax" in line]
+
+
+def test_keys_are_looked_for_only_where_a_null_stands(spark):
+    """A label that is missing, null, or NULL in a document with a null elsewhere."""
+    texts = ['{"data":{"item":{"item_name":"a"}}}', '{"data":{"item":[{"item_name":null},{"rank":"r","x":null}]}}', '{"data":{"item":{"item_name":"null"}}}']
+    found = ops.explode_items(frame(spark, texts)).orderBy("file_path", "pos").collect()
+    assert [(r.item_nm, r.rank_nm) for r in found] == [("a", ""), (None, ""), ("", "r"), ("null", "")]
+    plan = ops.explode_items(frame(spark, texts))._jdf.queryExecution().optimizedPlan().toString()
+    assert any("has_gap" in line and "Contains(value" in line and "null)" in line for line in plan.split("\n"))

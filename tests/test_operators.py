@@ -500,3 +500,26 @@ def test_documents_without_line_breaks_pass_no_pattern(spark):
     assert [r.v for r in df.collect()] == ["a b", "a b", "a b", None]
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert 0 <= plan.find("Contains(") < plan.find("regexp_replace")
+
+
+def test_category_load_without_outcomes_stores_no_typed_rows(spark, tmp_path, monkeypatch):
+    """Both ways of a load write the same rows and say the same; a day written two ways is one file."""
+    good = '{"data":{"error_code":"000","item":[%s,%s]}}' % (ITEM % "1,000", ITEM % "-")
+    docs = _category(spark, [(good, "2025-01-02"), (good, "20250102"), ("{", "2025-01-02"), (good, "soon"), (good, None)])
+    staged = loads.load_category(docs, str(tmp_path / "staged"), str(tmp_path / "outcomes"))
+    monkeypatch.setattr(loads, "_settled", None)
+    assert loads.load_category(docs, str(tmp_path / "api1")) == staged
+    stored = [rows(tables.read_silver(spark, str(tmp_path / n), "api1"), "item_nm", "base_pr", "res_dt", "dt") for n in ("staged", "api1")]
+    assert stored[0] == stored[1] and len(stored[0]) == 2
+    assert len(list((tmp_path / "api1").rglob("part-*"))) == 1
+    empty = loads.load_category(docs.limit(0), str(tmp_path / "api1"))
+    assert (empty.documents, empty.rows) == ({}, {})
+
+
+def test_partitions_are_added_many_a_statement(spark, prices, monkeypatch):
+    asked, ask = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *more, **named: (asked.append(text), ask(self, text, *more, **named))[1])
+    monkeypatch.setattr(registry, "PARTITIONS_A_STATEMENT", 4)
+    added = registry.add_partitions(spark, "swap_test.prices", _months(spark, [(m, f"2025-{m:02}-01") for m in range(4, 13)]), ("year", "month"))
+    assert len(added) == 9 and len([text for text in asked if text.startswith("ALTER")]) == 3
+    assert {f"year=2025/month={m:02}" for m in range(4, 13)} <= {r.partition for r in ask(spark, "SHOW PARTITIONS swap_test.prices").collect()}
