@@ -523,3 +523,19 @@ def test_partitions_are_added_many_a_statement(spark, prices, monkeypatch):
     added = registry.add_partitions(spark, "swap_test.prices", _months(spark, [(m, f"2025-{m:02}-01") for m in range(4, 13)]), ("year", "month"))
     assert len(added) == 9 and len([text for text in asked if text.startswith("ALTER")]) == 3
     assert {f"year=2025/month={m:02}" for m in range(4, 13)} <= {r.partition for r in ask(spark, "SHOW PARTITIONS swap_test.prices").collect()}
+
+
+def test_merge_into_nothing_stored_stages_nothing(spark, sf_dir, tmp_path, monkeypatch):
+    names = []
+    for module in (sinks, loads):
+        stage = module.staged
+        monkeypatch.setattr(module, "staged", lambda df, name, stage=stage: (names.append(name), stage(df, name))[1])
+    incoming = _months(spark, [(1, "2025-01-01"), (1, "2025-01-01"), (2, None)]).withColumn("revised", F.lit(True))
+    stored = tables.read_stored(spark, str(tmp_path / "months"), T.StructType([*incoming.schema.fields, T.StructField("price", T.DoubleType())]), ("year", "month"))
+    sinks.merge_by_date(stored, incoming, str(tmp_path / "months"))
+    assert names == [] and rows(spark.read.parquet(str(tmp_path / "months")), "id", "revised", "price") == [(1, True, None)] * 2 + [(2, True, None)]
+    docs, products, path = feeds.region_docs(spark, sf_dir).limit(50), feeds.products(spark, sf_dir), str(tmp_path / "api17")
+    first = loads.load_regions(spark, docs, products, path)
+    assert names == [] and (once := tables.read_stored(spark, path, incoming.schema, ("year", "month")).count()) == first.rows["kept"]
+    assert loads.load_regions(spark, docs, products, path) == first and names == ["region-rows", "merged-months"]
+    assert tables.read_stored(spark, path, incoming.schema, ("year", "month")).count() == once
