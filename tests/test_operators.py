@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import time
 from pathlib import Path
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake import session
+from pricelake import session, workload
 from pricelake.fixed import RISE
 from pricelake.operators import documents, jdbc, lookup, quality, ranking, registry, sinks
 from pricelake.operators.snapshot import month_partitions, stamp_snapshot
@@ -539,3 +540,36 @@ def test_merge_into_nothing_stored_stages_nothing(spark, sf_dir, tmp_path, monke
     assert names == [] and (once := tables.read_stored(spark, path, incoming.schema, ("year", "month")).count()) == first.rows["kept"]
     assert loads.load_regions(spark, docs, products, path) == first and names == ["region-rows", "merged-months"]
     assert tables.read_stored(spark, path, incoming.schema, ("year", "month")).count() == once
+
+
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {str(f) for folder in folders for f in Path(folder.getPath()).rglob("shuffle_*")}
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    """Though the frame that was written is still there."""
+    docs, before = _category(spark, [(str(n), f"2025-01-{n:02}") for n in range(1, 29)]), _shuffle_files(spark)
+    sinks.land_documents(docs, str(tmp_path / "zone"))
+    sinks.write_parquet(docs, str(tmp_path / "table"), ("dt",))
+    again = tables.staged(docs.repartition("dt"), "again")
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left and again.count() == 28
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) != "true"
+
+
+class _Landed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("query", ["api10_load"])
+def test_zones_of_all_documents_are_compressed(spark, sf_dir, monkeypatch, query):
+    def land(*given, compression="none", **more):
+        raise _Landed(compression)
+
+    monkeypatch.setattr(sinks, "land_documents", land)
+    with pytest.raises(_Landed, match="gzip"):
+        workload.queries()[query](spark, sf_dir)
