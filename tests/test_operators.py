@@ -565,7 +565,7 @@ class _Landed(Exception):
     pass
 
 
-@pytest.mark.parametrize("query", ["api10_load", "load_rejects", "dated_scan", "json_landing_scan", "latest_date_scan"])
+@pytest.mark.parametrize("query", ["api10_load", "load_rejects", "dated_scan", "json_landing_scan", "latest_date_scan", "backfill_landing"])
 def test_zones_of_all_documents_are_compressed(spark, sf_dir, monkeypatch, query):
     def land(*given, compression="none", **more):
         raise _Landed(compression)
