@@ -573,3 +573,18 @@ def test_zones_of_all_documents_are_compressed(spark, sf_dir, monkeypatch, query
     monkeypatch.setattr(sinks, "land_documents", land)
     with pytest.raises(_Landed, match="gzip"):
         workload.queries()[query](spark, sf_dir)
+
+
+def test_files_of_their_own_are_landed_alone_and_listed_by_date(spark, tmp_path):
+    """No checksum file beside each, a rerun replaces its date only, and a date's documents are read without listing the others."""
+    zone, days = str(tmp_path / "zone"), F.when(F.col("id") % 2 == 0, "2025:01").otherwise(F.lit("20250102"))
+    docs = spark.range(600).select(F.col("id").cast("string").alias("value"), days.alias("dt"), F.lit("01").alias("product_cls"))
+    for rerun in (docs, docs.where("dt = '20250102' AND value < 100")):
+        keys = sinks.land_documents(rerun, zone, one_per_file=True)
+    assert not list(Path(zone).rglob(".part-*.crc"))
+    of_day = landing.read_documents(spark, zone, keys, one_per_file=True, day="2025:01")
+    assert len(of_day.inputFiles()) == 300 and rows(of_day, "dt", "product_cls") == [("2025:01", "01")] * 300
+    for day in ("2025:01", "20250102", "20250103"):
+        sinks.compact_documents(spark, zone, str(tmp_path / "compact"), keys, day)
+    found = landing.read_documents(spark, str(tmp_path / "compact"), keys)
+    assert rows(found, F.trim("value"), "dt") == rows(docs.where("dt <> '20250102' OR value < 100"), "value", "dt")
